@@ -241,3 +241,96 @@ def oracle_sql() -> dict[str, str]:
         else:
             out[key] = ctes + body
     return out
+
+
+def _z() -> str:
+    terms = [f"CAST({fixed.PUBLISHED_INTERCEPT} AS DOUBLE)"]
+    for name, coef in fixed.PUBLISHED_COEFFICIENTS.items():
+        terms.append(f"CAST({coef} AS DOUBLE) * CAST({name} AS DOUBLE)")
+    z = terms[0]
+    for t in terms[1:]:
+        z = f"({z} + {t})"
+    return z
+
+
+SPLIT = """
+    , sp AS (SELECT *, CAST(row_number() OVER (ORDER BY window_start) AS BIGINT) AS split_rank,
+                    count(*) OVER () AS n FROM lw1h),
+    split AS (SELECT *, CASE WHEN split_rank <= floor(n * CAST({fraction} AS DOUBLE)) THEN 'train' ELSE 'test' END AS part
+              FROM sp)"""
+
+SCORED = f"""
+    , sc0 AS (SELECT *, CAST(1.0 AS DOUBLE) / (CAST(1.0 AS DOUBLE) + exp(-{_z()})) AS prob FROM lw1h),
+    sc AS (SELECT *, CASE WHEN prob > CAST(0.5 AS DOUBLE) THEN CAST(1.0 AS DOUBLE) ELSE CAST(0.0 AS DOUBLE) END
+                     AS prediction FROM sc0),
+    cm AS (SELECT count(*) FILTER (WHERE is_anomalous = 1 AND prediction = 1) AS tp,
+                  count(*) FILTER (WHERE is_anomalous = 0 AND prediction = 1) AS fp,
+                  count(*) FILTER (WHERE is_anomalous = 0 AND prediction = 0) AS tn,
+                  count(*) FILTER (WHERE is_anomalous = 1 AND prediction = 0) AS fn,
+                  count(*) AS total FROM sc)"""
+
+_PSI_FEATURES = " UNION ALL ".join(
+    f"SELECT period, '{f}' AS feature, CAST({f} AS DOUBLE) AS value FROM split2" for f in fixed.FEATURE_COLUMNS)
+
+SQL_BODIES.update({
+    "chrono_split": SPLIT.format(fraction=0.8) + " SELECT window_start, split_rank, part FROM split",
+    "split_cutoff": SPLIT.format(fraction=0.8) + """
+        SELECT count(*) AS windows, count(*) FILTER (WHERE part = 'train') AS train_windows,
+               count(*) FILTER (WHERE part = 'test') AS test_windows,
+               strftime(max(window_start) FILTER (WHERE part = 'train'), '%Y-%m-%d %H:%M:%S') AS last_train_window,
+               strftime(min(window_start) FILTER (WHERE part = 'test'), '%Y-%m-%d %H:%M:%S') AS first_test_window
+        FROM split""",
+    "class_balance": SPLIT.format(fraction=0.8) + """
+        SELECT part, is_anomalous, count(*) AS windows FROM split GROUP BY part, is_anomalous""",
+    "score_logistic": SCORED + """
+        SELECT window_start, is_anomalous, anomaly_type, round(prob, 9) AS prob_anomalous, prediction FROM sc""",
+    "confusion_matrix": SCORED + " SELECT tp, fp, tn, fn, total FROM cm",
+    "classification_metrics": SCORED + """
+        , pr AS (SELECT *, coalesce(tp / nullif(tp + fp, 0), 0.0) AS precision,
+                           coalesce(tp / nullif(tp + fn, 0), 0.0) AS recall FROM cm)
+        SELECT round(precision, 9) AS precision, round(recall, 9) AS recall,
+               round(coalesce(2.0 * precision * recall / nullif(precision + recall, 0), 0.0), 9) AS f1,
+               round(coalesce((tp + tn) / nullif(total, 0), 0.0), 9) AS accuracy,
+               round(coalesce((tn + fn) / nullif(total, 0), 0.0), 9) AS majority_accuracy
+        FROM pr""",
+    "prediction_distribution": SCORED + """
+        SELECT prediction, count(*) AS windows,
+               CAST(count(*) AS DOUBLE) / CAST(sum(count(*)) OVER () AS DOUBLE) AS share
+        FROM sc GROUP BY prediction""",
+    "threshold_sweep": SCORED + """
+        , th AS (SELECT round(CAST(i AS DOUBLE) * CAST(0.05 AS DOUBLE), 10) AS threshold FROM range(1, 20) t(i))
+        SELECT threshold,
+               count(*) FILTER (WHERE prob > threshold AND is_anomalous = 1) AS tp,
+               count(*) FILTER (WHERE prob > threshold AND is_anomalous = 0) AS fp,
+               count(*) FILTER (WHERE prob <= threshold AND is_anomalous = 1) AS fn,
+               round(coalesce(count(*) FILTER (WHERE prob > threshold AND is_anomalous = 1)
+                     / nullif(count(*) FILTER (WHERE prob > threshold), 0), 0.0), 9) AS precision,
+               round(coalesce(count(*) FILTER (WHERE prob > threshold AND is_anomalous = 1)
+                     / nullif(count(*) FILTER (WHERE is_anomalous = 1), 0), 0.0), 9) AS recall
+        FROM th, sc GROUP BY threshold""",
+    "auc_rank": SCORED + """
+        , rk AS (SELECT is_anomalous, rank() OVER (ORDER BY prob)
+                        + (count(*) OVER (PARTITION BY prob) - 1) / 2.0 AS mr FROM sc),
+        pn AS (SELECT count(*) FILTER (WHERE is_anomalous = 1) AS p, count(*) FILTER (WHERE is_anomalous = 0) AS n,
+                      sum(mr) FILTER (WHERE is_anomalous = 1) AS s FROM rk)
+        SELECT round(CAST((s - p * (p + 1) / 2.0) AS DOUBLE) / CAST(p * n AS DOUBLE), 9) AS auc,
+               p AS positives, n AS negatives FROM pn""",
+    "psi_drift": SPLIT.format(fraction=0.5) + """
+        , split2 AS (SELECT *, CASE WHEN part = 'train' THEN 'reference' ELSE 'current' END AS period FROM split),
+        lng AS (""" + _PSI_FEATURES + """),
+        edges AS (SELECT feature, quantile_cont(value, 0.25) AS e1, quantile_cont(value, 0.5) AS e2,
+                         quantile_cont(value, 0.75) AS e3 FROM lng
+                  WHERE period = 'reference' AND value IS NOT NULL GROUP BY feature),
+        bk AS (SELECT l.feature, l.period, 1 + CAST(e1 < l.value AS INTEGER) + CAST(e2 < l.value AS INTEGER)
+                      + CAST(e3 < l.value AS INTEGER) AS bucket
+               FROM lng l JOIN edges e ON l.feature = e.feature WHERE l.value IS NOT NULL),
+        grid AS (SELECT feature, unnest(range(1, 5)) AS bucket FROM edges),
+        cnt AS (SELECT g.feature, g.bucket,
+                       count(bk.period) FILTER (WHERE bk.period = 'reference') AS n_ref,
+                       count(bk.period) FILTER (WHERE bk.period = 'current') AS n_cur
+                FROM grid g LEFT JOIN bk ON g.feature = bk.feature AND g.bucket = bk.bucket
+                GROUP BY g.feature, g.bucket),
+        sh AS (SELECT feature, (n_ref + 0.5) / (sum(n_ref) OVER (PARTITION BY feature) + 0.5 * 4) AS p,
+                              (n_cur + 0.5) / (sum(n_cur) OVER (PARTITION BY feature) + 0.5 * 4) AS q FROM cnt)
+        SELECT feature, round(CAST(sum((q - p) * ln(q / p)) AS DOUBLE), 9) AS psi FROM sh GROUP BY feature""",
+})

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from windowlens.functions import fixed
-from windowlens.operators import clean, enrich, labels, parse, quality, traffic
+from windowlens.operators import clean, drift, enrich, evaluate, labels, parse, quality, split, traffic
 from windowlens.operators import features as feat
 from windowlens.plans.frames import PROB_DIGITS, RATE_DIGITS, Frames, rounded
 from windowlens.sources import fixtures
@@ -198,3 +198,70 @@ def q_render_lines(spark, d):
 def q_hash_sample(spark, d):
     ev = traffic.hash_sample(Frames(spark, d).events, "event_id", modulus=10, keep=3, seed=7)
     return fixtures.access_log_lines(ev)
+
+
+# --- split, scoring, metrics ---------------------------------------------------------
+
+def _split(spark, d, fraction=fixed.TRAIN_FRACTION):
+    return split.chrono_split(Frames(spark, d).hourly_training, fraction)
+
+
+def _scored(spark, d):
+    return evaluate.score_logistic(Frames(spark, d).hourly_training)
+
+
+def _round_all(df: DataFrame, names, digits=PROB_DIGITS) -> DataFrame:
+    return df.select(*[F.round(c, digits).alias(c) if c in names else F.col(c) for c in df.columns])
+
+
+@query("chrono_split")
+def q_chrono_split(spark, d):
+    return _split(spark, d).select("window_start", "split_rank", "part")
+
+
+@query("split_cutoff")
+def q_split_cutoff(spark, d):
+    return split.split_summary(_split(spark, d))
+
+
+@query("class_balance")
+def q_class_balance(spark, d):
+    return split.class_balance(_split(spark, d))
+
+
+@query("score_logistic")
+def q_score_logistic(spark, d):
+    out = _scored(spark, d).select("window_start", "is_anomalous", "anomaly_type", "prob_anomalous", "prediction")
+    return _round_all(out, {"prob_anomalous"})
+
+
+@query("confusion_matrix")
+def q_confusion_matrix(spark, d):
+    return evaluate.confusion(_scored(spark, d))
+
+
+@query("classification_metrics")
+def q_classification_metrics(spark, d):
+    out = evaluate.metrics(evaluate.confusion(_scored(spark, d)))
+    return _round_all(out, set(out.columns))
+
+
+@query("prediction_distribution")
+def q_prediction_distribution(spark, d):
+    return evaluate.prediction_distribution(_scored(spark, d))
+
+
+@query("threshold_sweep")
+def q_threshold_sweep(spark, d):
+    return _round_all(evaluate.threshold_sweep(_scored(spark, d)), {"precision", "recall"})
+
+
+@query("auc_rank")
+def q_auc_rank(spark, d):
+    return _round_all(evaluate.auc(_scored(spark, d)), {"auc"})
+
+
+@query("psi_drift")
+def q_psi_drift(spark, d):
+    halves = _split(spark, d, 0.5)
+    return _round_all(drift.psi(split.train_part(halves), split.test_part(halves)), {"psi"})
