@@ -81,3 +81,20 @@ def logistic_score(features: dict[str, float], intercept: float) -> Column:
     for name, coef in features.items():
         z = z + F.lit(float(coef)) * F.col(name).cast("double")
     return F.lit(1.0) / (F.lit(1.0) + F.exp(-z))
+
+
+_EPOCH_NTZ = "1970-01-01 00:00:00"
+
+
+def instant_of(ts: str | Column) -> Column:
+    """TIMESTAMP (an instant) of a TIMESTAMP_NTZ read as UTC wall-clock,
+    at second resolution and independent of the session time zone.  Needed
+    where Spark insists on TIMESTAMP, such as streaming watermarks."""
+    return F.timestamp_seconds(F.unix_timestamp(col_of(ts)))
+
+
+def wall_clock_of(instant: str | Column) -> Column:
+    """TIMESTAMP_NTZ (UTC wall-clock) of a TIMESTAMP instant, independent
+    of the session time zone (epoch + elapsed interval)."""
+    secs = (F.unix_micros(col_of(instant)) / F.lit(1_000_000)).cast("decimal(18,6)")
+    return F.lit(_EPOCH_NTZ).cast("timestamp_ntz") + F.make_dt_interval(secs=secs)

@@ -72,10 +72,10 @@ def reconcile(expected: DataFrame, actual: DataFrame, columns: Sequence[str]) ->
     a = expected.select(*columns)
     b = actual.select(*columns)
     parts = [
-        a.exceptAll(b).agg(F.count(F.lit(1)).alias("rows")).select(F.lit("missing").alias("check"), "rows"),
-        b.exceptAll(a).agg(F.count(F.lit(1)).alias("rows")).select(F.lit("extra").alias("check"), "rows"),
-        a.agg(F.count(F.lit(1)).alias("rows")).select(F.lit("rows_in").alias("check"), "rows"),
-        b.agg(F.count(F.lit(1)).alias("rows")).select(F.lit("rows_out").alias("check"), "rows"),
+        a.exceptAll(b).agg(F.count(F.lit(1)).alias("rows")).select(F.lit("missing").alias("item"), "rows"),
+        b.exceptAll(a).agg(F.count(F.lit(1)).alias("rows")).select(F.lit("extra").alias("item"), "rows"),
+        a.agg(F.count(F.lit(1)).alias("rows")).select(F.lit("rows_in").alias("item"), "rows"),
+        b.agg(F.count(F.lit(1)).alias("rows")).select(F.lit("rows_out").alias("item"), "rows"),
     ]
     out = parts[0]
     for p in parts[1:]:

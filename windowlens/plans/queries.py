@@ -13,10 +13,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from windowlens.functions import fixed
-from windowlens.operators import clean, drift, enrich, evaluate, labels, parse, quality, split, traffic
+from windowlens.operators import (clean, drift, enrich, evaluate, labels, model, parse, quality, runlog, sink,
+                                  split, traffic)
 from windowlens.operators import features as feat
 from windowlens.plans.frames import PROB_DIGITS, RATE_DIGITS, Frames, rounded
-from windowlens.sources import fixtures
+from windowlens.session import work_path
+from windowlens.sources import fixtures, text
+from windowlens.streaming import features as streaming
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -265,3 +268,109 @@ def q_auc_rank(spark, d):
 def q_psi_drift(spark, d):
     halves = _split(spark, d, 0.5)
     return _round_all(drift.psi(split.train_part(halves), split.test_part(halves)), {"psi"})
+
+
+# --- sinks ------------------------------------------------------------------------------
+
+def _written_features(spark, d, name):
+    """Labelled 5-minute windows written partitioned by date; returns
+    (frame as written, path)."""
+    path = work_path(spark, name)
+    table = sink.with_date(Frames(spark, d).labeled("5 minutes"))
+    sink.write_partitioned(table, path)
+    return table, path
+
+
+@query("labels_csv")
+def q_labels_csv(spark, d):
+    path = work_path(spark, "labels-csv")
+    labels.write_labels_csv(Frames(spark, d).labels("5 minutes"), path)
+    return labels.read_labels_csv(spark, path)
+
+
+@query("partition_counts")
+def q_partition_counts(spark, d):
+    _, path = _written_features(spark, d, "features-by-date")
+    return sink.partition_counts(spark, path)
+
+
+@query("file_inventory")
+def q_file_inventory(spark, d):
+    _, path = _written_features(spark, d, "features-files")
+    return sink.file_inventory(spark, path)
+
+
+@query("reconcile")
+def q_reconcile(spark, d):
+    table, path = _written_features(spark, d, "features-round-trip")
+    return sink.round_trip(spark, table, path)
+
+
+# --- fitted model (rows-only: MLlib optimiser output has no SQL twin) --------------------
+
+@query("lr_batch_score")
+def q_lr_batch_score(spark, d):
+    parts = _split(spark, d)
+    fitted = model.fit(split.train_part(parts), reg_param=0.01, elastic_net=0.0)
+    path = work_path(spark, "model")
+    model.save(fitted, path)
+    return model.score(model.load(path), split.test_part(parts))
+
+
+@query("cv_grid")
+def q_cv_grid(spark, d):
+    train = split.train_part(_split(spark, d))
+    cv_model, lr = model.cross_validate(train)
+    return model.grid_table(spark, cv_model, lr)
+
+
+@query("coefficient_table")
+def q_coefficient_table(spark, d):
+    fitted = model.fit(split.train_part(_split(spark, d)), reg_param=0.01, elastic_net=0.0)
+    return model.coefficient_table(spark, fitted)
+
+
+# --- streaming ------------------------------------------------------------------------------
+
+STREAM_WIDTH = "1 hour"
+
+
+def _line_folder(spark, d):
+    path = work_path(spark, "lines")
+    text.write_lines(Frames(spark, d).lines, path)
+    return path
+
+
+def _run_stream(spark, stream_df, name):
+    out = work_path(spark, name)
+    streaming.run_available_now(stream_df, out, out + "-checkpoint")
+    return streaming.read_sink(spark, out)
+
+
+@query("stream_features")
+def q_stream_features(spark, d):
+    lines = text.read_line_stream(spark, _line_folder(spark, d))
+    return rounded(_run_stream(spark, streaming.feature_stream(lines, STREAM_WIDTH), "stream-features"))
+
+
+@query("stream_dedupe")
+def q_stream_dedupe(spark, d):
+    lines = text.read_line_stream(spark, _line_folder(spark, d))
+    out = _run_stream(spark, streaming.dedupe_stream(streaming.typed_stream(lines)), "stream-dedupe")
+    return out.select(*clean.TYPED_COLUMNS)
+
+
+@query("stream_score")
+def q_stream_score(spark, d):
+    lines = text.read_line_stream(spark, _line_folder(spark, d))
+    scored = streaming.scored_stream(streaming.feature_stream(lines, STREAM_WIDTH))
+    out = _run_stream(spark, scored, "stream-score")
+    return _round_all(out.select("window_start", "prob_anomalous", "prediction"), {"prob_anomalous"})
+
+
+# --- run audit ------------------------------------------------------------------------------
+
+@query("run_audit")
+def q_run_audit(spark, d):
+    return runlog.run_feature_job(spark, Frames(spark, d).lines, work_path(spark, "run-features"),
+                                  work_path(spark, "run-labeled"))
