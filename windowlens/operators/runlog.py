@@ -67,7 +67,11 @@ def run_feature_job(spark: SparkSession, lines: DataFrame, features_path: str, l
 
 def stage_metrics(spark: SparkSession, event_log_path: str) -> DataFrame:
     """Tasks, shuffle read and shuffle write bytes and run time per stage,
-    aggregated from ``SparkListenerTaskEnd`` events of an event-log folder."""
+    aggregated from ``SparkListenerTaskEnd`` events of an event log.
+
+    The log is read as JSON lines, so it must be written uncompressed
+    (``spark.eventLog.compress=false``); Spark's own ``.zstd`` suffix is not
+    a codec the text reader recognises."""
     log = spark.read.text(event_log_path)
     j = F.col("value")
     ends = log.filter(F.get_json_object(j, "$.Event") == "SparkListenerTaskEnd").select(
