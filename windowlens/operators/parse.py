@@ -28,9 +28,12 @@ def parse_lines(raw: DataFrame, value_col: str = "value",
     a line with a trailing line terminator are filled but the line fails.
     """
     value = F.col(value_col)
-    whole = F.regexp_extract(value, pattern, 0)
+    # the one regex evaluation per line; kept as a column so later
+    # expressions reuse it instead of re-running the pattern
+    matched = raw.select("*", F.regexp_extract(value, pattern, 0).alias("_whole"))
+    whole = F.col("_whole")
     parts = F.split(whole, " ")
-    # field i -> positions in the match split on ' ' (the timestamp has one space)
+    # field -> positions in the match split on ' ' (the timestamp has one space)
     pieces = {
         "timestamp": F.concat_ws(" ", F.get(parts, 0), F.get(parts, 1)),
         "endpoint": F.get(parts, 2),
@@ -44,7 +47,8 @@ def parse_lines(raw: DataFrame, value_col: str = "value",
                .otherwise(F.lit(REASON_MALFORMED)))
     cols = [F.when(whole == F.lit(""), F.lit("")).when(whole.isNotNull(), expr).alias(name)
             for name, expr in pieces.items()]
-    return raw.select("*", *cols, ok.alias("parse_ok"), reason.alias("parse_reason"))
+    keep = [F.col(c) for c in raw.columns]
+    return matched.select(*keep, *cols, ok.alias("parse_ok"), reason.alias("parse_reason"))
 
 
 def accepted(parsed: DataFrame) -> DataFrame:

@@ -38,7 +38,7 @@ class Frames:
 
     @property
     def events(self) -> DataFrame:
-        return tables.read_table(self.spark, self.data_dir, "events")
+        return tables.spread(tables.read_table(self.spark, self.data_dir, "events"))
 
     @property
     def lines(self) -> DataFrame:
@@ -64,7 +64,13 @@ class Frames:
         return features.window_features(self.deduped, width)
 
     def spine(self, width: str = fixed.WINDOW_WIDTH, days: int | None = None) -> DataFrame:
-        return features.window_spine(self.deduped, width, days=days)
+        """Calendar from the first to the last day of the feature windows.
+
+        Taken from the feature table (same days as the rows) so that a plan
+        using both the calendar and the features computes the features once
+        (the aggregate's exchange is reused)."""
+        starts = self.features(width).select(F.col("window_start").alias("ts"))
+        return features.window_spine(starts, width, days=days)
 
     def labels(self, width: str = fixed.WINDOW_WIDTH, days: int | None = None) -> DataFrame:
         return labels.rule_labels(self.spine(width, days))

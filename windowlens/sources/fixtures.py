@@ -21,7 +21,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from windowlens.functions import fixed
 from windowlens.functions.expressions import epoch_seconds, text_timestamp
 
 FIXTURE_EPOCH = "2024-01-01 00:00:00"
@@ -50,39 +49,49 @@ def rule_label(ts: str | Column, epoch: str = FIXTURE_EPOCH,
 
 def access_log_lines(events: DataFrame, epoch: str = FIXTURE_EPOCH,
                      period: int = LABEL_PERIOD, offset: int = LABEL_OFFSET) -> DataFrame:
-    """``DataFrame[value: string]`` of access-log lines, one scan of ``events``."""
+    """``DataFrame[value: string]`` of access-log lines, one scan of ``events``.
+
+    Shared pieces (stamp text, hour index, status, size) are computed once
+    per event in a projection; the lines are then built from those columns
+    and exploded, so no expression is evaluated once per branch.
+    """
     eid = F.col("event_id")
     etype = F.col("event_type")
-    tstr = text_timestamp("ts")
-    endpoint = F.concat(F.lit("/api/"), etype)
     hidx = hour_index("ts", epoch)
-    anomalous = (hidx % period) == offset
-    error_hour = anomalous & (F.floor(hidx / F.lit(period)) % 2 == 0)
-    size_hour = anomalous & (F.floor(hidx / F.lit(period)) % 2 == 1)
-
-    status0 = (F.when((etype == "error") & (eid % 3 == 0), F.lit(500))
-                .when(etype == "signup", F.lit(201)).otherwise(F.lit(200)))
-    size0 = F.round(F.col("value") * 100).cast("bigint")
-    status = F.when(error_hour & (eid % 2 == 0), F.lit(503)).otherwise(status0).cast("string")
-    size = F.when(size_hour, size0 * 10).otherwise(size0).cast("string")
-
+    base = events.select(
+        eid.alias("eid"),
+        text_timestamp("ts").alias("tstr"),
+        F.concat(F.lit("/api/"), etype).alias("endpoint"),
+        (hidx % period == offset).alias("anomalous"),
+        (F.floor(hidx / F.lit(period)) % 2).alias("kind_bit"),
+        (F.when((etype == "error") & (eid % 3 == 0), F.lit(500))
+          .when(etype == "signup", F.lit(201)).otherwise(F.lit(200))).alias("status0"),
+        F.round(F.col("value") * 100).cast("bigint").alias("size0"))
+    error_hour = F.col("anomalous") & (F.col("kind_bit") == 0)
+    size_hour = F.col("anomalous") & (F.col("kind_bit") == 1)
+    fields = base.select(
+        "eid", "tstr", "endpoint",
+        F.when(error_hour & (F.col("eid") % 2 == 0), F.lit(503)).otherwise(F.col("status0"))
+        .cast("string").alias("status"),
+        F.when(size_hour, F.col("size0") * 10).otherwise(F.col("size0")).cast("string").alias("size"))
+    e = F.col("eid")
+    tstr, endpoint, status, size = (F.col(c) for c in ("tstr", "endpoint", "status", "size"))
     good = F.concat_ws(" ", tstr, endpoint, status, size)
-    kind = eid % 5
+    kind = e % 5
     damaged = (F.when(kind == 0, F.concat_ws(" ", tstr, endpoint, size))
                 .when(kind == 1, F.concat_ws(" ", F.lit(GARBLED_TIMESTAMP), endpoint, status, size))
                 .when(kind == 2, F.substring(tstr, 1, 12))
                 .when(kind == 3, F.concat_ws(" ", tstr, endpoint, status, F.lit("ABCxyz")))
                 .otherwise(F.concat(good, F.lit(JUNK_SUFFIX))))
-    line = F.when(eid % 67 == 11, damaged).otherwise(good)
-
+    with_line = fields.select("eid", F.when(e % 67 == 11, damaged).otherwise(good).alias("line"))
+    line = F.col("line")
     lines = F.array(
         line,
-        F.when(eid % 97 == 0, line),
-        F.when(eid % 997 == 0, F.lit("")),
-        F.when(eid % 991 == 0, F.lit(CALENDAR_INVALID_LINE)),
+        F.when(e % 97 == 0, line),
+        F.when(e % 997 == 0, F.lit("")),
+        F.when(e % 991 == 0, F.lit(CALENDAR_INVALID_LINE)),
     )
-    return (events.select("event_id", "event_type", "ts", "value")
-            .select(F.explode(F.array_compact(lines)).alias("value")))
+    return with_line.select(F.explode(F.array_compact(lines)).alias("value"))
 
 
 def endpoint_dimension(events: DataFrame, exclude: tuple[str, ...] = ("error",)) -> DataFrame:
