@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 # Largest dimension that is broadcast to every task.  Above it the join is a
 # plain equi-join and AQE picks the strategy from runtime sizes.
-MAX_BROADCAST_ROWS = 1_000_000
+MAX_BROADCAST_ROWS = 200_000
 
 
 def enrich(rows: DataFrame, dim: DataFrame, key: str = "endpoint",

@@ -51,6 +51,31 @@ def window_features(rows: DataFrame, width: str = fixed.WINDOW_WIDTH, ts: str =
                       "total_requests", "error_rate", "avg_response_size", "p95_response_size")
 
 
+def sliding_features(rows: DataFrame, width: str, slide: str, ts: str = "ts",
+                     status: str = "status_code", size: str = "response_size",
+                     min_status: int = fixed.ERROR_STATUS_MIN, percentile: float = fixed.SIZE_PERCENTILE,
+                     method: str = "exact", accuracy: int = 10000) -> DataFrame:
+    """Features over sliding windows (``width`` every ``slide``); each row
+    falls into width/slide windows."""
+    out = (rows.groupBy(F.window(F.col(ts), width, slide).alias("window"))
+           .agg(*_aggregates(status, size, min_status, percentile, method, accuracy)))
+    return out.select(F.col("window.start").alias("window_start"), F.col("window.end").alias("window_end"),
+                      "total_requests", "error_rate", "avg_response_size", "p95_response_size")
+
+
+def session_features(rows: DataFrame, gap: str, key: str = "endpoint", ts: str = "ts",
+                     status: str = "status_code", size: str = "response_size",
+                     min_status: int = fixed.ERROR_STATUS_MIN, percentile: float = fixed.SIZE_PERCENTILE,
+                     method: str = "exact", accuracy: int = 10000) -> DataFrame:
+    """Features per activity session of ``key``: a session closes after
+    ``gap`` without rows (``session_window``)."""
+    out = (rows.groupBy(F.col(key), F.session_window(F.col(ts), gap).alias("session"))
+           .agg(*_aggregates(status, size, min_status, percentile, method, accuracy)))
+    return out.select(key, F.col("session.start").alias("session_start"),
+                      F.col("session.end").alias("session_end"),
+                      "total_requests", "error_rate", "avg_response_size", "p95_response_size")
+
+
 def window_features_rollup(rows: DataFrame, width: str = fixed.WINDOW_WIDTH, ts: str = "ts",
                            key: str = "endpoint", status: str = "status_code",
                            size: str = "response_size", min_status: int = fixed.ERROR_STATUS_MIN,

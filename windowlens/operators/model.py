@@ -76,6 +76,23 @@ def cross_validate(train: DataFrame, folds: int = fixed.CV_FOLDS, seed: int = fi
     return cv.fit(with_fold), lr
 
 
+def repeated_cv(spark: SparkSession, train: DataFrame, seeds: Sequence[int] = (42, 7, 123),
+                folds: int = fixed.CV_FOLDS, parallelism: int = 9) -> DataFrame:
+    """Cross-validation repeated with several fold seeds: mean and standard
+    deviation of the validation AUC per grid point across seeds (a small
+    table; each seed is one full grid search)."""
+    tables = []
+    for seed in seeds:
+        cv_model, lr = cross_validate(train, folds=folds, seed=seed, parallelism=parallelism)
+        tables.append(grid_table(spark, cv_model, lr).withColumn("seed", F.lit(seed)))
+    allruns = tables[0]
+    for t in tables[1:]:
+        allruns = allruns.unionByName(t)
+    return (allruns.groupBy("reg_param", "elastic_net")
+            .agg(F.avg("avg_auc").alias("mean_auc"), F.stddev("avg_auc").alias("std_auc_across_seeds"),
+                 F.count(F.lit(1)).alias("seeds")))
+
+
 def grid_table(spark: SparkSession, cv_model, lr: LogisticRegression) -> DataFrame:
     """(reg_param, elastic_net, avg_auc, std_auc) per grid point."""
     rows = []

@@ -8,6 +8,7 @@ from the event log files (``spark.eventLog.dir``), so no UI port is needed.
 from __future__ import annotations
 
 import time
+import uuid
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -18,6 +19,16 @@ from windowlens.operators import clean, features, labels, parse, sink
 AUDIT_SCHEMA = "step_no int, step string, metric string, value bigint"
 
 
+def config_hash(spark: SparkSession, extra: dict | None = None) -> str:
+    """Short, stable hash of the SQL settings and run parameters, stored
+    with each run's audit so outputs can be traced to their configuration."""
+    import hashlib
+    import json
+    conf = {k: v for k, v in spark.sparkContext.getConf().getAll() if k.startswith("spark.sql.")}
+    blob = json.dumps({"conf": conf, "extra": extra or {}}, sort_keys=True, default=str)
+    return hashlib.sha256(blob.encode()).hexdigest()[:16]
+
+
 def run_feature_job(spark: SparkSession, lines: DataFrame, features_path: str, labeled_path: str,
                     label_fn=labels.rule_labels, width: str = fixed.WINDOW_WIDTH) -> DataFrame:
     """Lines -> parse -> typed -> dedupe -> window features, written
@@ -62,7 +73,10 @@ def run_feature_job(spark: SparkSession, lines: DataFrame, features_path: str, l
         (3, "load", "windows_without_rows", m["empty"]),
         (3, "load", "elapsed_ms", int((t2 - t1) * 1000)),
     ]
-    return spark.createDataFrame(rows, AUDIT_SCHEMA)
+    run_id = uuid.uuid4().hex[:12]
+    digest = config_hash(spark, {"width": width, "features_path": features_path, "labeled_path": labeled_path})
+    return (spark.createDataFrame(rows, AUDIT_SCHEMA)
+            .withColumn("run_id", F.lit(run_id)).withColumn("config_hash", F.lit(digest)))
 
 
 def stage_metrics(spark: SparkSession, event_log_path: str) -> DataFrame:

@@ -354,3 +354,31 @@ SQL_BODIES.update({
                CASE WHEN prob > CAST(0.5 AS DOUBLE) THEN CAST(1.0 AS DOUBLE) ELSE CAST(0.0 AS DOUBLE) END AS prediction
         FROM z""",
 })
+
+SQL_BODIES.update({
+    "window_features_sliding": """
+        , sl AS (SELECT time_bucket(INTERVAL '30 minutes', ts) AS window_start, status_code, response_size
+                 FROM dedup WHERE ts IS NOT NULL
+                 UNION ALL
+                 SELECT time_bucket(INTERVAL '30 minutes', ts) - INTERVAL '30 minutes', status_code, response_size
+                 FROM dedup WHERE ts IS NOT NULL)
+        SELECT window_start, window_start + INTERVAL '1 hour' AS window_end, count(*) AS total_requests,
+               round(avg(CAST(status_code >= 400 AS INTEGER)), 6) AS error_rate,
+               round(avg(response_size), 4) AS avg_response_size,
+               round(CAST(quantile_cont(response_size, 0.95) AS DOUBLE), 4) AS p95_response_size
+        FROM sl GROUP BY window_start""",
+    "session_features": """
+        , ordered AS (SELECT endpoint, ts, status_code, response_size,
+                             lag(ts) OVER (PARTITION BY endpoint ORDER BY ts) AS prev_ts
+                      FROM dedup WHERE ts IS NOT NULL),
+        marked AS (SELECT *, sum(CASE WHEN prev_ts IS NULL OR ts >= prev_ts + INTERVAL '10 minutes'
+                                      THEN 1 ELSE 0 END)
+                             OVER (PARTITION BY endpoint ORDER BY ts ROWS UNBOUNDED PRECEDING) AS sid
+                   FROM ordered)
+        SELECT endpoint, min(ts) AS session_start, max(ts) + INTERVAL '10 minutes' AS session_end,
+               count(*) AS total_requests,
+               round(avg(CAST(status_code >= 400 AS INTEGER)), 6) AS error_rate,
+               round(avg(response_size), 4) AS avg_response_size,
+               round(CAST(quantile_cont(response_size, 0.95) AS DOUBLE), 4) AS p95_response_size
+        FROM marked GROUP BY endpoint, sid""",
+})

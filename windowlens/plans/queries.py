@@ -374,3 +374,15 @@ def q_stream_score(spark, d):
 def q_run_audit(spark, d):
     return runlog.run_feature_job(spark, Frames(spark, d).lines, work_path(spark, "run-features"),
                                   work_path(spark, "run-labeled"))
+
+
+# --- sliding and session windows ------------------------------------------------------
+
+@query("window_features_sliding")
+def q_window_features_sliding(spark, d):
+    return rounded(feat.sliding_features(Frames(spark, d).deduped, "1 hour", "30 minutes"))
+
+
+@query("session_features")
+def q_session_features(spark, d):
+    return rounded(feat.session_features(Frames(spark, d).deduped, "10 minutes", key="endpoint"))
