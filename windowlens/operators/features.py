@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import Window
 
 from windowlens.functions import fixed
 from windowlens.functions.expressions import is_error
@@ -63,16 +64,58 @@ def sliding_features(rows: DataFrame, width: str, slide: str, ts: str = "ts",
                       "total_requests", "error_rate", "avg_response_size", "p95_response_size")
 
 
+def session_starts(rows: DataFrame, gap_seconds: int, key: str = "endpoint", ts: str = "ts") -> DataFrame:
+    """``(key, _bucket, session_start)``: the session of every
+    (key, gap-wide time bucket) that has rows.
+
+    Two rows of a key in the same bucket are less than ``gap`` apart, so they
+    are always in the same session; only bucket edges can split a session.
+    Rows are therefore first collapsed to one (min, max) row per key and
+    bucket (with map-side partial aggregation), and session starts are found
+    with ``lag`` over that table, whose size is bounded by the time span
+    divided by the gap, not by the number of rows.  A hot key is thus never
+    sorted row by row in one task.
+    """
+    bucket = F.floor(F.unix_timestamp(F.col(ts)) / F.lit(gap_seconds))
+    buckets = (rows.filter(F.col(ts).isNotNull())
+               .groupBy(F.col(key), bucket.alias("_bucket"))
+               .agg(F.min(ts).alias("_first"), F.max(ts).alias("_last")))
+    w = Window.partitionBy(key).orderBy("_bucket")
+    gap = F.make_dt_interval(secs=F.lit(gap_seconds))
+    prev_last = F.lag("_last").over(w)
+    starts = F.when(prev_last.isNull() | (F.col("_first") >= prev_last + gap), F.col("_first"))
+    flagged = buckets.select(key, "_bucket", starts.alias("_start"))
+    running = Window.partitionBy(key).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, 0)
+    return flagged.select(key, "_bucket", F.max("_start").over(running).alias("session_start"))
+
+
+def _seconds(interval: str) -> int:
+    amount, unit = interval.split()
+    scale = {"second": 1, "minute": 60, "hour": 3600, "day": 86400}[unit.rstrip("s").lower()]
+    return int(amount) * scale
+
+
 def session_features(rows: DataFrame, gap: str, key: str = "endpoint", ts: str = "ts",
                      status: str = "status_code", size: str = "response_size",
                      min_status: int = fixed.ERROR_STATUS_MIN, percentile: float = fixed.SIZE_PERCENTILE,
                      method: str = "exact", accuracy: int = 10000) -> DataFrame:
-    """Features per activity session of ``key``: a session closes after
-    ``gap`` without rows (``session_window``)."""
-    out = (rows.groupBy(F.col(key), F.session_window(F.col(ts), gap).alias("session"))
-           .agg(*_aggregates(status, size, min_status, percentile, method, accuracy)))
-    return out.select(key, F.col("session.start").alias("session_start"),
-                      F.col("session.end").alias("session_end"),
+    """Features per activity session of ``key``: a session ends when no row
+    follows within ``gap`` (the semantics of ``session_window``), and spans
+    ``[first row, last row + gap)``.
+
+    Built from :func:`session_starts` plus an equi-join on (key, bucket) and
+    an ordinary grouped aggregate with partial aggregation, so a key or
+    session holding a large share of the rows is still spread over tasks.
+    """
+    gap_seconds = _seconds(gap)
+    starts = session_starts(rows, gap_seconds, key, ts)
+    bucket = F.floor(F.unix_timestamp(F.col(ts)) / F.lit(gap_seconds))
+    tagged = (rows.filter(F.col(ts).isNotNull()).withColumn("_bucket", bucket)
+              .join(starts, [key, "_bucket"]))
+    out = (tagged.groupBy(key, "session_start")
+           .agg(F.max(ts).alias("_last"), *_aggregates(status, size, min_status, percentile, method, accuracy)))
+    return out.select(key, "session_start",
+                      (F.col("_last") + F.make_dt_interval(secs=F.lit(gap_seconds))).alias("session_end"),
                       "total_requests", "error_rate", "avg_response_size", "p95_response_size")
 
 
