@@ -147,7 +147,9 @@ if __name__ == "__main__":
     from windowlens.session import build_session
     data_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     keys = sys.argv[2:] or None
-    spark = build_session("local[8]", shuffle_partitions=8)
+    tz = os.environ.get("HARNESS_TZ")
+    spark = build_session("local[8]", shuffle_partitions=8,
+                          extra={"spark.sql.session.timeZone": tz} if tz else None)
     res = run(spark, data_dir, keys)
     bad = {k: v for k, v in res.items() if v}
     print(f"\n{len(res) - len(bad)}/{len(res)} ok; bad: {sorted(bad)}")
