@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from windowlens.functions import fixed
 from windowlens.operators import clean, features, labels, parse
+from windowlens.session import checkpoint_dir
 from windowlens.sources import fixtures, tables
 
 # Output rounding for engine-independent comparison of doubles.
@@ -35,6 +36,7 @@ class Frames:
     def __init__(self, spark: SparkSession, data_dir: str):
         self.spark = spark
         self.data_dir = data_dir
+        self._tables: dict[str, DataFrame] = {}
 
     @property
     def events(self) -> DataFrame:
@@ -61,22 +63,31 @@ class Frames:
         return fixtures.endpoint_dimension(self.events)
 
     def features(self, width: str = fixed.WINDOW_WIDTH) -> DataFrame:
+        """Window features as one lazy plan over the raw lines."""
         return features.window_features(self.deduped, width)
 
-    def spine(self, width: str = fixed.WINDOW_WIDTH, days: int | None = None) -> DataFrame:
-        """Calendar from the first to the last day of the feature windows.
-
-        Taken from the feature table (same days as the rows) so that a plan
-        using both the calendar and the features computes the features once
-        (the aggregate's exchange is reused)."""
-        starts = self.features(width).select(F.col("window_start").alias("ts"))
+    def feature_table(self, width: str = fixed.WINDOW_WIDTH) -> DataFrame:
+        """The window features materialised once (reliable checkpoint in the
+        shared checkpoint folder).  Plans that need both the calendar and the
+        features read this small table twice instead of scanning and parsing
+        the raw lines twice; it also cuts the lineage for the model steps."""
+        if width not in self._tables:
+            checkpoint_dir(self.spark)
+            self._tables[width] = self.features(width).checkpoint(eager=True)
+        return self._tables[width]
+
+    def spine(self, width: str = fixed.WINDOW_WIDTH, days: int | None = None,
+              source: str | None = None) -> DataFrame:
+        """Calendar from the first to the last day of the feature windows
+        (of width ``source``, default ``width``)."""
+        starts = self.feature_table(source or width).select(F.col("window_start").alias("ts"))
         return features.window_spine(starts, width, days=days)
 
     def labels(self, width: str = fixed.WINDOW_WIDTH, days: int | None = None) -> DataFrame:
         return labels.rule_labels(self.spine(width, days))
 
     def labeled(self, width: str = fixed.WINDOW_WIDTH) -> DataFrame:
-        return labels.attach_labels(self.labels(width), self.features(width))
+        return labels.attach_labels(self.labels(width), self.feature_table(width))
 
     @cached_property
     def hourly_training(self) -> DataFrame:

@@ -137,7 +137,7 @@ def q_label_mix(spark, d):
 
 def _week_days(f: Frames) -> int:
     """Whole weeks covered by the data's calendar days (at least one week)."""
-    days = f.spine("1 day").count()
+    days = f.spine("1 day", source="5 minutes").count()
     return max(LABEL_WEEK_DAYS, days // LABEL_WEEK_DAYS * LABEL_WEEK_DAYS)
 
 
@@ -145,7 +145,7 @@ def _week_days(f: Frames) -> int:
 def q_unlabeled_windows(spark, d):
     f = Frames(spark, d)
     week_labels = f.labels("5 minutes", days=_week_days(f))
-    return rounded(labels.unlabeled_windows(f.features("5 minutes"), week_labels))
+    return rounded(labels.unlabeled_windows(f.feature_table("5 minutes"), week_labels))
 
 
 # --- quality reports ------------------------------------------------------------
