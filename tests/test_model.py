@@ -58,3 +58,9 @@ def test_time_folds_move_forward(spark, small_dir):
         last_train = train.agg(F.max("window_start")).first()[0]
         first_valid = valid.agg(F.min("window_start")).first()[0]
         assert last_train < first_valid
+
+
+def test_forward_chaining_cv_runs(spark, small_dir):
+    data = Frames(spark, small_dir).hourly_training
+    table = model.cross_validate_time(spark, data, folds=2, reg_params=[0.01], elastic_nets=[0.0]).collect()
+    assert len(table) == 1 and table[0]["folds_used"] >= 1

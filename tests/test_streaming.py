@@ -46,3 +46,19 @@ def test_late_row_leaves_closed_window_unchanged(spark):
     streaming.run_available_now(streaming.feature_stream(lines, "1 hour"), out, ckpt)
     after = {str(r["window_start"]): r["total_requests"] for r in spark.read.parquet(out).collect()}
     assert after["2024-02-01 00:00:00"] == 10
+
+
+def test_stream_static_enrichment_keeps_every_row(spark, small_dir):
+    from windowlens.operators import enrich
+    from windowlens.streaming.features import dedupe_stream, typed_stream
+    f = Frames(spark, small_dir)
+    folder = work_path(spark, "enrich-lines")
+    text.write_lines(f.lines, folder)
+    rows = dedupe_stream(typed_stream(text.read_line_stream(spark, folder)))
+    enriched = enrich.enrich(rows, f.dimension)
+    out = work_path(spark, "enrich-out")
+    streaming.run_available_now(enriched, out, out + "-ckpt")
+    got = spark.read.parquet(out)
+    assert got.count() == f.deduped.count()
+    unmatched = got.filter(F.col("service_owner").isNull()).select("endpoint").distinct().collect()
+    assert {r["endpoint"] for r in unmatched} == {"/api/error"}

@@ -40,3 +40,9 @@ def coverage(rows: DataFrame, dim: DataFrame, key: str = "endpoint") -> DataFram
             .filter(F.col("rows") > 1)
             .select(F.lit("duplicate_key").alias("issue"), key, "rows"))
     return missing.unionByName(dups)
+
+
+def enriched_sample(enriched: DataFrame, n: int = 5, order=("ts", "endpoint", "status_code", "response_size")) -> DataFrame:
+    """The first ``n`` enriched rows in a total order (NULLs last): a
+    stable sample."""
+    return enriched.orderBy(*[F.asc_nulls_last(c) for c in order]).limit(n)

@@ -50,6 +50,7 @@ def metrics(conf: DataFrame) -> DataFrame:
         F.coalesce(ratio(F.lit(2.0) * precision * recall, precision + recall), F.lit(0.0)).alias("f1"),
         F.coalesce(ratio(tp + tn, total), F.lit(0.0)).alias("accuracy"),
         F.coalesce(ratio(tn + fn, total), F.lit(0.0)).alias("majority_accuracy"),
+        ((tp + fp > 0) & (tn + fn > 0)).alias("both_classes_predicted"),
     )
 
 

@@ -75,3 +75,10 @@ def parse_audit(parsed: DataFrame) -> DataFrame:
 def reason_counts(parsed: DataFrame) -> DataFrame:
     """Lines per parse reason."""
     return parsed.groupBy("parse_reason").agg(F.count(F.lit(1)).alias("lines"))
+
+
+def quarantine_sample(parsed: DataFrame, n: int = 10, value_col: str = "value") -> DataFrame:
+    """The first ``n`` rejected lines in text order: a stable sample (a
+    bounded top-n, at most n rows kept per task)."""
+    return (quarantine(parsed, value_col)
+            .orderBy(F.asc_nulls_last(value_col), F.asc_nulls_last("parse_reason")).limit(n))

@@ -12,15 +12,19 @@ from windowlens.functions import fixed
 from windowlens.functions.expressions import bucket_of
 
 
-def distribution(df: DataFrame, column: str = "error_rate") -> DataFrame:
+def distribution(df: DataFrame, column: str = "error_rate", approx_distinct: bool = False) -> DataFrame:
     """One row: min, max, mean, distinct values (NULL counted as one value,
-    like ``select(c).distinct().count()``) and windows where the value is 0."""
+    like ``select(c).distinct().count()``) and windows where the value is 0.
+
+    ``approx_distinct`` uses a HyperLogLog sketch instead of an exact
+    distinct count, for very large inputs."""
     c = F.col(column)
+    distinct = F.approx_count_distinct(c) if approx_distinct else F.count_distinct(c)
     return df.agg(
         F.min(c).alias("min_value"),
         F.max(c).alias("max_value"),
         F.avg(c).alias("mean_value"),
-        (F.count_distinct(c) + F.max(F.when(c.isNull(), 1).otherwise(0))).alias("distinct_values"),
+        (distinct + F.max(F.when(c.isNull(), 1).otherwise(0))).alias("distinct_values"),
         F.count_if(c == 0).alias("zero_windows"),
     )
 

@@ -61,3 +61,12 @@ def round_trip(spark: SparkSession, written: DataFrame, path: str,
     ways and row counts).  Column types are checked by
     :func:`windowlens.operators.quality.schema_diff`."""
     return reconcile(written, spark.read.parquet(path), columns)
+
+
+def read_features(spark: SparkSession, path: str,
+                  columns: Sequence[str] = ("window_start", *fixed.FEATURE_COLUMNS, fixed.LABEL_COLUMN,
+                                            "anomaly_type")) -> DataFrame:
+    """Model input: the partitioned feature table with only the needed
+    columns (the ``date`` partition column and anything else is pruned from
+    the scan)."""
+    return spark.read.parquet(path).select(*columns)

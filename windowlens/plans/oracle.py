@@ -291,7 +291,8 @@ SQL_BODIES.update({
         SELECT round(precision, 9) AS precision, round(recall, 9) AS recall,
                round(coalesce(2.0 * precision * recall / nullif(precision + recall, 0), 0.0), 9) AS f1,
                round(coalesce((tp + tn) / nullif(total, 0), 0.0), 9) AS accuracy,
-               round(coalesce((tn + fn) / nullif(total, 0), 0.0), 9) AS majority_accuracy
+               round(coalesce((tn + fn) / nullif(total, 0), 0.0), 9) AS majority_accuracy,
+               (tp + fp > 0) AND (tn + fn > 0) AS both_classes_predicted
         FROM pr""",
     "prediction_distribution": SCORED + """
         SELECT prediction, count(*) AS windows,
@@ -382,3 +383,13 @@ SQL_BODIES.update({
                round(CAST(quantile_cont(response_size, 0.95) AS DOUBLE), 4) AS p95_response_size
         FROM marked GROUP BY endpoint, sid""",
 })
+
+SQL_BODIES.update({
+    "quarantine_sample": """SELECT value, parse_reason, "timestamp", endpoint, status_code, response_size
+        FROM parsed WHERE NOT parse_ok ORDER BY value NULLS LAST, parse_reason NULLS LAST LIMIT 10""",
+    "enrich_sample": """SELECT t.ts, t.endpoint, t.status_code, t.response_size, m.service_owner,
+               m.expected_avg_response_size
+        FROM typed t LEFT JOIN dim m ON t.endpoint = m.endpoint
+        ORDER BY t.ts NULLS LAST, t.endpoint NULLS LAST, t.status_code NULLS LAST, t.response_size NULLS LAST
+        LIMIT 5""",
+})

@@ -57,6 +57,11 @@ def q_quarantine_rows(spark, d):
     return parse.quarantine(Frames(spark, d).parsed)
 
 
+@query("quarantine_sample")
+def q_quarantine_sample(spark, d):
+    return parse.quarantine_sample(Frames(spark, d).parsed, 10)
+
+
 @query("typed_rows")
 def q_typed_rows(spark, d):
     return Frames(spark, d).typed
@@ -80,6 +85,12 @@ def q_enrich_dim(spark, d):
     return enrich.enrich(f.deduped, f.dimension)
 
 
+@query("enrich_sample")
+def q_enrich_sample(spark, d):
+    f = Frames(spark, d)
+    return enrich.enriched_sample(enrich.enrich(f.typed, f.dimension), 5)
+
+
 @query("enrich_coverage")
 def q_enrich_coverage(spark, d):
     f = Frames(spark, d)
@@ -246,7 +257,7 @@ def q_confusion_matrix(spark, d):
 @query("classification_metrics")
 def q_classification_metrics(spark, d):
     out = evaluate.metrics(evaluate.confusion(_scored(spark, d)))
-    return _round_all(out, set(out.columns))
+    return _round_all(out, set(out.columns) - {"both_classes_predicted"})
 
 
 @query("prediction_distribution")
