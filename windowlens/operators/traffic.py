@@ -41,15 +41,16 @@ def allocate(spine: DataFrame, total_rows: DataFrame, ts: str = "window_start")
     ``round(total * w / sum(w))``, the last window absorbing the rounding
     drift so the parts add up exactly.
 
-    ``total_rows`` is a one-row frame with column ``total``.  The windows are
+    ``total_rows`` is a one-row frame with column ``total`` (used as a
+    scalar subquery).  The windows are
     a calendar (bounded by the time span), so the running sums over all of
     them run in one task by design.
     """
     w_all = Window.partitionBy()
-    weighted = (spine.select(ts, (daypart_factor(ts) * weekend_factor(ts)).alias("weight"))
-                .withColumn("_key", F.lit(1)))
-    total = total_rows.select(F.col("total"), F.lit(1).alias("_key"))
-    joined = weighted.join(F.broadcast(total), "_key").drop("_key")
+    # the one-row total enters as a scalar subquery, not as a join
+    total = total_rows.select("total").scalar()
+    joined = spine.select(ts, (daypart_factor(ts) * weekend_factor(ts)).alias("weight"),
+                          total.alias("total"))
     share = F.round(F.col("total") * F.col("weight") / F.sum("weight").over(w_all)).cast("bigint")
     with_share = joined.withColumn("_rows", share)
     is_last = F.col(ts) == F.max(ts).over(w_all)
