@@ -32,7 +32,7 @@ from windowlens.session import build_session, work_path  # noqa: E402
 from windowlens.sources import fixtures, tables, text  # noqa: E402
 from windowlens.streaming import features as streaming  # noqa: E402
 
-REPLICA_COPIES = 15
+REPLICA_COPIES = int(os.environ.get("BENCH_REPLICA_COPIES", "15"))
 
 
 def replicate(events, copies: int):
@@ -93,7 +93,7 @@ def main() -> None:
     etl_run(spark, tables.read_table(spark, "/root/testdata/sf0.001", "events"), "warmup", {})
     Frames(spark, "/root/testdata/sf0.001").labeled("1 hour").collect()
 
-    events = tables.read_table(spark, sf_dir, "events")
+    events = tables.spread(tables.read_table(spark, sf_dir, "events"))
     sf_lines = etl_run(spark, events, "sf", times)
 
     f = Frames(spark, sf_dir)

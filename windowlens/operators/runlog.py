@@ -97,7 +97,12 @@ def stage_metrics(spark: SparkSession, event_log_path: str) -> DataFrame:
         F.coalesce(F.get_json_object(j, "$['Task Metrics']['Shuffle Write Metrics']['Shuffle Bytes Written']")
                    .cast("bigint"), F.lit(0)).alias("shuffle_write"),
         F.coalesce(F.get_json_object(j, "$['Task Metrics']['Executor Run Time']").cast("bigint"),
-                   F.lit(0)).alias("run_ms"))
+                   F.lit(0)).alias("run_ms"),
+        F.coalesce(F.get_json_object(j, "$['Task Metrics']['Disk Bytes Spilled']").cast("bigint"),
+                   F.lit(0)).alias("spilled"))
+    # max_task_ms far above mean_task_ms is the signature of a skewed stage
     return (ends.groupBy("stage_id")
             .agg(F.count(F.lit(1)).alias("tasks"), F.sum("shuffle_read").alias("shuffle_read_bytes"),
-                 F.sum("shuffle_write").alias("shuffle_write_bytes"), F.sum("run_ms").alias("task_ms")))
+                 F.sum("shuffle_write").alias("shuffle_write_bytes"), F.sum("run_ms").alias("task_ms"),
+                 F.max("run_ms").alias("max_task_ms"), F.avg("run_ms").alias("mean_task_ms"),
+                 F.sum("spilled").alias("disk_spilled_bytes")))
