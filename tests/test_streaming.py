@@ -62,3 +62,17 @@ def test_stream_static_enrichment_keeps_every_row(spark, small_dir):
     assert got.count() == f.deduped.count()
     unmatched = got.filter(F.col("service_owner").isNull()).select("endpoint").distinct().collect()
     assert {r["endpoint"] for r in unmatched} == {"/api/error"}
+
+
+def test_hot_duplicate_row_is_deduped_exactly(spark):
+    from windowlens.streaming.features import dedupe_stream, typed_stream
+    folder = work_path(spark, "hot-lines")
+    hot = "2024-03-01 10:00:00 /api/view 200 100"
+    rows = [hot] * 3000 + ["2024-03-01 10:%02d:00 /api/click 200 %d" % (i % 60, i) for i in range(300)]
+    spark.createDataFrame([(v,) for v in rows], "value string").repartition(6).write.text(folder)
+    out = work_path(spark, "hot-out")
+    stream = dedupe_stream(typed_stream(text.read_line_stream(spark, folder)), salt_buckets=4)
+    streaming.run_available_now(stream, out, out + "-ckpt")
+    got = spark.read.parquet(out)
+    assert got.count() == 301
+    assert got.filter(F.col("endpoint") == "/api/view").count() == 1

@@ -32,10 +32,22 @@ def typed_stream(lines: DataFrame, delay: str = DEFAULT_DELAY) -> DataFrame:
     return typed.withColumn("event_time", instant_of("ts")).withWatermark("event_time", delay)
 
 
-def dedupe_stream(typed: DataFrame) -> DataFrame:
+def dedupe_stream(typed: DataFrame, salt_buckets: int = 8) -> DataFrame:
     """Exact duplicates removed; the event time is part of the key, so the
-    state of a key is dropped once the watermark passes it."""
-    return typed.dropDuplicates([*TYPED_COLUMNS, "event_time"])
+    state of a key is dropped once the watermark passes it.
+
+    Streaming dedupe has no map-side combine, so every copy of a hot row
+    would reach one task.  With ``salt_buckets > 1`` a first dedupe keyed by
+    (row, input partition mod salt_buckets) spreads the copies over up to
+    that many tasks and passes on at most ``salt_buckets`` copies per row;
+    the second, exact dedupe keyed by the row alone removes the rest.  A
+    retried task reads the same input partition, so its salt is stable.
+    """
+    keys = [*TYPED_COLUMNS, "event_time"]
+    if salt_buckets <= 1:
+        return typed.dropDuplicates(keys)
+    salted = typed.withColumn("_salt", F.pmod(F.spark_partition_id(), F.lit(salt_buckets)))
+    return salted.dropDuplicates([*keys, "_salt"]).drop("_salt").dropDuplicates(keys)
 
 
 def feature_stream(lines: DataFrame, width: str = fixed.WINDOW_WIDTH, delay: str = DEFAULT_DELAY,
