@@ -76,10 +76,11 @@ def threshold_sweep(pred: DataFrame, step: float = 0.05, score: str = "prob_anom
     idx = F.least(F.lit(m), F.greatest(F.lit(0), F.ceil(s / F.lit(step)).cast("int") - 1))
     per = pred.groupBy(idx.alias("i")).agg(
         F.count_if(F.col(label) == 1).alias("pos"), F.count_if(F.col(label) == 0).alias("neg"))
-    grid = pred.sparkSession.range(1, m + 1).select(F.col("id").cast("int").alias("i"))
+    # every bucket 0..m, including empty ones (a left join the tiny grid can broadcast)
+    grid = pred.sparkSession.range(0, m + 1).select(F.col("id").cast("int").alias("i"))
     above = Window.orderBy(F.desc("i")).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     everything = Window.partitionBy()
-    table = (grid.join(per, "i", "full_outer").fillna(0, ["pos", "neg"])
+    table = (grid.join(per, "i", "left").fillna(0, ["pos", "neg"])
              .select("i", F.sum("pos").over(above).alias("tp"), F.sum("neg").over(above).alias("fp"),
                      F.sum("pos").over(everything).alias("p")))
     return table.filter(F.col("i") >= 1).select(
