@@ -88,10 +88,12 @@ def main() -> None:
                           extra={"spark.driver.memory": "8g"})
     times: dict[str, float] = {}
 
-    # warm-up: one full run on the smallest data (JVM JIT, codegen caches);
-    # not reported
-    etl_run(spark, tables.read_table(spark, "/root/testdata/sf0.001", "events"), "warmup", {})
-    Frames(spark, "/root/testdata/sf0.001").labeled("1 hour").collect()
+    # warm-up: one full run on the smallest data next to the bench data (JVM
+    # JIT, codegen caches); not reported
+    warm_dir = os.path.join(os.path.dirname(sf_dir), "sf0.001")
+    if os.path.exists(os.path.join(warm_dir, "events.parquet")):
+        etl_run(spark, tables.read_table(spark, warm_dir, "events"), "warmup", {})
+        Frames(spark, warm_dir).labeled("1 hour").collect()
 
     events = tables.spread(tables.read_table(spark, sf_dir, "events"))
     sf_lines = etl_run(spark, events, "sf", times)
