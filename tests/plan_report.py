@@ -17,7 +17,8 @@ ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 sys.path.insert(0, ROOT)
 
 SIDE_EFFECTS = {"labels_csv", "partition_counts", "file_inventory", "reconcile", "lr_batch_score", "cv_grid",
-                "coefficient_table", "stream_features", "stream_dedupe", "stream_score", "run_audit"}
+                "coefficient_table", "stream_features", "stream_dedupe", "stream_score", "run_audit",
+                "stage_metrics"}
 
 
 def summary(plan: str) -> dict:

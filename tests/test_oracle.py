@@ -16,7 +16,8 @@ def con(small_dir):
 
 def test_every_query_has_a_twin_or_is_rows_only():
     rows_only = set(entry.queries()) - set(SQL)
-    assert rows_only <= {"lr_batch_score", "cv_grid", "coefficient_table", "file_inventory", "run_audit"}
+    assert rows_only <= {"lr_batch_score", "cv_grid", "coefficient_table", "file_inventory", "run_audit",
+                         "stage_metrics"}
     assert set(SQL) <= set(entry.queries())
 
 

@@ -60,3 +60,11 @@ def cleaning_audit(parsed: DataFrame) -> DataFrame:
                                  F.lit(6), F.lit("null_timestamp"), "null_ts")
                          .alias("step_no", "step", "rows"))
     return first.unionByName(second)
+
+
+def dedupe_audit(parsed: DataFrame) -> DataFrame:
+    """One row: accepted rows, rows after dedupe, duplicates removed (one
+    grouping of the typed rows with a multiplicity count)."""
+    groups = typed_rows(parsed).groupBy(*TYPED_COLUMNS).agg(F.count(F.lit(1)).alias("n"))
+    return groups.agg(F.sum("n").alias("accepted"), F.count(F.lit(1)).alias("deduped")).select(
+        "accepted", "deduped", (F.col("accepted") - F.col("deduped")).alias("duplicates"))

@@ -106,3 +106,31 @@ def stage_metrics(spark: SparkSession, event_log_path: str) -> DataFrame:
                  F.sum("shuffle_write").alias("shuffle_write_bytes"), F.sum("run_ms").alias("task_ms"),
                  F.max("run_ms").alias("max_task_ms"), F.avg("run_ms").alias("mean_task_ms"),
                  F.sum("spilled").alias("disk_spilled_bytes")))
+
+
+def stage_summary(spark: SparkSession, action, group: str | None = None) -> DataFrame:
+    """Run ``action()`` under its own job group and return its jobs and
+    stages from Spark's status tracker: ``(job_id, stage_id, tasks,
+    completed_tasks, failed_tasks, skipped)``.  Works with the UI disabled
+    and without an event log (no shuffle bytes there; see
+    :func:`stage_metrics` for those)."""
+    sc = spark.sparkContext
+    group = group or f"windowlens-{uuid.uuid4().hex[:12]}"
+    sc.setJobGroup(group, "windowlens stage summary", interruptOnCancel=False)
+    try:
+        action()
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)
+        sc.setLocalProperty("spark.job.description", None)
+    tracker = sc.statusTracker()
+    rows = []
+    for job_id in tracker.getJobIdsForGroup(group):
+        job = tracker.getJobInfo(job_id)
+        for stage_id in (job.stageIds if job else []):
+            info = tracker.getStageInfo(stage_id)
+            if info is None:
+                continue
+            rows.append((int(job_id), int(stage_id), int(info.numTasks), int(info.numCompletedTasks),
+                         int(info.numFailedTasks), info.numCompletedTasks == 0 and info.numActiveTasks == 0))
+    return spark.createDataFrame(
+        rows, "job_id int, stage_id int, tasks int, completed_tasks int, failed_tasks int, skipped boolean")

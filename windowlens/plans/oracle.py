@@ -393,3 +393,6 @@ SQL_BODIES.update({
         ORDER BY t.ts NULLS LAST, t.endpoint NULLS LAST, t.status_code NULLS LAST, t.response_size NULLS LAST
         LIMIT 5""",
 })
+
+SQL_BODIES["dedupe_audit"] = """SELECT (SELECT count(*) FROM typed) AS accepted, (SELECT count(*) FROM dedup) AS deduped,
+        (SELECT count(*) FROM typed) - (SELECT count(*) FROM dedup) AS duplicates"""

@@ -72,6 +72,11 @@ def q_dedupe_rows(spark, d):
     return Frames(spark, d).deduped
 
 
+@query("dedupe_audit")
+def q_dedupe_audit(spark, d):
+    return clean.dedupe_audit(Frames(spark, d).parsed)
+
+
 @query("cleaning_audit")
 def q_cleaning_audit(spark, d):
     return clean.cleaning_audit(Frames(spark, d).parsed)
@@ -397,3 +402,10 @@ def q_window_features_sliding(spark, d):
 @query("session_features")
 def q_session_features(spark, d):
     return rounded(feat.session_features(Frames(spark, d).deduped, "10 minutes", key="endpoint"))
+
+
+@query("stage_metrics")
+def q_stage_metrics(spark, d):
+    """Jobs and stages of the 5-minute feature job (run into the no-op sink)."""
+    job = Frames(spark, d).features("5 minutes")
+    return runlog.stage_summary(spark, lambda: job.write.format("noop").mode("overwrite").save())
