@@ -50,3 +50,14 @@ def test_approx_distinct_close_to_exact(spark, small_dir):
     exact = quality.distribution(labeled).first()["distinct_values"]
     approx = quality.distribution(labeled, approx_distinct=True).first()["distinct_values"]
     assert abs(exact - approx) <= max(2, 0.05 * exact)
+
+
+def test_size_shuffles_from_input_bytes(spark, small_dir):
+    from windowlens.session import input_size, size_shuffles
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        assert size_shuffles(spark, 100 * (1 << 40)) == 200_000  # 100 TB -> capped
+        assert size_shuffles(spark, 10 * (1 << 30), target_partition_bytes=128 << 20) == 80
+        assert input_size(spark, small_dir + "/events.parquet") > 0
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)

@@ -65,3 +65,26 @@ def checkpoint_dir(spark: SparkSession) -> str:
 def work_path(spark: SparkSession, name: str) -> str:
     """A new, unique output folder below the shared checkpoint folder."""
     return f"{checkpoint_dir(spark)}/windowlens/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def size_shuffles(spark: SparkSession, input_bytes: int, target_partition_bytes: int = 256 << 20,
+                  min_partitions: int = 8, max_partitions: int = 200_000) -> int:
+    """Set ``spark.sql.shuffle.partitions`` so that a shuffle of the whole
+    input would give partitions of about ``target_partition_bytes`` (AQE
+    then coalesces smaller shuffles to ``advisoryPartitionSizeInBytes``).
+    For 100 TB of logs and 256 MB this is about 400k, capped at
+    ``max_partitions``.  Returns the value set."""
+    n = max(min_partitions, min(max_partitions, -(-input_bytes // target_partition_bytes)))
+    spark.conf.set("spark.sql.shuffle.partitions", str(n))
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", str(min(target_partition_bytes, 256 << 20)))
+    return n
+
+
+def input_size(spark: SparkSession, path: str) -> int:
+    """Total bytes of the files under ``path``, from a file listing (the
+    ``binaryFile`` source with only its ``length`` column; contents are not
+    read)."""
+    from pyspark.sql import functions as F
+    files = (spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+             .agg(F.sum("length").alias("bytes")))
+    return int(files.first()["bytes"] or 0)

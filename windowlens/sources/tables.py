@@ -23,5 +23,9 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     Round-robin repartitioning sorts first by default, so a retried task
     sees the same rows.
     """
-    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= target else df.repartition(target)
+    try:
+        target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+        current = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 - e.g. a Spark Connect session has no RDD view
+        return df
+    return df if current >= target else df.repartition(target)
