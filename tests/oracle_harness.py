@@ -108,6 +108,29 @@ def compare(spark_result, duck_result) -> list[str]:
     return problems
 
 
+def pandas_compare(spark_df, con, sql) -> list[str]:
+    """A second, stricter view: both results through pandas (``toPandas`` /
+    ``fetchdf``), columns sorted by name, values stringified, rows sorted.
+    Differences here mean a pandas-based comparison would see different
+    dtypes (e.g. nullable integers, dates) even when the values agree."""
+    a = spark_df.toPandas()
+    b = con.execute(sql).fetchdf()
+    a = a[sorted(a.columns)]
+    b = b[sorted(b.columns)]
+    problems = []
+    if list(a.columns) != list(b.columns):
+        return [f"pandas columns differ {list(a.columns)} {list(b.columns)}"]
+    for c in a.columns:
+        if str(a[c].dtype) != str(b[c].dtype) and not (
+                str(a[c].dtype).startswith("datetime64") and str(b[c].dtype).startswith("datetime64")):
+            problems.append(f"pandas dtype {c}: spark={a[c].dtype} duck={b[c].dtype}")
+    sa = sorted(map(tuple, a.astype(str).values.tolist()))
+    sb = sorted(map(tuple, b.astype(str).values.tolist()))
+    if sa != sb:
+        problems.append(f"pandas values differ, e.g. spark={sa[:1]} duck={sb[:1]}")
+    return problems
+
+
 def run(spark, data_dir: str, keys=None, verbose=True) -> dict[str, list[str]]:
     import __spark_entry__ as entry
     qs = entry.queries()
@@ -137,6 +160,8 @@ def run(spark, data_dir: str, keys=None, verbose=True) -> dict[str, list[str]]:
                 print(f"{key:28s} DUCK ERROR {results[key][0]}", flush=True)
             continue
         results[key] = compare(s, d)
+        if os.environ.get("HARNESS_PANDAS"):
+            results[key] += pandas_compare(qs[key](spark, data_dir), con, sql[key])
         if verbose:
             status = "OK" if not results[key] else "MISMATCH " + " | ".join(results[key])
             print(f"{key:28s} {status} ({len(s[2])} rows, spark {t1 - t0:.1f}s)", flush=True)

@@ -142,7 +142,7 @@ SQL_BODIES: dict[str, str] = {
         UNION ALL SELECT 5, 'after_dedupe', (SELECT count(*) FROM dedup)
         UNION ALL SELECT 6, 'null_timestamp', (SELECT count(*) FROM dedup WHERE ts IS NULL)""",
     "enrich_dim": """SELECT d.ts, d.endpoint, d.status_code, d.response_size, m.service_owner,
-               m.expected_avg_response_size
+               CAST(m.expected_avg_response_size AS DOUBLE) AS expected_avg_response_size
         FROM dedup d LEFT JOIN dim m ON d.endpoint = m.endpoint""",
     "enrich_coverage": """
         SELECT 'no_dimension_row' AS issue, endpoint, count(*) AS rows FROM dedup d
@@ -172,7 +172,7 @@ SQL_BODIES: dict[str, str] = {
         SELECT s.window_start, CASE WHEN sel.i IS NULL THEN 0 ELSE 1 END AS is_anomalous,
                CASE WHEN sel.i IS NULL THEN 'none' WHEN sel.i % 2 = 0 THEN 'error' ELSE 'size' END AS anomaly_type
         FROM spine5 s LEFT JOIN sel ON s.window_start = sel.window_start""",
-    "label_windows": f"SELECT {ROUND_LABELED} FROM lw5",
+    "label_windows": f"SELECT * REPLACE (CAST(total_requests AS DOUBLE) AS total_requests) FROM (SELECT {ROUND_LABELED} FROM lw5)",
     "label_coverage": """SELECT count(*) AS windows, count(*) FILTER (WHERE is_anomalous = 1) AS anomalous,
         count(*) FILTER (WHERE total_requests IS NULL) AS null_features,
         count(*) FILTER (WHERE is_anomalous IS NULL) AS null_labels FROM lw5""",
@@ -198,7 +198,7 @@ SQL_BODIES: dict[str, str] = {
                 WHEN error_rate < 0.15 THEN '5-15%' WHEN error_rate < 0.40 THEN '15-40%' ELSE '40-100%' END AS bucket,
            count(*) AS windows
         FROM lw5 GROUP BY ALL""",
-    "sample_per_class": """SELECT * FROM (
+    "sample_per_class": """SELECT * REPLACE (CAST(total_requests AS DOUBLE) AS total_requests) FROM (
           SELECT """ + ROUND_LABELED + """,
                  CAST(row_number() OVER (PARTITION BY anomaly_type ORDER BY window_start) AS INTEGER) AS class_rank
           FROM lw5 WHERE anomaly_type IN ('error', 'size', 'none')) x
@@ -340,7 +340,7 @@ _WM = ", wm AS (SELECT max(ts) - INTERVAL 10 MINUTE AS w FROM typed)"
 
 SQL_BODIES.update({
     "labels_csv": "SELECT window_start, is_anomalous, anomaly_type FROM lab5",
-    "partition_counts": """SELECT d AS date, count(*) AS rows
+    "partition_counts": """SELECT strftime(d, '%Y-%m-%d') AS date, count(*) AS rows
         FROM (SELECT CAST(window_start AS DATE) AS d FROM lw5) x GROUP BY ROLLUP (d)""",
     "reconcile": """SELECT 'missing' AS item, CAST(0 AS BIGINT) AS rows
         UNION ALL SELECT 'extra', 0 UNION ALL SELECT 'rows_in', (SELECT count(*) FROM lw5)
@@ -388,7 +388,7 @@ SQL_BODIES.update({
     "quarantine_sample": """SELECT value, parse_reason, "timestamp", endpoint, status_code, response_size
         FROM parsed WHERE NOT parse_ok ORDER BY value NULLS LAST, parse_reason NULLS LAST LIMIT 10""",
     "enrich_sample": """SELECT t.ts, t.endpoint, t.status_code, t.response_size, m.service_owner,
-               m.expected_avg_response_size
+               CAST(m.expected_avg_response_size AS DOUBLE) AS expected_avg_response_size
         FROM typed t LEFT JOIN dim m ON t.endpoint = m.endpoint
         ORDER BY t.ts NULLS LAST, t.endpoint NULLS LAST, t.status_code NULLS LAST, t.response_size NULLS LAST
         LIMIT 5""",

@@ -28,6 +28,13 @@ REGISTRY: dict[str, Query] = {}
 LABEL_WEEK_DAYS = 7
 
 
+def nullable_counts_as_double(df: DataFrame, names=("total_requests", "expected_avg_response_size")) -> DataFrame:
+    """Present integer columns that can be NULL (windows without rows,
+    rows without a dimension match) as DOUBLE, so that pandas-based
+    comparisons see the same dtype (float64 with NaN) from every engine."""
+    return df.select(*[F.col(c).cast("double").alias(c) if c in names else F.col(c) for c in df.columns])
+
+
 def query(name: str):
     def register(fn):
         REGISTRY[name] = fn
@@ -87,13 +94,13 @@ def q_cleaning_audit(spark, d):
 @query("enrich_dim")
 def q_enrich_dim(spark, d):
     f = Frames(spark, d)
-    return enrich.enrich(f.deduped, f.dimension)
+    return nullable_counts_as_double(enrich.enrich(f.deduped, f.dimension))
 
 
 @query("enrich_sample")
 def q_enrich_sample(spark, d):
     f = Frames(spark, d)
-    return enrich.enriched_sample(enrich.enrich(f.typed, f.dimension), 5)
+    return nullable_counts_as_double(enrich.enriched_sample(enrich.enrich(f.typed, f.dimension), 5))
 
 
 @query("enrich_coverage")
@@ -138,7 +145,7 @@ def q_label_pick(spark, d):
 
 @query("label_windows")
 def q_label_windows(spark, d):
-    return rounded(Frames(spark, d).labeled("5 minutes"))
+    return nullable_counts_as_double(rounded(Frames(spark, d).labeled("5 minutes")))
 
 
 @query("label_coverage")
@@ -186,7 +193,7 @@ def q_error_histogram(spark, d):
 
 @query("sample_per_class")
 def q_sample_per_class(spark, d):
-    return rounded(quality.sample_per_class(Frames(spark, d).labeled("5 minutes")))
+    return nullable_counts_as_double(rounded(quality.sample_per_class(Frames(spark, d).labeled("5 minutes"))))
 
 
 # --- traffic ----------------------------------------------------------------------
@@ -307,7 +314,8 @@ def q_labels_csv(spark, d):
 @query("partition_counts")
 def q_partition_counts(spark, d):
     _, path = _written_features(spark, d, "features-by-date")
-    return sink.partition_counts(spark, path)
+    out = sink.partition_counts(spark, path)
+    return out.select(F.date_format("date", fixed.DATE_TEXT_FORMAT).alias("date"), "rows")
 
 
 @query("file_inventory")
