@@ -1,6 +1,5 @@
 """Parser edge lines (tag, reason, fields) and typed-row casts."""
 
-from pyspark.sql import functions as F
 
 from windowlens.operators.clean import typed_rows
 from windowlens.operators.parse import parse_audit, parse_lines, quarantine

@@ -29,7 +29,7 @@ def pick_labels(spine: DataFrame, fraction: float = fixed.ANOMALY_WINDOW_FRACTIO
     a ``row_number`` over the k picked windows only.
     """
     n = spine.count()
-    k = int(round(n * fraction))
+    k = int(round(n * fraction))  # Python rounding: half to even, as the original generator
     key = F.pmod(epoch_seconds("window_start") * F.lit(2654435761) + F.lit(seed), F.lit(1000003))
     picked = (spine.select("window_start", key.alias("_h"))
               .orderBy("_h", "window_start").limit(k)

@@ -165,7 +165,7 @@ SQL_BODIES: dict[str, str] = {
         , hh AS (SELECT window_start,
                         ((CAST(epoch(window_start) AS BIGINT) * 2654435761 + 42) % 1000003 + 1000003) % 1000003 AS h
                  FROM spine5),
-        kk AS (SELECT CAST(floor(CAST(count(*) AS DOUBLE) * 0.04 + 0.5) AS BIGINT) AS k FROM spine5),
+        kk AS (SELECT CAST(round_even(CAST(count(*) AS DOUBLE) * 0.04, 0) AS BIGINT) AS k FROM spine5),
         ranked AS (SELECT window_start, row_number() OVER (ORDER BY h, window_start) AS r FROM hh),
         sel AS (SELECT window_start, row_number() OVER (ORDER BY window_start) - 1 AS i
                 FROM ranked, kk WHERE r <= kk.k)
