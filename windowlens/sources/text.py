@@ -4,16 +4,21 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from windowlens.sources.tables import spread
+
 LINE_SCHEMA = "value STRING"
 
 
-def read_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
+def read_lines(spark: SparkSession, path: str | list[str], spread_input: bool = True) -> DataFrame:
     """Read text files as lines, no schema imposed (parsing comes next).
 
     Splittable text is read in ``spark.sql.files.maxPartitionBytes`` chunks,
-    so the scan parallelises with the input size.
+    so the scan parallelises with the input size.  A few non-splittable files
+    (e.g. one large gzip log) give fewer tasks than cores; ``spread_input``
+    then spreads the lines before the per-line parsing.
     """
-    return spark.read.text(path)
+    lines = spark.read.text(path)
+    return spread(lines) if spread_input else lines
 
 
 def read_line_stream(spark: SparkSession, path: str, max_files_per_trigger: int | None = None) -> DataFrame:
