@@ -40,26 +40,36 @@ def dedupe(rows: DataFrame, keys: Sequence[str] | None = None) -> DataFrame:
 def cleaning_audit(parsed: DataFrame) -> DataFrame:
     """Row counts per cleaning step as ``(step_no, step, rows)``.
 
-    Lines read and rejected come from one global aggregate; accepted, deduped,
-    duplicate and NULL-timestamp counts from one grouping of the typed rows
-    with a multiplicity count (the same shuffle a dedupe needs).  The two
-    one-row results are stacked with ``union``, not joined.
+    One scan: all lines are grouped by (tag, typed fields) with a
+    multiplicity count (the same shuffle a dedupe needs; rejected lines,
+    whose fields are mostly empty, collapse in the map-side partial
+    aggregate), and one global aggregate over the groups gives lines read,
+    rejected, accepted, duplicates, deduped rows and deduped rows whose
+    timestamp did not survive the cast.
     """
     ok = F.col("parse_ok")
-    lines = parsed.agg(F.count(F.lit(1)).alias("read"), F.count_if(~ok).alias("rejected"))
-    groups = typed_rows(parsed).groupBy(*TYPED_COLUMNS).agg(F.count(F.lit(1)).alias("n"))
-    kept = groups.agg(F.sum("n").alias("accepted"),
-                      F.count(F.lit(1)).alias("deduped"),
-                      F.count_if(F.col("ts").isNull()).alias("null_ts"))
-    first = lines.select(F.stack(F.lit(2), F.lit(1), F.lit("lines_read"), "read",
-                                 F.lit(2), F.lit("rejected"), "rejected")
-                         .alias("step_no", "step", "rows"))
-    second = kept.select(F.stack(F.lit(4), F.lit(3), F.lit("accepted"), "accepted",
-                                 F.lit(4), F.lit("duplicates"), F.col("accepted") - F.col("deduped"),
-                                 F.lit(5), F.lit("after_dedupe"), "deduped",
-                                 F.lit(6), F.lit("null_timestamp"), "null_ts")
-                         .alias("step_no", "step", "rows"))
-    return first.unionByName(second)
+    cast = parsed.select(
+        ok,
+        F.col("timestamp").try_cast("timestamp_ntz").alias("ts"),
+        F.col("endpoint"),
+        F.col("status_code").try_cast("int").alias("status_code"),
+        F.col("response_size").try_cast("bigint").alias("response_size"))
+    groups = cast.groupBy("parse_ok", *TYPED_COLUMNS).agg(F.count(F.lit(1)).alias("n"))
+    n = F.col("n")
+    totals = groups.agg(
+        F.sum(n).alias("read"),
+        F.coalesce(F.sum(F.when(~ok, n)), F.lit(0)).alias("rejected"),
+        F.coalesce(F.sum(F.when(ok, n)), F.lit(0)).alias("accepted"),
+        F.count_if(ok).alias("deduped"),
+        F.count_if(ok & F.col("ts").isNull()).alias("null_ts"))
+    return totals.select(F.stack(
+        F.lit(6),
+        F.lit(1), F.lit("lines_read"), F.col("read"),
+        F.lit(2), F.lit("rejected"), F.col("rejected"),
+        F.lit(3), F.lit("accepted"), F.col("accepted"),
+        F.lit(4), F.lit("duplicates"), F.col("accepted") - F.col("deduped"),
+        F.lit(5), F.lit("after_dedupe"), F.col("deduped"),
+        F.lit(6), F.lit("null_timestamp"), F.col("null_ts")).alias("step_no", "step", "rows"))
 
 
 def dedupe_audit(parsed: DataFrame) -> DataFrame:
