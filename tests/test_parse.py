@@ -60,3 +60,12 @@ def test_quarantine_and_audit(spark):
 def test_one_regex_pass_no_python(spark):
     plan = parse_lines(_lines(spark, [GOOD]))._jdf.queryExecution().executedPlan().toString()
     assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan
+
+
+def test_strict_timestamps_reject_calendar_invalid_stamps(spark):
+    lines = _lines(spark, [GOOD, "2026-13-45 99:99:99 /api/search 200 912", ""])
+    got = {r["value"]: r for r in parse_lines(lines, strict_timestamps=True).collect()}
+    assert got[GOOD]["parse_ok"] is True
+    bad = got["2026-13-45 99:99:99 /api/search 200 912"]
+    assert bad["parse_ok"] is False and bad["parse_reason"] == "bad_timestamp"
+    assert typed_rows(parse_lines(lines, strict_timestamps=True)).filter("ts is null").count() == 0

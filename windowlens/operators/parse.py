@@ -16,16 +16,21 @@ from windowlens.functions import fixed
 
 FIELDS = ("timestamp", "endpoint", "status_code", "response_size")
 REASON_OK, REASON_NULL, REASON_BLANK, REASON_MALFORMED = "ok", "null", "blank", "malformed"
+REASON_BAD_TIMESTAMP = "bad_timestamp"
 
 
 def parse_lines(raw: DataFrame, value_col: str = "value",
-                pattern: str = fixed.LOG_LINE_PATTERN) -> DataFrame:
+                pattern: str = fixed.LOG_LINE_PATTERN, strict_timestamps: bool = False) -> DataFrame:
     """Add ``timestamp endpoint status_code response_size`` (strings),
     ``parse_ok`` (boolean) and ``parse_reason`` to a lines frame.
 
     A line passes when the anchored pattern matches the whole, non-empty line.
     Fields of a non-matching line are ``''`` (NULL for a NULL line); fields of
     a line with a trailing line terminator are filled but the line fails.
+    The pattern admits calendar-invalid stamps (``2024-13-45 99:99:99``);
+    by default they pass and become NULL at the cast (counted as
+    ``null_timestamp``); ``strict_timestamps`` rejects them here with reason
+    ``bad_timestamp``.
     """
     value = F.col(value_col)
     # the one regex evaluation per line; kept as a column so later
@@ -41,8 +46,13 @@ def parse_lines(raw: DataFrame, value_col: str = "value",
         "response_size": F.get(parts, 4),
     }
     ok = F.coalesce((whole != F.lit("")) & (whole == value), F.lit(False))
+    bad_stamp = F.lit(False)
+    if strict_timestamps:
+        bad_stamp = ok & pieces["timestamp"].try_cast("timestamp_ntz").isNull()
+        ok = ok & ~bad_stamp
     reason = (F.when(value.isNull(), F.lit(REASON_NULL))
                .when(value == F.lit(""), F.lit(REASON_BLANK))
+               .when(bad_stamp, F.lit(REASON_BAD_TIMESTAMP))
                .when(ok, F.lit(REASON_OK))
                .otherwise(F.lit(REASON_MALFORMED)))
     cols = [F.when(whole == F.lit(""), F.lit("")).when(whole.isNotNull(), expr).alias(name)

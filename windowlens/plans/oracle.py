@@ -396,3 +396,8 @@ SQL_BODIES.update({
 
 SQL_BODIES["dedupe_audit"] = """SELECT (SELECT count(*) FROM typed) AS accepted, (SELECT count(*) FROM dedup) AS deduped,
         (SELECT count(*) FROM typed) - (SELECT count(*) FROM dedup) AS duplicates"""
+
+SQL_BODIES["parse_reasons_strict"] = """SELECT CASE WHEN parse_reason = 'ok' AND TRY_CAST("timestamp" AS TIMESTAMP) IS NULL
+                                         THEN 'bad_timestamp' ELSE parse_reason END AS parse_reason,
+               count(*) AS lines
+        FROM parsed GROUP BY 1"""

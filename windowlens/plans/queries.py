@@ -59,6 +59,11 @@ def q_parse_reasons(spark, d):
     return parse.reason_counts(Frames(spark, d).parsed)
 
 
+@query("parse_reasons_strict")
+def q_parse_reasons_strict(spark, d):
+    return parse.reason_counts(parse.parse_lines(Frames(spark, d).lines, strict_timestamps=True))
+
+
 @query("quarantine_rows")
 def q_quarantine_rows(spark, d):
     return parse.quarantine(Frames(spark, d).parsed)
