@@ -100,6 +100,9 @@ def main() -> None:
 
     f = Frames(spark, sf_dir)
     times["features_5m_one_plan"] = timed(lambda: f.features("5 minutes").collect())
+    times["features_5m_approx_p95"] = timed(
+        lambda: feat.window_features(f.deduped, "5 minutes", method="approx").collect())
+    times["session_features_10m"] = timed(lambda: feat.session_features(f.deduped, "10 minutes").collect())
     times["label_windows_1h"] = timed(lambda: f.labeled("1 hour").collect())
     scored = evaluate.score_logistic(f.hourly_training)
     times["score_confusion_auc"] = timed(lambda: (evaluate.confusion(scored).collect(),
