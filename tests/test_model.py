@@ -64,3 +64,17 @@ def test_forward_chaining_cv_runs(spark, small_dir):
     data = Frames(spark, small_dir).hourly_training
     table = model.cross_validate_time(spark, data, folds=2, reg_params=[0.01], elastic_nets=[0.0]).collect()
     assert len(table) == 1 and table[0]["folds_used"] >= 1
+
+
+def test_train_then_predict_end_to_end(spark, small_dir):
+    from windowlens.plans import etl
+    from windowlens.session import work_path
+    table = Frames(spark, small_dir).labeled("1 hour")
+    path = work_path(spark, "model")
+    grid, test_pred, metrics, coefs = etl.train(spark, table, path)
+    assert grid.count() == 9 and coefs.count() == 5
+    assert test_pred.count() == table.filter(F.col("total_requests").isNotNull()).count() - \
+        int(table.filter(F.col("total_requests").isNotNull()).count() * 0.8)
+    pred, conf, m, dist = etl.predict(path, table)
+    assert conf.first()["total"] == table.filter(F.col("total_requests").isNotNull()).count()
+    assert 0.0 <= m.first()["accuracy"] <= 1.0

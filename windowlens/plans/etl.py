@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from windowlens.functions import fixed
-from windowlens.operators import clean, enrich, features, labels, parse, sink
+from windowlens.operators import clean, enrich, evaluate, features, labels, model, parse, sink, split
 
 
 def extract(lines: DataFrame, dimension: DataFrame | None = None) -> DataFrame:
@@ -37,3 +37,28 @@ def load(spark: SparkSession, table: DataFrame, path: str, ts: str = "window_sta
     table (``date`` comes back as DATE through partition discovery)."""
     sink.write_partitioned(sink.with_date(table, ts), path)
     return spark.read.parquet(path)
+
+
+def train(spark: SparkSession, features_table: DataFrame, model_path: str,
+          fraction: float = fixed.TRAIN_FRACTION, folds: int = fixed.CV_FOLDS, seed: int = fixed.CV_SEED):
+    """Chronological split, grid search with cross-validation on the train
+    part, best model refit and saved, test part scored.
+
+    Returns ``(grid, test_predictions, test_metrics, coefficients)`` as
+    DataFrames; rows without features are skipped.
+    """
+    parts = split.chrono_split(labels.with_features_only(features_table), fraction)
+    cv_model, lr = model.cross_validate(split.train_part(parts), folds=folds, seed=seed)
+    best = cv_model.bestModel
+    model.save(best, model_path)
+    predictions = model.score(best, split.test_part(parts))
+    metrics = evaluate.metrics(evaluate.confusion(predictions))
+    return model.grid_table(spark, cv_model, lr), predictions, metrics, model.coefficient_table(spark, best)
+
+
+def predict(model_path: str, features_table: DataFrame):
+    """Score a (later) labelled feature table with a saved model; returns
+    ``(predictions, confusion, metrics, prediction_distribution)``."""
+    predictions = model.score(model.load(model_path), labels.with_features_only(features_table))
+    confusion = evaluate.confusion(predictions)
+    return predictions, confusion, evaluate.metrics(confusion), evaluate.prediction_distribution(predictions)
