@@ -58,3 +58,12 @@ def test_no_python_rows_in_plans(spark, small_dir, key):
     plan = _plan(entry.queries()[key](spark, small_dir))
     for node in ("BatchEvalPython", "ArrowEvalPython", "FlatMapGroupsInPandas", "MapInPandas"):
         assert node not in plan
+
+
+def test_large_dimension_is_not_broadcast(spark, small_dir):
+    f = Frames(spark, small_dir)
+    assert enrich.broadcast_size_ok(f.dimension)
+    assert not enrich.broadcast_size_ok(f.dimension, max_rows=2)
+    assert not enrich.broadcast_size_ok(f.dimension, max_bytes=10)
+    out = enrich.enrich(f.deduped, f.dimension, max_broadcast_rows=2)
+    assert out.count() == f.deduped.count()
