@@ -5,7 +5,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import Window
 
 from windowlens.functions import fixed
 from windowlens.functions.expressions import daypart_factor, is_weekend, text_timestamp, weekend_factor
@@ -41,21 +40,19 @@ def allocate(spine: DataFrame, total_rows: DataFrame, ts: str = "window_start")
     ``round(total * w / sum(w))``, the last window absorbing the rounding
     drift so the parts add up exactly.
 
-    ``total_rows`` is a one-row frame with column ``total`` (used as a
-    scalar subquery).  The windows are
-    a calendar (bounded by the time span), so the running sums over all of
-    them run in one task by design.
+    ``total_rows`` is a one-row frame with column ``total``.  The total, the
+    weight sum, the last window and the drift are global aggregates used as
+    scalar subqueries (partial aggregation, no single-partition window), so
+    the windows stay spread over tasks.
     """
-    w_all = Window.partitionBy()
-    # the one-row total enters as a scalar subquery, not as a join
+    weighted = spine.select(ts, (daypart_factor(ts) * weekend_factor(ts)).alias("weight"))
     total = total_rows.select("total").scalar()
-    joined = spine.select(ts, (daypart_factor(ts) * weekend_factor(ts)).alias("weight"),
-                          total.alias("total"))
-    share = F.round(F.col("total") * F.col("weight") / F.sum("weight").over(w_all)).cast("bigint")
-    with_share = joined.withColumn("_rows", share)
-    is_last = F.col(ts) == F.max(ts).over(w_all)
-    drift = F.col("total") - F.sum("_rows").over(w_all)
-    return with_share.select(ts, "weight", F.when(is_last, F.col("_rows") + drift)
+    weight_sum = weighted.agg(F.sum("weight")).scalar()
+    last = weighted.agg(F.max(ts)).scalar()
+    share = F.round(total * F.col("weight") / weight_sum).cast("bigint")
+    with_share = weighted.select(ts, "weight", share.alias("_rows"))
+    drift = total - with_share.agg(F.sum("_rows")).scalar()
+    return with_share.select(ts, "weight", F.when(F.col(ts) == last, F.col("_rows") + drift)
                              .otherwise(F.col("_rows")).alias("rows"))
 
 
