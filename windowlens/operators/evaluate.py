@@ -57,6 +57,7 @@ def metrics(conf: DataFrame) -> DataFrame:
 def prediction_distribution(pred: DataFrame, prediction: str = "prediction") -> DataFrame:
     """Windows per predicted class and their share."""
     counts = pred.groupBy(prediction).agg(F.count(F.lit(1)).alias("windows"))
+    # unpartitioned window over the grouped table: one row per predicted class
     return counts.select(prediction, "windows",
                          (F.col("windows").cast("double") / F.sum("windows").over(Window.partitionBy()))
                          .alias("share"))

@@ -79,6 +79,7 @@ def label_coverage(labeled: DataFrame) -> DataFrame:
 def label_mix(label_df: DataFrame) -> DataFrame:
     """Windows per anomaly type and their share of all windows."""
     counts = label_df.groupBy("anomaly_type").agg(F.count(F.lit(1)).alias("windows"))
+    # unpartitioned window over the grouped table: one row per label type
     total = F.sum("windows").over(Window.partitionBy())
     return counts.select("anomaly_type", "windows",
                          (F.col("windows").cast("double") / total).alias("share"))
