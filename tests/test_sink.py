@@ -61,3 +61,19 @@ def test_size_shuffles_from_input_bytes(spark, small_dir):
         assert input_size(spark, small_dir + "/events.parquet") > 0
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+def test_dimension_reader_csv_and_parquet(spark, small_dir):
+    from windowlens.operators import enrich
+    from windowlens.sources.dimension import read_dimension
+    f = Frames(spark, small_dir)
+    csv_path, pq_path = work_path(spark, "dim-csv"), work_path(spark, "dim-pq")
+    f.dimension.write.option("header", True).csv(csv_path)
+    f.dimension.write.parquet(pq_path)
+    from_csv = read_dimension(spark, csv_path, fmt="csv", options={"header": "true"})
+    from_pq = read_dimension(spark, pq_path)
+    assert dict(from_csv.dtypes)["expected_avg_response_size"] == "bigint"
+    assert from_csv.exceptAll(from_pq).count() == 0 and from_pq.count() == f.dimension.count()
+    a = enrich.enrich(f.deduped, from_csv)
+    b = enrich.enrich(f.deduped, f.dimension)
+    assert a.count() == b.count() and a.exceptAll(b).count() == 0
