@@ -77,3 +77,16 @@ def test_dimension_reader_csv_and_parquet(spark, small_dir):
     a = enrich.enrich(f.deduped, from_csv)
     b = enrich.enrich(f.deduped, f.dimension)
     assert a.count() == b.count() and a.exceptAll(b).count() == 0
+
+
+def test_window_range_prunes_partitions(spark, small_dir):
+    path = work_path(spark, "range")
+    table = Frames(spark, small_dir).labeled("1 hour")
+    sink.write_partitioned(sink.with_date(table), path)
+    got = sink.read_window_range(spark, path, "2024-01-05 06:00:00", "2024-01-07 00:00:00")
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(date" in plan
+    assert got.count() == 42  # 18 hours of Jan 5 + 24 of Jan 6
+    expected = table.filter((F.col("window_start") >= F.lit("2024-01-05 06:00:00").cast("timestamp_ntz")) &
+                            (F.col("window_start") < F.lit("2024-01-07 00:00:00").cast("timestamp_ntz")))
+    assert got.drop("date").exceptAll(expected).count() == 0

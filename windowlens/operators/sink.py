@@ -70,3 +70,20 @@ def read_features(spark: SparkSession, path: str,
     columns (the ``date`` partition column and anything else is pruned from
     the scan)."""
     return spark.read.parquet(path).select(*columns)
+
+
+def read_window_range(spark: SparkSession, path: str, start: str, end: str,
+                      ts: str = "window_start", partition_col: str = "date") -> DataFrame:
+    """Windows with ``start <= ts < end`` from a date-partitioned table.
+
+    A filter on ``window_start`` alone cannot prune directories; the same
+    range is also stated on the partition column, so only the matching
+    ``date=...`` folders are listed and read.
+    """
+    lo = F.lit(start).cast("timestamp_ntz")
+    hi = F.lit(end).cast("timestamp_ntz")
+    day_lo = F.to_date(lo)
+    day_hi = F.to_date(hi - F.expr("INTERVAL 1 MICROSECOND"))
+    return (spark.read.parquet(path)
+            .filter((F.col(partition_col) >= day_lo) & (F.col(partition_col) <= day_hi))
+            .filter((F.col(ts) >= lo) & (F.col(ts) < hi)))
