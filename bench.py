@@ -29,7 +29,7 @@ from windowlens.operators import features as feat  # noqa: E402
 from windowlens.plans import etl  # noqa: E402
 from windowlens.plans.frames import Frames  # noqa: E402
 from windowlens.session import build_session, work_path  # noqa: E402
-from windowlens.sources import fixtures, tables, text  # noqa: E402
+from windowlens.sources import dimension, fixtures, tables, text  # noqa: E402
 from windowlens.streaming import features as streaming  # noqa: E402
 
 REPLICA_COPIES = int(os.environ.get("BENCH_REPLICA_COPIES", "15"))
@@ -55,15 +55,17 @@ def etl_run(spark, events, tag: str, times: dict) -> int:
     original job (each stage writes Parquet the next one reads)."""
     lines_path = work_path(spark, f"{tag}-lines")
     text.write_lines(fixtures.access_log_lines(events), lines_path)
-    dim = fixtures.endpoint_dimension(events)
-    ext_path, tr_path, load_path, lab_path = (work_path(spark, f"{tag}-{n}")
-                                              for n in ("extract", "transform", "load", "labels"))
-    # labels arrive as a CSV file (written outside the timed stages)
+    ext_path, tr_path, load_path, lab_path, dim_path = (
+        work_path(spark, f"{tag}-{n}") for n in ("extract", "transform", "load", "labels", "dimension"))
+    # the inputs besides the log arrive as files, written outside the timed
+    # stages: the endpoint dimension (Parquet) and the labels (CSV)
+    fixtures.endpoint_dimension(events).write.parquet(dim_path)
     spine_src = events.select(F.col("ts"))
     labels.write_labels_csv(labels.rule_labels(feat.window_spine(spine_src)), lab_path)
 
-    times[f"{tag}_extract"] = timed(lambda: etl.extract(text.read_lines(spark, lines_path), dim)
-                                    .write.mode("overwrite").parquet(ext_path))
+    times[f"{tag}_extract"] = timed(
+        lambda: etl.extract(text.read_lines(spark, lines_path), dimension.read_dimension(spark, dim_path))
+        .write.mode("overwrite").parquet(ext_path))
 
     def do_transform():
         labeled = etl.transform(spark.read.parquet(ext_path), labels.read_labels_csv(spark, lab_path))
