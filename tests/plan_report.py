@@ -18,7 +18,7 @@ sys.path.insert(0, ROOT)
 
 SIDE_EFFECTS = {"labels_csv", "partition_counts", "file_inventory", "reconcile", "lr_batch_score", "cv_grid",
                 "coefficient_table", "stream_features", "stream_dedupe", "stream_score", "run_audit",
-                "stage_metrics"}
+                "stage_metrics", "stream_enrich"}
 
 
 def summary(plan: str) -> dict:

@@ -12,7 +12,7 @@ from windowlens.session import work_path
 # the frame; their plans are checked elsewhere.
 SIDE_EFFECT_KEYS = {"labels_csv", "partition_counts", "file_inventory", "reconcile", "lr_batch_score",
                     "cv_grid", "coefficient_table", "stream_features", "stream_dedupe", "stream_score",
-                    "run_audit", "stage_metrics"}
+                    "run_audit", "stage_metrics", "stream_enrich"}
 
 
 def _plan(df) -> str:

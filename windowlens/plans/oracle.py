@@ -401,3 +401,5 @@ SQL_BODIES["parse_reasons_strict"] = """SELECT CASE WHEN parse_reason = 'ok' AND
                                          THEN 'bad_timestamp' ELSE parse_reason END AS parse_reason,
                count(*) AS lines
         FROM parsed GROUP BY 1"""
+
+SQL_BODIES["stream_enrich"] = SQL_BODIES["enrich_dim"]

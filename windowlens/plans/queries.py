@@ -424,3 +424,13 @@ def q_stage_metrics(spark, d):
     """Jobs and stages of the 5-minute feature job (run into the no-op sink)."""
     job = Frames(spark, d).features("5 minutes")
     return runlog.stage_summary(spark, lambda: job.write.format("noop").mode("overwrite").save())
+
+
+@query("stream_enrich")
+def q_stream_enrich(spark, d):
+    """Deduplicated stream rows enriched with the (static) dimension."""
+    f = Frames(spark, d)
+    lines = text.read_line_stream(spark, _line_folder(spark, d))
+    rows = streaming.dedupe_stream(streaming.typed_stream(lines))
+    out = _run_stream(spark, enrich.enrich(rows, f.dimension), "stream-enrich")
+    return nullable_counts_as_double(out.select(*clean.TYPED_COLUMNS, "service_owner", "expected_avg_response_size"))
