@@ -4,9 +4,9 @@ Rejected lines are kept (tagged), never dropped silently; ``quarantine``
 returns them with a reason.  Only group 0 of the anchored pattern is
 extracted, then split on single spaces, which yields exactly the four
 capture groups because none of them can contain a space.  That replaces five
-group extractions; when a ``parse_ok`` filter is pushed below the projection,
-Catalyst runs the match once more there, so an accepted line is matched
-twice and a rejected line once.
+group extractions, and the match sits behind a one-row ``explode`` so that a
+later ``parse_ok`` filter is not pushed below it and re-inlined: the pattern
+runs once per line.
 """
 
 from __future__ import annotations
@@ -37,7 +37,10 @@ def parse_lines(raw: DataFrame, value_col: str = "value",
     value = F.col(value_col)
     # group 0 as a column, so the field expressions reuse it instead of
     # re-running the pattern
-    matched = raw.select("*", F.regexp_extract(value, pattern, 0).alias("_whole"))
+    # exploding a one-element array puts the match behind a Generate node:
+    # a later filter on parse_ok cannot be pushed below it, so the pattern
+    # runs exactly once per line
+    matched = raw.select("*", F.explode(F.array(F.regexp_extract(value, pattern, 0))).alias("_whole"))
     whole = F.col("_whole")
     parts = F.split(whole, " ")
     # field -> positions in the match split on ' ' (the timestamp has one space)
