@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from windowlens.llm import decontaminate, exact, packing, simhash
+from windowlens.llm import decontaminate, exact, langid, packing, sharding, simhash, urls
 from windowlens.sources.tables import read_table
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -22,6 +22,16 @@ def op2_benchmark_decontamination(spark, d):
     return out.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
 
 
+def op4_language_id(spark, d):
+    out = langid.identify(read_table(spark, d, "documents"))
+    return out.select("doc_id", "held_out", "lang_pred", "score")
+
+
+def op6_url_filters(spark, d):
+    out = urls.filter_urls(read_table(spark, d, "pages"))
+    return out.select("page_id", "host", "path", "rule", "verdict")
+
+
 def op7_best_fit_packing(spark, d):
     out = packing.pack_documents(read_table(spark, d, "documents"), TOKENIZER)
     return out.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
@@ -32,5 +42,10 @@ def op9_exact_dedup(spark, d):
     return out.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+def op10_sharding(spark, d):
+    return sharding.shard_documents(read_table(spark, d, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (
-    op1_simhash_near_dedup, op2_benchmark_decontamination, op7_best_fit_packing, op9_exact_dedup)}
+    op1_simhash_near_dedup, op2_benchmark_decontamination, op4_language_id, op6_url_filters, op7_best_fit_packing,
+    op9_exact_dedup, op10_sharding)}
