@@ -42,10 +42,11 @@ def replaced_answers(convs: DataFrame, parts: int = 256) -> DataFrame:
     is the conversation with its last assistant text replaced by that of
     another conversation, the next one in a hashed order.
 
-    The order is cut into ``parts`` rings by a hash, so no task sees all
-    conversations; only ids and one answer a conversation are moved.  A
-    conversation without an assistant turn, or alone in its ring, is paired
-    with itself.
+    The order is cut into ``parts`` parts by a hash, so no task sees all
+    conversations; the last of a part takes the first answer of the next part
+    (a table of one row a part, sent to the tasks).  Only ids and one answer
+    a conversation are moved.  A conversation without an assistant turn, or
+    the only one with such a turn, is paired with itself.
     """
     at = F.array_max(F.filter(F.transform("turns", lambda x, i: F.when(x["role"] == SCORED, i)),
                               lambda i: i.isNotNull()))
@@ -53,11 +54,14 @@ def replaced_answers(convs: DataFrame, parts: int = 256) -> DataFrame:
     answers = (c.where("at is not null")
                .select("conv_id", F.col("turns")[F.col("at")]["text"].alias("answer"),
                        F.xxhash64("conv_id").alias("h"))
-               .withColumn("ring", F.pmod(F.col("h"), F.lit(parts))))
-    ring = Window.partitionBy("ring").orderBy("h", "conv_id")
-    whole = ring.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    donors = answers.select("conv_id", F.coalesce(F.lead("answer").over(ring), F.first("answer").over(whole))
-                            .alias("answer"))
+               .withColumn("part", F.pmod(F.col("h"), F.lit(parts))))
+    heads = answers.groupBy("part").agg(F.min_by("answer", F.struct("h", "conv_id")).alias("head"))
+    order = Window.orderBy("part")                      # at most ``parts`` rows
+    whole = order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    heads = heads.select("part", F.coalesce(F.lead("head").over(order), F.first("head").over(whole)).alias("next"))
+    inside = Window.partitionBy("part").orderBy("h", "conv_id")
+    donors = (answers.withColumn("answer", F.lead("answer").over(inside)).join(F.broadcast(heads), "part")
+              .select("conv_id", F.coalesce("answer", "next").alias("answer")))
     return c.join(donors, "conv_id", "left").select(
         F.col("conv_id").alias("pair_id"), F.col("turns").alias("chosen"),
         F.when(F.col("at").isNull() | F.col("answer").isNull(), F.col("turns")).otherwise(

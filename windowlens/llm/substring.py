@@ -141,8 +141,8 @@ def repeated_spans(docs: DataFrame, min_words: int = MIN_WORDS, min_chunk: int =
     n_chunks, first_doc_id, copies).
 
     ``start`` and ``size`` are UTF-8 bytes of the text, ``first_doc_id`` is
-    the document that keeps (the start of) the passage, ``copies`` how often
-    its rarest chunk occurs.
+    the document that keeps the passage (most of its chunks), ``copies`` how
+    often its rarest chunk occurs.
 
     Null and empty texts have no chunks and no repeats; a passage repeated
     inside one text is a repeat too; rows that repeat both id and text are
@@ -165,7 +165,7 @@ def repeated_spans(docs: DataFrame, min_words: int = MIN_WORDS, min_chunk: int =
     islands = again.withColumn("island", F.col("i") - F.row_number().over(w))
     return (islands.groupBy("doc_id", "text_hash", "island")
             .agg(F.min("start").alias("start"), F.sum("size").alias("size"), F.sum("n_words").alias("n_words"),
-                 F.count("*").alias("n_chunks"), F.min_by("first_doc_id", "i").alias("first_doc_id"),
+                 F.count("*").alias("n_chunks"), F.mode("first_doc_id", True).alias("first_doc_id"),
                  F.min("copies").alias("copies"))
             .where(F.col("n_words") >= min_words).drop("island"))
 
