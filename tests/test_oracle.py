@@ -4,9 +4,10 @@ import pytest
 
 import __spark_entry__ as entry
 from tests.oracle_harness import compare, duck, duck_rows, spark_rows
+from windowlens.plans.oracle import oracle_sql
+from windowlens.plans.registry import all_queries
 
-SQL = entry.oracle_sql()
-SLOW_ROWS_ONLY = {"cv_grid"}
+QUERIES, SQL = all_queries(), oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -15,23 +16,16 @@ def con(small_dir):
 
 
 def test_every_query_has_a_twin_or_is_rows_only():
-    rows_only = set(entry.queries()) - set(SQL)
-    assert rows_only <= {"lr_batch_score", "cv_grid", "coefficient_table", "file_inventory", "run_audit",
-                         "stage_metrics"}
-    assert set(SQL) <= set(entry.queries())
+    assert set(QUERIES) == set(SQL)
+    assert set(QUERIES) <= set(entry.queries()) and set(SQL) <= set(entry.oracle_sql())
 
 
 @pytest.mark.parametrize("key", sorted(SQL))
 def test_query_matches_sql_twin(spark, small_dir, con, key):
-    problems = compare(spark_rows(entry.queries()[key](spark, small_dir)), duck_rows(con, SQL[key]))
+    problems = compare(spark_rows(QUERIES[key](spark, small_dir)), duck_rows(con, SQL[key]))
     assert not problems, problems
 
 
-@pytest.mark.parametrize("key", sorted(set(entry.queries()) - set(SQL) - SLOW_ROWS_ONLY))
-def test_rows_only_queries_run(spark, small_dir, key):
-    assert entry.queries()[key](spark, small_dir).count() > 0
-
-
 def test_entry(spark):
     df = entry.entry(spark)
     rows = df.collect()

@@ -3,16 +3,17 @@
 import pytest
 from pyspark.sql import functions as F
 
-import __spark_entry__ as entry
 from windowlens.operators import enrich, parse, quality, sink
 from windowlens.plans.frames import Frames
+from windowlens.plans.registry import all_queries
 from windowlens.session import work_path
 
 # Registered queries that write files or run streams/ML as part of building
 # the frame; their plans are checked elsewhere.
 SIDE_EFFECT_KEYS = {"labels_csv", "partition_counts", "file_inventory", "reconcile", "lr_batch_score",
                     "cv_grid", "coefficient_table", "stream_features", "stream_dedupe", "stream_score",
-                    "run_audit", "stage_metrics", "stream_enrich"}
+                    "run_audit", "stream_enrich", "cv_time_folds", "cv_repeated", "write_predictions",
+                    "unlabeled_windows", "labels_csv_damaged", "label_stamp_report"}
 
 
 def _plan(df) -> str:
@@ -53,17 +54,40 @@ def test_top_n_per_class_uses_group_limit(spark, small_dir):
     assert "WindowGroupLimit" in _plan(out)
 
 
-@pytest.mark.parametrize("key", sorted(set(entry.queries()) - SIDE_EFFECT_KEYS))
+@pytest.mark.parametrize("key", sorted(set(all_queries()) - SIDE_EFFECT_KEYS))
 def test_no_python_rows_in_plans(spark, small_dir, key):
-    plan = _plan(entry.queries()[key](spark, small_dir))
+    plan = _plan(all_queries()[key](spark, small_dir))
     for node in ("BatchEvalPython", "ArrowEvalPython", "FlatMapGroupsInPandas", "MapInPandas"):
         assert node not in plan
 
 
 def test_large_dimension_is_not_broadcast(spark, small_dir):
     f = Frames(spark, small_dir)
-    assert enrich.broadcast_size_ok(f.dimension)
-    assert not enrich.broadcast_size_ok(f.dimension, max_rows=2)
-    assert not enrich.broadcast_size_ok(f.dimension, max_bytes=10)
-    out = enrich.enrich(f.deduped, f.dimension, max_broadcast_rows=2)
-    assert out.count() == f.deduped.count()
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10")
+    try:
+        out = enrich.enrich(f.deduped, f.dimension)
+        assert out.count() == f.deduped.count()
+        assert "BroadcastHashJoin" not in _plan(out)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_enrichment_scans_the_facts_once(spark, small_dir):
+    f = Frames(spark, small_dir)
+    plan = enrich.enrich(f.deduped, f.dimension)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("event_type") and plan.count("Relation [event_id") == 1
+
+
+def test_sessions_parse_once(spark, small_dir):
+    from windowlens.operators import features
+    plan = _plan(features.session_features(Frames(spark, small_dir).deduped, "10 minutes"))
+    assert "regexp_extract" not in plan      # the counts are stored; their one pass has parsed the lines
+
+
+def test_calendar_is_spread_over_tasks(spark):
+    from windowlens.operators import features
+    rows = spark.sql("SELECT timestamp_ntz'2020-01-01 00:00:00' AS ts UNION ALL SELECT timestamp_ntz'2020-12-31 00:00:00'")
+    spine = features.window_spine(rows, "1 minute")
+    assert spine.count() == 366 * 1440
+    assert "hashpartitioning(_p" in _plan(spine)

@@ -56,7 +56,7 @@ def test_size_shuffles_from_input_bytes(spark, small_dir):
     from windowlens.session import input_size, size_shuffles
     before = spark.conf.get("spark.sql.shuffle.partitions")
     try:
-        assert size_shuffles(spark, 100 * (1 << 40)) == 200_000  # 100 TB -> capped
+        assert size_shuffles(spark, 100 * (1 << 40)) == 409_600  # 100 TB -> capped
         assert size_shuffles(spark, 10 * (1 << 30), target_partition_bytes=128 << 20) == 80
         assert input_size(spark, small_dir + "/events.parquet") > 0
     finally:

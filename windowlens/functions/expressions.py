@@ -33,6 +33,28 @@ def epoch_seconds(ts: str | Column) -> Column:
     return F.unix_timestamp(col_of(ts))
 
 
+def seeded_hash(text: str | Column, seed: int) -> Column:
+    """MD5 hex digits of ``seed:text``: an order that changes with the seed
+    and is the same on every engine."""
+    return F.md5(F.concat(F.lit(f"{seed}:"), col_of(text)))
+
+
+#: What ``yyyy-MM-dd HH:mm:ss`` looks like.
+STAMP_SHAPE = r"^\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2}$"
+
+
+def stamp_of(text: str | Column) -> Column:
+    """TIMESTAMP_NTZ of a text of exactly the form ``yyyy-MM-dd HH:mm:ss``;
+    NULL for other forms and for dates or times that do not exist."""
+    t = col_of(text)
+    return F.when(t.rlike(STAMP_SHAPE), t.try_cast("timestamp_ntz"))
+
+
+def stamp_at(seconds: Column) -> Column:
+    """TIMESTAMP_NTZ of whole seconds since 1970-01-01."""
+    return F.lit("1970-01-01 00:00:00").cast("timestamp_ntz") + F.make_dt_interval(secs=seconds)
+
+
 def text_timestamp(ts: str | Column, fmt: str = fixed.TIMESTAMP_TEXT_FORMAT) -> Column:
     return F.date_format(col_of(ts), fmt)
 

@@ -78,3 +78,11 @@ def dedupe_audit(parsed: DataFrame) -> DataFrame:
     groups = typed_rows(parsed).groupBy(*TYPED_COLUMNS).agg(F.count(F.lit(1)).alias("n"))
     return groups.agg(F.sum("n").alias("accepted"), F.count(F.lit(1)).alias("deduped")).select(
         "accepted", "deduped", (F.col("accepted") - F.col("deduped")).alias("duplicates"))
+
+
+def in_range(rows: DataFrame, start: str, end: str, ts: str = "ts") -> tuple[DataFrame, DataFrame]:
+    """(rows with ``start <= ts < end``, the others): stamps outside the
+    range, or missing, go to the second frame, for quarantine."""
+    lo, hi = (F.lit(x).cast("timestamp_ntz") for x in (start, end))
+    ok = F.coalesce((F.col(ts) >= lo) & (F.col(ts) < hi), F.lit(False))
+    return rows.filter(ok), rows.filter(~ok)

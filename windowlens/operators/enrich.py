@@ -5,36 +5,29 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Largest dimension that is broadcast to every task (rows and bytes).  Above
-# either bound the join is a plain equi-join and AQE picks the strategy from
-# runtime sizes (with skew-join splitting for hot keys).
-MAX_BROADCAST_ROWS = 200_000
-MAX_BROADCAST_BYTES = 64 << 20
-
-
-def broadcast_size_ok(dim: DataFrame, max_rows: int = MAX_BROADCAST_ROWS,
-                      max_bytes: int = MAX_BROADCAST_BYTES) -> bool:
-    """True when ``dim`` has at most ``max_rows`` rows and its values take at
-    most ``max_bytes`` (text length of every column).  One small job that
-    reads at most ``max_rows + 1`` rows."""
-    width = F.octet_length(F.concat_ws("\u0001", *[F.col(c).cast("string") for c in dim.columns]))
-    probe = dim.limit(max_rows + 1).agg(F.count(F.lit(1)).alias("n"), F.sum(width).alias("bytes")).first()
-    return probe["n"] <= max_rows and (probe["bytes"] or 0) <= max_bytes
-
-
-def enrich(rows: DataFrame, dim: DataFrame, key: str = "endpoint",
-           max_broadcast_rows: int = MAX_BROADCAST_ROWS,
-           max_broadcast_bytes: int = MAX_BROADCAST_BYTES) -> DataFrame:
+
+def enrich(rows: DataFrame, dim: DataFrame, key: str = "endpoint", broadcast: bool = False) -> DataFrame:
     """Left join ``rows`` with a dimension keyed by ``key``.
 
     No row of ``rows`` is lost (unmatched rows get NULL dimension columns).
-    The dimension is broadcast only after its size has been checked
-    (:func:`broadcast_size_ok`: rows and bytes); otherwise both sides are
-    shuffled on ``key``.  A unique dimension key means no fan-out;
-    :func:`coverage` reports duplicate keys.
+    Spark picks the strategy from the dimension's size (file size at planning
+    time, shuffled size at run time): broadcast below
+    ``spark.sql.autoBroadcastJoinThreshold``, else a shuffled join whose hot
+    keys AQE splits.  ``broadcast=True`` is for a caller that knows a bound.
+    A unique dimension key means no fan-out; :func:`coverage` reports
+    duplicate keys.
     """
-    ok = broadcast_size_ok(dim, max_broadcast_rows, max_broadcast_bytes)
-    return rows.join(F.broadcast(dim) if ok else dim, key, "left")
+    return rows.join(F.broadcast(dim) if broadcast else dim, key, "left")
+
+
+def row_preservation(raw: DataFrame, parsed: DataFrame, enriched: DataFrame) -> DataFrame:
+    """``(step, rows)`` for raw lines, parsed and enriched rows side by side,
+    and the rows lost or added on the way (0 when all are equal)."""
+    steps = [df.agg(F.count(F.lit(1)).alias("rows")).select(F.lit(name).alias("step"), "rows")
+             for name, df in (("raw", raw), ("parsed", parsed), ("enriched", enriched))]
+    counts = steps[0].unionByName(steps[1]).unionByName(steps[2])
+    drift = counts.agg((F.max("rows") - F.min("rows")).alias("rows")).select(F.lit("drift").alias("step"), "rows")
+    return counts.unionByName(drift)
 
 
 def coverage(rows: DataFrame, dim: DataFrame, key: str = "endpoint") -> DataFrame:

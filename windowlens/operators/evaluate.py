@@ -54,6 +54,20 @@ def metrics(conf: DataFrame) -> DataFrame:
     )
 
 
+LOW_PRECISION = 0.5
+
+
+def notes(conf: DataFrame, low_precision: float = LOW_PRECISION) -> DataFrame:
+    """``(note, holds)`` in a fixed order: warnings a report should show."""
+    m = metrics(conf).select(
+        F.array(F.struct(F.lit("low_precision").alias("note"), (F.col("precision") < low_precision).alias("holds")),
+                F.struct(F.lit("not_better_than_majority").alias("note"),
+                         (F.col("accuracy") <= F.col("majority_accuracy")).alias("holds")),
+                F.struct(F.lit("one_class_predicted").alias("note"),
+                         (~F.col("both_classes_predicted")).alias("holds"))).alias("n"))
+    return m.select(F.inline("n"))
+
+
 def prediction_distribution(pred: DataFrame, prediction: str = "prediction") -> DataFrame:
     """Windows per predicted class and their share."""
     counts = pred.groupBy(prediction).agg(F.count(F.lit(1)).alias("windows"))

@@ -7,35 +7,29 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window
 
 from windowlens.functions import fixed
-from windowlens.functions.expressions import epoch_seconds, text_timestamp
-from windowlens.sources import fixtures
+from windowlens.functions.expressions import seeded_hash, stamp_of, text_timestamp
+from windowlens.operators.ranking import global_rank
 
 LABEL_COLUMNS = ("window_start", "is_anomalous", "anomaly_type")
 FEATURES = tuple(fixed.FEATURE_COLUMNS)
 
 
-def rule_labels(spine: DataFrame, **rule) -> DataFrame:
-    """Label every spine window with the fixture's hour rule."""
-    is_anom, kind = fixtures.rule_label("window_start", **rule)
-    return spine.select("window_start", is_anom.alias("is_anomalous"), kind.alias("anomaly_type"))
-
-
 def pick_labels(spine: DataFrame, fraction: float = fixed.ANOMALY_WINDOW_FRACTION,
                 seed: int = 42, types: tuple[str, ...] = tuple(fixed.ANOMALY_TYPES)) -> DataFrame:
-    """Label ``round(N * fraction)`` windows anomalous, chosen by a seeded,
-    engine-neutral hash order; their types alternate in time order.
+    """Label ``round(N * fraction)`` windows anomalous, chosen by the order of
+    a seeded hash of their stamps; their types alternate in time order.
 
-    The pick is a top-k (a bounded sort, k rows kept per task), the alternation
-    a ``row_number`` over the k picked windows only.
+    Both orders are distributed ranks (by the first digits of the hash, by
+    day), so no task sees the whole calendar.
     """
     n = spine.count()
-    k = int(round(n * fraction))  # Python rounding: half to even, as the original generator
-    key = F.pmod(epoch_seconds("window_start") * F.lit(2654435761) + F.lit(seed), F.lit(1000003))
-    picked = (spine.select("window_start", key.alias("_h"))
-              .orderBy("_h", "window_start").limit(k)
-              .withColumn("_i", F.row_number().over(Window.orderBy("window_start")) - 1))
-    kind = F.element_at(F.array(*[F.lit(t) for t in types]), (F.col("_i") % len(types) + 1).cast("int"))
-    marks = picked.select("window_start", kind.alias("_kind"))
+    k = int(round(n * fraction))  # half to even
+    hashed = spine.select("window_start", seeded_hash(text_timestamp("window_start"), seed).alias("_h"))
+    picked = (global_rank(hashed, "_h", F.substring("_h", 1, 2)).where(F.col("global_rank") <= k)
+              .select("window_start"))
+    turn = (F.col("global_rank") - 1) % len(types) + 1
+    kind = F.element_at(F.array(*[F.lit(t) for t in types]), turn.cast("int"))
+    marks = global_rank(picked, "window_start").select("window_start", kind.alias("_kind"))
     return (spine.join(marks, "window_start", "left")
             .select("window_start",
                     F.when(F.col("_kind").isNull(), F.lit(0)).otherwise(F.lit(1)).alias("is_anomalous"),
@@ -101,10 +95,19 @@ LABEL_CSV_SCHEMA = "window_start STRING, is_anomalous STRING, anomaly_type STRIN
 
 
 def read_labels_csv(spark, path: str) -> DataFrame:
-    """Read a label CSV with an explicit schema.  The stamp text is cast to
-    TIMESTAMP_NTZ (zone-free) and the label to int, both with ``try_cast`` so
-    a damaged row becomes NULL instead of failing the job."""
+    """Read a label CSV with an explicit schema.  Stamps must have the form
+    ``yyyy-MM-dd HH:mm:ss`` in full and be real dates; the label must be an
+    int.  Anything else becomes NULL instead of failing the job;
+    :func:`stamp_report` counts such rows."""
     raw = spark.read.schema(LABEL_CSV_SCHEMA).option("header", True).csv(path)
-    return raw.select(F.col("window_start").try_cast("timestamp_ntz").alias("window_start"),
+    return raw.select(stamp_of("window_start").alias("window_start"),
                       F.col("is_anomalous").try_cast("int").alias("is_anomalous"),
                       "anomaly_type")
+
+
+def stamp_report(label_df: DataFrame) -> DataFrame:
+    """One row: label rows, rows without a usable stamp, rows without a
+    usable label."""
+    return label_df.agg(F.count(F.lit(1)).alias("rows"),
+                        F.count_if(F.col("window_start").isNull()).alias("bad_stamps"),
+                        F.count_if(F.col("is_anomalous").isNull()).alias("bad_labels"))

@@ -8,13 +8,14 @@ runs inside the scan's tasks.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from itertools import product
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
+from pyspark.ml.tuning import CrossValidator
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -25,22 +26,23 @@ FEATURES = list(fixed.FEATURE_COLUMNS)
 LABEL = fixed.LABEL_COLUMN
 
 
-def build_model(features: Sequence[str] = FEATURES, label: str = LABEL,
-                reg_param: float = 0.0, elastic_net: float = 0.0,
-                invalid: str = "skip") -> tuple[Pipeline, LogisticRegression]:
-    """Assembler + logistic regression (internal standardisation,
-    threshold 0.5).  ``invalid="skip"`` drops rows with NULL features rather
-    than failing the job."""
-    assembler = VectorAssembler(inputCols=list(features), outputCol="features", handleInvalid=invalid)
-    lr = LogisticRegression(labelCol=label, featuresCol="features",
-                            regParam=reg_param, elasticNetParam=elastic_net)
-    return Pipeline(stages=[assembler, lr]), lr
+def pipeline(features: Sequence[str] = FEATURES, label: str = LABEL, **settings) -> Pipeline:
+    """Feature assembler (rows with NULL features are skipped) followed by a
+    logistic regression with internal standardisation; ``settings`` are the
+    regression's own parameters."""
+    return Pipeline(stages=[
+        VectorAssembler(inputCols=[*features], outputCol="features", handleInvalid="skip"),
+        LogisticRegression(labelCol=label, featuresCol="features", **settings)])
 
 
-def param_grid(lr: LogisticRegression, reg_params: Sequence[float] = fixed.GRID_REG_PARAM,
-               elastic_nets: Sequence[float] = fixed.GRID_ELASTIC_NET):
-    return (ParamGridBuilder().addGrid(lr.regParam, list(reg_params))
-            .addGrid(lr.elasticNetParam, list(elastic_nets)).build())
+def regression(stages) -> object:
+    """The regression stage of a pipeline or of a fitted one."""
+    return (stages.getStages() if isinstance(stages, Pipeline) else stages.stages)[-1]
+
+
+def grid_points(reg_params: Sequence[float] = fixed.GRID_REG_PARAM,
+                elastic_nets: Sequence[float] = fixed.GRID_ELASTIC_NET) -> list[tuple[float, float]]:
+    return [(float(r), float(e)) for r, e in product(reg_params, elastic_nets)]
 
 
 def auc_evaluator(label: str = LABEL, exact: bool = True) -> BinaryClassificationEvaluator:
@@ -55,14 +57,15 @@ def cross_validate(train: DataFrame, folds: int = fixed.CV_FOLDS, seed: int = fi
                    elastic_nets: Sequence[float] = fixed.GRID_ELASTIC_NET,
                    key: str = "window_start"):
     """Grid search with k-fold cross-validation; returns the fitted
-    ``CrossValidatorModel`` (best model refit on all of ``train``) and the
-    estimator.
+    ``CrossValidatorModel`` (best model refit on all of ``train``).
 
     Folds come from a seeded hash of ``key`` (``foldCol``), so the
     assignment is the same on every run and every partitioning; grid points
     are fitted ``parallelism`` at a time.
     """
-    pipeline, lr = build_model(features, label)
+    estimator = pipeline(features, label)
+    lr = regression(estimator)
+    grid = [{lr.regParam: r, lr.elasticNetParam: e} for r, e in grid_points(reg_params, elastic_nets)]
     with_fold = train.withColumn(
         "_fold", F.pmod(F.xxhash64(F.col(key), F.lit(seed)), F.lit(folds)).cast("int"))
     # Materialise the (window-sized) training table once in the shared
@@ -70,10 +73,10 @@ def cross_validate(train: DataFrame, folds: int = fixed.CV_FOLDS, seed: int = fi
     # the whole feature plan, and a lost executor does not lose it.
     checkpoint_dir(train.sparkSession)
     with_fold = with_fold.checkpoint(eager=True)
-    cv = CrossValidator(estimator=pipeline, estimatorParamMaps=param_grid(lr, reg_params, elastic_nets),
+    cv = CrossValidator(estimator=estimator, estimatorParamMaps=grid,
                         evaluator=auc_evaluator(label), numFolds=folds, seed=seed,
                         parallelism=parallelism, foldCol="_fold")
-    return cv.fit(with_fold), lr
+    return cv.fit(with_fold)
 
 
 def repeated_cv(spark: SparkSession, train: DataFrame, seeds: Sequence[int] = (42, 7, 123),
@@ -83,8 +86,8 @@ def repeated_cv(spark: SparkSession, train: DataFrame, seeds: Sequence[int] = (4
     table; each seed is one full grid search)."""
     tables = []
     for seed in seeds:
-        cv_model, lr = cross_validate(train, folds=folds, seed=seed, parallelism=parallelism)
-        tables.append(grid_table(spark, cv_model, lr).withColumn("seed", F.lit(seed)))
+        fitted = cross_validate(train, folds=folds, seed=seed, parallelism=parallelism)
+        tables.append(grid_table(spark, fitted).withColumn("seed", F.lit(seed)))
     allruns = tables[0]
     for t in tables[1:]:
         allruns = allruns.unionByName(t)
@@ -93,14 +96,18 @@ def repeated_cv(spark: SparkSession, train: DataFrame, seeds: Sequence[int] = (4
                  F.count(F.lit(1)).alias("seeds")))
 
 
-def grid_table(spark: SparkSession, cv_model, lr: LogisticRegression) -> DataFrame:
-    """(reg_param, elastic_net, avg_auc, std_auc) per grid point."""
-    rows = []
-    stds = getattr(cv_model, "stdMetrics", None) or [None] * len(cv_model.avgMetrics)
-    for pm, avg, std in zip(cv_model.getEstimatorParamMaps(), cv_model.avgMetrics, stds):
-        rows.append((float(pm[lr.regParam]), float(pm[lr.elasticNetParam]), float(avg),
-                     None if std is None else float(std)))
-    return spark.createDataFrame(rows, "reg_param double, elastic_net double, avg_auc double, std_auc double")
+def grid_table(spark: SparkSession, cv_model) -> DataFrame:
+    """(reg_param, elastic_net, avg_auc, std_auc, best) per grid point;
+    ``best`` marks the point the refitted model has."""
+    won = regression(cv_model.bestModel)
+    table = spark.createDataFrame(
+        [({p.name: float(v) for p, v in point.items()}, float(mean), float(spread)) for point, mean, spread in
+         zip(cv_model.getEstimatorParamMaps(), cv_model.avgMetrics, cv_model.stdMetrics)],
+        "point map<string,double>, avg_auc double, std_auc double")
+    point = F.col("point")
+    best = ((point["regParam"] == won.getRegParam()) & (point["elasticNetParam"] == won.getElasticNetParam()))
+    return table.select(point["regParam"].alias("reg_param"), point["elasticNetParam"].alias("elastic_net"),
+                        "avg_auc", "std_auc", best.alias("best"))
 
 
 def time_folds(df: DataFrame, folds: int = fixed.CV_FOLDS, ts: str = "window_start"):
@@ -142,8 +149,7 @@ def cross_validate_time(spark: SparkSession, train: DataFrame, folds: int = fixe
 
 def fit(train: DataFrame, reg_param: float = 0.01, elastic_net: float = 0.0,
         features: Sequence[str] = FEATURES, label: str = LABEL) -> PipelineModel:
-    pipeline, _ = build_model(features, label, reg_param, elastic_net)
-    return pipeline.fit(train)
+    return pipeline(features, label, regParam=reg_param, elasticNetParam=elastic_net).fit(train)
 
 
 def save(model: PipelineModel, path: str) -> None:
@@ -162,10 +168,33 @@ def score(model: PipelineModel, df: DataFrame,
                       vector_to_array(F.col("probability")).getItem(1).alias("prob_anomalous"))
 
 
-def coefficient_table(spark: SparkSession, model: PipelineModel,
-                      features: Sequence[str] = FEATURES) -> DataFrame:
-    """(term, coefficient): one row per feature plus the intercept."""
-    lr = model.stages[-1]
-    rows = [(name, float(c)) for name, c in zip(features, lr.coefficients.toArray())]
-    rows.append(("intercept", float(lr.intercept)))
-    return spark.createDataFrame(rows, "term string, coefficient double")
+def coefficient_table(spark: SparkSession, model: PipelineModel) -> DataFrame:
+    """(term, coefficient): one row per feature plus the intercept, named
+    after the inputs of the fitted assembler."""
+    fitted = regression(model)
+    terms = dict(zip(model.stages[0].getInputCols(), fitted.coefficients), intercept=fitted.intercept)
+    return spark.createDataFrame([(t, float(c)) for t, c in terms.items()], "term string, coefficient double")
+
+
+def closed_form(model: PipelineModel) -> dict:
+    """Coefficients and intercept as ``evaluate.score_logistic`` takes them."""
+    fitted = regression(model)
+    names = model.stages[0].getInputCols()
+    return {"coefficients": dict(zip(names, map(float, fitted.coefficients))), "intercept": float(fitted.intercept)}
+
+
+def gradient(scored: DataFrame, model: PipelineModel, label: str = LABEL) -> DataFrame:
+    """(term, slope): the slope of the ridge-penalised mean log loss at the
+    model's coefficients, in units of the standardised features; near zero at
+    the optimum.  ``scored`` has the features, the label and
+    ``prob_anomalous``."""
+    fitted, names = regression(model), model.stages[0].getInputCols()
+    miss = F.col("prob_anomalous") - F.col(label)
+    sums = scored.agg(*[F.avg(miss * F.col(n)).alias(f"g_{n}") for n in names], F.avg(miss).alias("g"),
+                      *[F.stddev_samp(n).alias(f"s_{n}") for n in names])
+    penalty = fitted.getRegParam() * (1 - fitted.getElasticNetParam())
+    slopes = [F.struct(F.lit(n).alias("term"), F.when(F.col(f"s_{n}") > 0, F.col(f"g_{n}") / F.col(f"s_{n}") +
+                       penalty * float(c) * F.col(f"s_{n}")).otherwise(0.0).alias("slope"))
+              for n, c in zip(names, fitted.coefficients)]
+    slopes.append(F.struct(F.lit("intercept").alias("term"), F.col("g").alias("slope")))
+    return sums.select(F.inline(F.array(*slopes)))

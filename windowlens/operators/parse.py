@@ -66,9 +66,9 @@ def parse_lines(raw: DataFrame, value_col: str = "value",
     return matched.select(*keep, *cols, ok.alias("parse_ok"), reason.alias("parse_reason"))
 
 
-def accepted(parsed: DataFrame) -> DataFrame:
+def accepted(parsed: DataFrame, value_col: str = "value") -> DataFrame:
     """Lines that passed, without the raw text and the tag."""
-    return parsed.filter(F.col("parse_ok")).drop("parse_ok", "parse_reason", "value")
+    return parsed.filter(F.col("parse_ok")).drop("parse_ok", "parse_reason", value_col)
 
 
 def quarantine(parsed: DataFrame, value_col: str = "value") -> DataFrame:

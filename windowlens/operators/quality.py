@@ -71,7 +71,7 @@ def reconcile(expected: DataFrame, actual: DataFrame, columns: Sequence[str]) ->
 
     ``missing`` = rows of ``expected`` not in ``actual``, ``extra`` the other
     way (repeats counted, NULLs equal, as with ``exceptAll``), plus both row
-    counts.  Both tables are tagged, unioned and grouped by all columns once:
+    counts and the number of columns whose types differ (``columns_differ``).  Both tables are tagged, unioned and grouped by all columns once:
     one shuffle (with partial aggregation) instead of two ``exceptAll`` plans
     and two counts.  Returned as ``(item, rows)``.
     """
@@ -83,15 +83,19 @@ def reconcile(expected: DataFrame, actual: DataFrame, columns: Sequence[str]) ->
         F.sum(F.greatest(F.col("n_out") - F.col("n_in"), F.lit(0))).alias("extra"),
         F.sum("n_in").alias("rows_in"),
         F.sum("n_out").alias("rows_out"))
-    return totals.select(F.stack(F.lit(4), F.lit("missing"), F.coalesce("missing", F.lit(0)),
+    wrong = schema_diff(expected, actual, columns)
+    return totals.select(F.stack(F.lit(5), F.lit("missing"), F.coalesce("missing", F.lit(0)),
                                  F.lit("extra"), F.coalesce("extra", F.lit(0)),
                                  F.lit("rows_in"), F.coalesce("rows_in", F.lit(0)),
-                                 F.lit("rows_out"), F.coalesce("rows_out", F.lit(0)))
+                                 F.lit("rows_out"), F.coalesce("rows_out", F.lit(0)),
+                                 F.lit("columns_differ"), F.lit(len(wrong)).cast("bigint"))
                          .alias("item", "rows"))
 
 
 def schema_diff(expected: DataFrame, actual: DataFrame, columns: Sequence[str]) -> list[tuple[str, str, str]]:
-    """(column, expected type, actual type) for columns whose types differ."""
-    e = {f.name: f.dataType.simpleString() for f in expected.schema.fields if f.name in columns}
-    a = {f.name: f.dataType.simpleString() for f in actual.schema.fields if f.name in columns}
-    return [(c, e.get(c), a.get(c)) for c in columns if e.get(c) != a.get(c)]
+    """(column, expected type, actual type) for columns whose types differ or
+    that are absent on a side (type ``absent``), on both sides included."""
+    def types(df):
+        return {f.name: f.dataType.simpleString() for f in df.schema.fields}
+    e, a = types(expected), types(actual)
+    return [(c, e.get(c, "absent"), a.get(c, "absent")) for c in columns if c not in e or e[c] != a.get(c)]

@@ -1,16 +1,17 @@
-"""Run audit from observed metrics, and stage metrics from Spark's event log.
+"""Run audit, and stage metrics from Spark's event log.
 
-The audit replaces separate ``count()`` jobs: row counts are collected by
-``Observation`` nodes while the one write job runs.  Stage metrics are read
-from the event log files (``spark.eventLog.dir``), so no UI port is needed.
+Stage metrics are read from the event log files (``spark.eventLog.dir``), so
+no UI port is needed.
 """
 
 from __future__ import annotations
 
+import hashlib
+import json
 import time
 import uuid
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from windowlens.functions import fixed
@@ -19,64 +20,75 @@ from windowlens.operators import clean, features, labels, parse, sink
 AUDIT_SCHEMA = "step_no int, step string, metric string, value bigint"
 
 
-def config_hash(spark: SparkSession, extra: dict | None = None) -> str:
-    """Short, stable hash of the SQL settings and run parameters, stored
-    with each run's audit so outputs can be traced to their configuration."""
-    import hashlib
-    import json
-    conf = {k: v for k, v in spark.sparkContext.getConf().getAll() if k.startswith("spark.sql.")}
-    blob = json.dumps({"conf": conf, "extra": extra or {}}, sort_keys=True, default=str)
+#: Settings that say where a run happened, not what it computed.
+PLACES = ("spark.sql.warehouse.dir", "spark.sql.catalogImplementation")
+
+
+def config_hash(spark: SparkSession, parameters: dict | None = None) -> str:
+    """Short hash of the SQL settings in force and of logical parameters
+    (widths, thresholds; not output paths), so that equal runs share it and a
+    setting changed at run time changes it."""
+    conf = {r["key"]: r["value"] for r in spark.sql("SET").collect()
+            if r["key"].startswith("spark.sql.") and r["key"] not in PLACES}
+    blob = json.dumps({"conf": conf, "parameters": parameters or {}}, sort_keys=True, default=str)
     return hashlib.sha256(blob.encode()).hexdigest()[:16]
 
 
 def run_feature_job(spark: SparkSession, lines: DataFrame, features_path: str, labeled_path: str,
-                    label_fn=labels.rule_labels, width: str = fixed.WINDOW_WIDTH) -> DataFrame:
+                    label_df: DataFrame, width: str = fixed.WINDOW_WIDTH, audit_path: str | None = None) -> DataFrame:
     """Lines -> parse -> typed -> dedupe -> window features, written
-    partitioned by date in one job; then the label calendar joined to the
-    (small) written feature table and written again.  Returns the audit as
-    ``(step_no, step, metric, value)`` rows plus elapsed milliseconds.
-
-    Each observed node sits on a single path of its plan, so every metric is
-    counted exactly once.
+    partitioned by date; then ``label_df`` joined to the written features and
+    written too.  Both tables carry ``run_id`` and ``config_hash``.  Returns
+    the audit ``(step_no, step, metric, value, run_id, config_hash)``, also
+    appended to the table at ``audit_path`` if given.
+
+    Counts come from tables, not from task-side observers, which count again
+    when a lost executor's stage is repeated: the cleaning steps from one
+    aggregate pass over the lines, the rest from what was written.
     """
-    seen_lines, seen_typed, seen_rows, seen_windows, seen_labeled = (
-        Observation(n) for n in ("lines", "typed", "deduped", "windows", "labeled"))
+    digest = config_hash(spark, {"width": width})
+    run_id = uuid.uuid4().hex[:12]
+
+    def stamped(df: DataFrame) -> DataFrame:
+        return df.withColumn("run_id", F.lit(run_id)).withColumn("config_hash", F.lit(digest))
+
     t0 = time.perf_counter()
-    parsed = parse.parse_lines(lines).observe(
-        seen_lines, F.count(F.lit(1)).alias("read"), F.count_if(~F.col("parse_ok")).alias("rejected"))
-    typed = clean.typed_rows(parsed).observe(seen_typed, F.count(F.lit(1)).alias("accepted"))
-    deduped = clean.dedupe(typed).observe(
-        seen_rows, F.count(F.lit(1)).alias("deduped"), F.count_if(F.col("ts").isNull()).alias("null_ts"))
-    feats = features.window_features(deduped, width).observe(seen_windows, F.count(F.lit(1)).alias("windows"))
-    sink.write_partitioned(sink.with_date(feats), features_path)
+    parsed = parse.parse_lines(lines)
+    feats = features.window_features(clean.dedupe(clean.typed_rows(parsed)), width)
+    sink.write_partitioned(stamped(sink.with_date(feats)), features_path)
     t1 = time.perf_counter()
-
-    written = spark.read.parquet(features_path).drop("date")
-    spine = features.window_spine(written.withColumnRenamed("window_start", "ts"), width)
-    labeled = labels.attach_labels(label_fn(spine), written).observe(
-        seen_labeled, F.count(F.lit(1)).alias("labeled"),
-        F.count_if(F.col("total_requests").isNull()).alias("empty"))
-    sink.write_partitioned(sink.with_date(labeled), labeled_path)
+    written = spark.read.parquet(features_path).where(F.col("run_id") == run_id)
+    labeled = labels.attach_labels(label_df, written)
+    sink.write_partitioned(stamped(sink.with_date(labeled)), labeled_path)
     t2 = time.perf_counter()
 
-    m = {**seen_lines.get, **seen_typed.get, **seen_rows.get, **seen_windows.get, **seen_labeled.get}
+    steps = {r["step"]: r["rows"] for r in clean.cleaning_audit(parsed).collect()}
+    out = spark.read.parquet(labeled_path).where(F.col("run_id") == run_id).agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(F.col("total_requests").isNull()).alias("empty")).first()
     rows = [
-        (1, "extract", "lines_read", m["read"]),
-        (1, "extract", "rejected", m["rejected"]),
-        (2, "transform", "accepted", m["accepted"]),
-        (2, "transform", "duplicates", m["accepted"] - m["deduped"]),
-        (2, "transform", "deduped", m["deduped"]),
-        (2, "transform", "null_timestamp", m["null_ts"]),
-        (2, "transform", "windows", m["windows"]),
+        (1, "extract", "lines_read", steps["lines_read"]),
+        (1, "extract", "rejected", steps["rejected"]),
+        (2, "transform", "accepted", steps["accepted"]),
+        (2, "transform", "duplicates", steps["duplicates"]),
+        (2, "transform", "deduped", steps["after_dedupe"]),
+        (2, "transform", "null_timestamp", steps["null_timestamp"]),
+        (2, "transform", "windows", written.count()),
         (2, "transform", "elapsed_ms", int((t1 - t0) * 1000)),
-        (3, "load", "labeled_windows", m["labeled"]),
-        (3, "load", "windows_without_rows", m["empty"]),
+        (3, "load", "labeled_windows", out["n"]),
+        (3, "load", "windows_without_rows", out["empty"]),
         (3, "load", "elapsed_ms", int((t2 - t1) * 1000)),
     ]
-    run_id = uuid.uuid4().hex[:12]
-    digest = config_hash(spark, {"width": width, "features_path": features_path, "labeled_path": labeled_path})
-    return (spark.createDataFrame(rows, AUDIT_SCHEMA)
-            .withColumn("run_id", F.lit(run_id)).withColumn("config_hash", F.lit(digest)))
+    audit = stamped(spark.createDataFrame(rows, AUDIT_SCHEMA))
+    if audit_path is not None:
+        audit.coalesce(1).write.mode("append").parquet(audit_path)
+    return audit
+
+
+#: What is read of a task's end; one parse a line.
+TASK_END = (
+    "Event STRING, `Stage ID` INT, `Stage Attempt ID` INT, `Task Metrics` STRUCT<`Executor Run Time`: BIGINT, "
+    "`Disk Bytes Spilled`: BIGINT, `Shuffle Read Metrics`: STRUCT<`Remote Bytes Read`: BIGINT, "
+    "`Local Bytes Read`: BIGINT>, `Shuffle Write Metrics`: STRUCT<`Shuffle Bytes Written`: BIGINT>>")
 
 
 def stage_metrics(spark: SparkSession, event_log_path: str) -> DataFrame:
@@ -86,51 +98,23 @@ def stage_metrics(spark: SparkSession, event_log_path: str) -> DataFrame:
     The log is read as JSON lines, so it must be written uncompressed
     (``spark.eventLog.compress=false``); Spark's own ``.zstd`` suffix is not
     a codec the text reader recognises."""
-    log = spark.read.text(event_log_path)
-    j = F.col("value")
-    ends = log.filter(F.get_json_object(j, "$.Event") == "SparkListenerTaskEnd").select(
-        F.get_json_object(j, "$['Stage ID']").cast("int").alias("stage_id"),
-        (F.coalesce(F.get_json_object(j, "$['Task Metrics']['Shuffle Read Metrics']['Remote Bytes Read']")
-                    .cast("bigint"), F.lit(0))
-         + F.coalesce(F.get_json_object(j, "$['Task Metrics']['Shuffle Read Metrics']['Local Bytes Read']")
-                      .cast("bigint"), F.lit(0))).alias("shuffle_read"),
-        F.coalesce(F.get_json_object(j, "$['Task Metrics']['Shuffle Write Metrics']['Shuffle Bytes Written']")
-                   .cast("bigint"), F.lit(0)).alias("shuffle_write"),
-        F.coalesce(F.get_json_object(j, "$['Task Metrics']['Executor Run Time']").cast("bigint"),
-                   F.lit(0)).alias("run_ms"),
-        F.coalesce(F.get_json_object(j, "$['Task Metrics']['Disk Bytes Spilled']").cast("bigint"),
-                   F.lit(0)).alias("spilled"))
+    log = spark.read.text(event_log_path).where(F.col("value").contains("SparkListenerTaskEnd"))
+    e = log.select(F.from_json("value", TASK_END).alias("e")).where("e.Event = 'SparkListenerTaskEnd'").select("e.*")
+    m = F.col("Task Metrics")
+
+    def number(c):
+        return F.coalesce(c, F.lit(0))
+
+    read, write = m["Shuffle Read Metrics"], m["Shuffle Write Metrics"]
+    ends = e.select(
+        F.col("Stage ID").alias("stage_id"), F.col("Stage Attempt ID").alias("stage_attempt"),
+        (number(read["Remote Bytes Read"]) + number(read["Local Bytes Read"])).alias("shuffle_read"),
+        number(write["Shuffle Bytes Written"]).alias("shuffle_write"),
+        number(m["Executor Run Time"]).alias("run_ms"), number(m["Disk Bytes Spilled"]).alias("spilled"))
     # max_task_ms far above mean_task_ms is the signature of a skewed stage
-    return (ends.groupBy("stage_id")
+    return (ends.groupBy("stage_id", "stage_attempt")
             .agg(F.count(F.lit(1)).alias("tasks"), F.sum("shuffle_read").alias("shuffle_read_bytes"),
                  F.sum("shuffle_write").alias("shuffle_write_bytes"), F.sum("run_ms").alias("task_ms"),
                  F.max("run_ms").alias("max_task_ms"), F.avg("run_ms").alias("mean_task_ms"),
-                 F.sum("spilled").alias("disk_spilled_bytes")))
-
-
-def stage_summary(spark: SparkSession, action, group: str | None = None) -> DataFrame:
-    """Run ``action()`` under its own job group and return its jobs and
-    stages from Spark's status tracker: ``(job_id, stage_id, tasks,
-    completed_tasks, failed_tasks, skipped)``.  Works with the UI disabled
-    and without an event log (no shuffle bytes there; see
-    :func:`stage_metrics` for those)."""
-    sc = spark.sparkContext
-    group = group or f"windowlens-{uuid.uuid4().hex[:12]}"
-    sc.setJobGroup(group, "windowlens stage summary", interruptOnCancel=False)
-    try:
-        action()
-    finally:
-        sc.setLocalProperty("spark.jobGroup.id", None)
-        sc.setLocalProperty("spark.job.description", None)
-    tracker = sc.statusTracker()
-    rows = []
-    for job_id in tracker.getJobIdsForGroup(group):
-        job = tracker.getJobInfo(job_id)
-        for stage_id in (job.stageIds if job else []):
-            info = tracker.getStageInfo(stage_id)
-            if info is None:
-                continue
-            rows.append((int(job_id), int(stage_id), int(info.numTasks), int(info.numCompletedTasks),
-                         int(info.numFailedTasks), info.numCompletedTasks == 0 and info.numActiveTasks == 0))
-    return spark.createDataFrame(
-        rows, "job_id int, stage_id int, tasks int, completed_tasks int, failed_tasks int, skipped boolean")
+                 F.sum("spilled").alias("disk_spilled_bytes"))
+            .orderBy("stage_id", "stage_attempt"))

@@ -37,6 +37,12 @@ def write_partitioned(df: DataFrame, path: str, partition_col: str = "date",
      .partitionBy(partition_col).parquet(path))
 
 
+def write_predictions(predictions: DataFrame, path: str, ts: str = "window_start", mode: str = "overwrite") -> None:
+    """Write scored windows in time order (range-partitioned and sorted, so
+    files follow each other in time)."""
+    predictions.orderBy(ts).write.mode(mode).parquet(path)
+
+
 def partition_counts(spark: SparkSession, path: str, partition_col: str = "date") -> DataFrame:
     """Rows per partition value after re-reading, plus a grand total row
     (partition NULL), through ``ROLLUP``."""

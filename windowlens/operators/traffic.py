@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from windowlens.functions import fixed
-from windowlens.functions.expressions import daypart_factor, is_weekend, text_timestamp, weekend_factor
+from windowlens.functions.expressions import daypart_factor, is_weekend, seeded_hash, text_timestamp, weekend_factor
 
 
 def daypart_band(ts: str, bands=fixed.DAYPART_BANDS) -> tuple:
@@ -37,7 +37,7 @@ def daypart_profile(rows: DataFrame, ts: str = "ts") -> DataFrame:
 
 def allocate(spine: DataFrame, total_rows: DataFrame, ts: str = "window_start") -> DataFrame:
     """Split a total over windows in proportion to their traffic factor:
-    ``round(total * w / sum(w))``, the last window absorbing the rounding
+    ``round(total * w / sum(w))`` (half to even), the last window absorbing the rounding
     drift so the parts add up exactly.
 
     ``total_rows`` is a one-row frame with column ``total``.  The total, the
@@ -49,7 +49,7 @@ def allocate(spine: DataFrame, total_rows: DataFrame, ts: str = "window_start")
     total = total_rows.select("total").scalar()
     weight_sum = weighted.agg(F.sum("weight")).scalar()
     last = weighted.agg(F.max(ts)).scalar()
-    share = F.round(total * F.col("weight") / weight_sum).cast("bigint")
+    share = F.rint(total * F.col("weight") / weight_sum).cast("bigint")
     with_share = weighted.select(ts, "weight", share.alias("_rows"))
     drift = total - with_share.agg(F.sum("_rows")).scalar()
     return with_share.select(ts, "weight", F.when(F.col(ts) == last, F.col("_rows") + drift)
@@ -70,10 +70,17 @@ def render_lines(rows: DataFrame, ts: str = "ts") -> DataFrame:
                     F.col("response_size").cast("string")).alias("value"))
 
 
-def hash_sample(df: DataFrame, key: str, modulus: int, keep: int, seed: int = 0) -> DataFrame:
-    """Repeatable sample: rows whose ``(key + seed) mod modulus < keep``.
+def hash_sample(df: DataFrame, key: str, fraction: float, seed: int = 0) -> DataFrame:
+    """Repeatable sample of about ``fraction`` of the rows: those whose
+    seeded hash of ``key`` (any column, its text) is below a bound.
 
-    Engine-neutral (plain integer arithmetic on a key), so the same rows are
-    chosen on every run, partitioning and engine; a pushed-down filter.
+    The same rows are chosen on every run, partitioning and engine; rows with
+    equal keys are chosen together; NULL keys count as empty text.
     """
-    return df.filter(F.pmod(F.col(key) + F.lit(seed), F.lit(modulus)) < keep)
+    if not 0 <= fraction <= 1:
+        raise ValueError("fraction must be between 0 and 1")
+    if fraction == 1:
+        return df
+    bound = f"{int(fraction * 16 ** 8):08x}"
+    text = F.coalesce(F.col(key).cast("string"), F.lit(""))
+    return df.filter(F.substring(seeded_hash(text, seed), 1, 8) < bound)

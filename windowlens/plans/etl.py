@@ -12,17 +12,30 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from windowlens.functions import fixed
-from windowlens.operators import clean, enrich, evaluate, features, labels, model, parse, sink, split
+from windowlens.operators import clean, enrich, evaluate, features, labels, model, parse, sink, split, traffic
+
+
+def sample_lines(lines: DataFrame, fraction: float, seed: int = 0, value_col: str = "value") -> DataFrame:
+    """A repeatable share of raw lines (by a seeded hash of their text), for
+    trial runs."""
+    return traffic.hash_sample(lines, value_col, fraction, seed)
 
 
 def extract(lines: DataFrame, dimension: DataFrame | None = None) -> DataFrame:
     """Raw lines -> parsed string fields, tag and reason, enriched with the
-    endpoint dimension (left join, broadcast after a size check).  No line is
+    endpoint dimension (left join).  No line is
     dropped; rejected lines stay, tagged."""
     parsed = parse.parse_lines(lines)
     return parsed if dimension is None else enrich.enrich(parsed, dimension)
 
 
+def write_stage(table: DataFrame, path: str, mode: str = "overwrite") -> DataFrame:
+    """Write the output of ``extract`` or ``transform`` as Parquet and return
+    the table read back."""
+    table.write.mode(mode).parquet(path)
+    return table.sparkSession.read.parquet(path)
+
+
 def transform(extracted: DataFrame, label_df: DataFrame | None = None,
               width: str = fixed.WINDOW_WIDTH, method: str = "exact") -> DataFrame:
     """Accepted rows -> typed -> deduplicated -> window features, joined to
@@ -48,17 +61,22 @@ def train(spark: SparkSession, features_table: DataFrame, model_path: str,
     DataFrames; rows without features are skipped.
     """
     parts = split.chrono_split(labels.with_features_only(features_table), fraction)
-    cv_model, lr = model.cross_validate(split.train_part(parts), folds=folds, seed=seed)
+    cv_model = model.cross_validate(split.train_part(parts), folds=folds, seed=seed)
     best = cv_model.bestModel
     model.save(best, model_path)
     predictions = model.score(best, split.test_part(parts))
     metrics = evaluate.metrics(evaluate.confusion(predictions))
-    return model.grid_table(spark, cv_model, lr), predictions, metrics, model.coefficient_table(spark, best)
+    return model.grid_table(spark, cv_model), predictions, metrics, model.coefficient_table(spark, best)
 
 
-def predict(model_path: str, features_table: DataFrame):
+def predict(model_path: str, features_table: DataFrame, out_path: str | None = None):
     """Score a (later) labelled feature table with a saved model; returns
-    ``(predictions, confusion, metrics, prediction_distribution)``."""
+    ``(predictions, confusion, metrics, prediction_distribution)``.  With
+    ``out_path`` the predictions are written there in time order, and the
+    reports read the written table."""
     predictions = model.score(model.load(model_path), labels.with_features_only(features_table))
+    if out_path is not None:
+        sink.write_predictions(predictions, out_path)
+        predictions = features_table.sparkSession.read.parquet(out_path)
     confusion = evaluate.confusion(predictions)
     return predictions, confusion, evaluate.metrics(confusion), evaluate.prediction_distribution(predictions)

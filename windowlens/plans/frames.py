@@ -2,8 +2,9 @@
 
 Every registered query starts from the ``events`` table of a data folder and
 derives the access-log lines, parsed rows, typed rows, features and labels
-through the library operators.  Nothing here runs a job; each property
-returns a new lazy plan that Catalyst optimises as a whole.
+through the library operators.  Most properties return a new lazy plan that
+Catalyst optimises as a whole; ``dimension``, ``feature_table`` and what is
+built on them run a job each, once, and read its stored result.
 """
 
 from __future__ import annotations
@@ -15,8 +16,8 @@ from pyspark.sql import functions as F
 
 from windowlens.functions import fixed
 from windowlens.operators import clean, features, labels, parse
-from windowlens.session import checkpoint_dir
-from windowlens.sources import fixtures, tables
+from windowlens.session import checkpoint_dir, work_path
+from windowlens.sources import dimension, fixtures, tables
 
 # Output rounding for engine-independent comparison of doubles.
 RATE_DIGITS = 6
@@ -58,9 +59,13 @@ class Frames:
     def deduped(self) -> DataFrame:
         return clean.dedupe(self.typed)
 
-    @property
+    @cached_property
     def dimension(self) -> DataFrame:
-        return fixtures.endpoint_dimension(self.events)
+        """The endpoint dimension as a table of its own, read with its schema
+        (one event type is left out, so that some rows find no match)."""
+        path = work_path(self.spark, "dimension")
+        fixtures.endpoint_dimension(self.events, exclude=("error",)).write.parquet(path)
+        return dimension.read_dimension(self.spark, path)
 
     def features(self, width: str = fixed.WINDOW_WIDTH) -> DataFrame:
         """Window features as one lazy plan over the raw lines."""
@@ -76,15 +81,13 @@ class Frames:
             self._tables[width] = self.features(width).checkpoint(eager=True)
         return self._tables[width]
 
-    def spine(self, width: str = fixed.WINDOW_WIDTH, days: int | None = None,
-              source: str | None = None) -> DataFrame:
-        """Calendar from the first to the last day of the feature windows
-        (of width ``source``, default ``width``)."""
-        starts = self.feature_table(source or width).select(F.col("window_start").alias("ts"))
-        return features.window_spine(starts, width, days=days)
+    def spine(self, width: str = fixed.WINDOW_WIDTH) -> DataFrame:
+        """Calendar from the first to the last day of the feature windows."""
+        starts = self.feature_table(width).select(F.col("window_start").alias("ts"))
+        return features.window_spine(starts, width)
 
-    def labels(self, width: str = fixed.WINDOW_WIDTH, days: int | None = None) -> DataFrame:
-        return labels.rule_labels(self.spine(width, days))
+    def labels(self, width: str = fixed.WINDOW_WIDTH) -> DataFrame:
+        return fixtures.rule_labels(self.spine(width))
 
     def labeled(self, width: str = fixed.WINDOW_WIDTH) -> DataFrame:
         return labels.attach_labels(self.labels(width), self.feature_table(width))

@@ -30,11 +30,11 @@ inj AS (SELECT event_id, tstr, endpoint,
                CASE WHEN hidx % 25 = 7 AND floor(hidx / 25) % 2 = 1 THEN sz0 * 10 ELSE sz0 END AS sz
         FROM ev),
 ln AS (SELECT event_id, CASE WHEN event_id % 67 = 11 THEN CASE event_id % 5
-            WHEN 0 THEN tstr || ' ' || endpoint || ' ' || CAST(sz AS VARCHAR)
-            WHEN 1 THEN '20XX-XX-XX 99:99:99 ' || endpoint || ' ' || CAST(st AS VARCHAR) || ' ' || CAST(sz AS VARCHAR)
-            WHEN 2 THEN substr(tstr, 1, 12)
-            WHEN 3 THEN tstr || ' ' || endpoint || ' ' || CAST(st AS VARCHAR) || ' ABCxyz'
-            ELSE tstr || ' ' || endpoint || ' ' || CAST(st AS VARCHAR) || ' ' || CAST(sz AS VARCHAR) || ' "extra=1" sid=deadbeef' END
+            WHEN 0 THEN replace(tstr, '-', '/') || ' ' || endpoint || ' ' || CAST(st AS VARCHAR) || ' ' || CAST(sz AS VARCHAR)
+            WHEN 1 THEN replace(tstr || ' ' || endpoint || ' ' || CAST(st AS VARCHAR) || ' ' || CAST(sz AS VARCHAR), ' ', ';')
+            WHEN 2 THEN tstr || ' ' || endpoint || ' ' || CAST(st AS VARCHAR) || ' ' || CAST(sz AS VARCHAR) || 'kB'
+            WHEN 3 THEN tstr || '  ' || endpoint || ' ' || CAST(st AS VARCHAR) || ' ' || CAST(sz AS VARCHAR)
+            ELSE 'retry ' || tstr || ' ' || endpoint || ' ' || CAST(st AS VARCHAR) || ' ' || CAST(sz AS VARCHAR) END
           ELSE tstr || ' ' || endpoint || ' ' || CAST(st AS VARCHAR) || ' ' || CAST(sz AS VARCHAR) END AS value
        FROM inj),
 raw AS (SELECT value FROM ln
@@ -123,6 +123,38 @@ def _weight(col: str) -> str:
             f"THEN CAST({fixed.WEEKEND_FACTOR} AS DOUBLE) ELSE CAST(1.0 AS DOUBLE) END)")
 
 
+def _sampled(text: str, fraction: float, seed: int) -> str:
+    return f"substr(md5('{seed}:' || {text}), 1, 8) < '{int(fraction * 16 ** 8):08x}'"
+
+
+def _pick(seed: int) -> str:
+    return f"""
+        , hh AS (SELECT window_start, md5('{seed}:' || strftime(window_start, '%Y-%m-%d %H:%M:%S')) AS h FROM spine5),
+        kk AS (SELECT CAST(round_even(CAST(count(*) AS DOUBLE) * 0.04, 0) AS BIGINT) AS k FROM spine5),
+        ranked AS (SELECT window_start, row_number() OVER (ORDER BY h) AS r FROM hh),
+        sel AS (SELECT window_start, row_number() OVER (ORDER BY window_start) - 1 AS i
+                FROM ranked, kk WHERE r <= kk.k)
+        SELECT s.window_start, CASE WHEN sel.i IS NULL THEN 0 ELSE 1 END AS is_anomalous,
+               CASE WHEN sel.i IS NULL THEN 'none' WHEN sel.i % 2 = 0 THEN 'error' ELSE 'size' END AS anomaly_type
+        FROM spine5 s LEFT JOIN sel ON s.window_start = sel.window_start"""
+
+
+def _labelled(seconds: int) -> str:
+    """Labelled windows of any width, floored on the epoch."""
+    floor = "TIMESTAMP '1970-01-01' + to_seconds(CAST(floor(epoch({c}) / {w}) * {w} AS BIGINT))"
+    return f"""
+        , fx AS (SELECT {floor.format(c='ts', w=seconds)} AS window_start, count(*) AS total_requests,
+                      avg(CAST(status_code >= 400 AS INTEGER)) AS error_rate, avg(response_size) AS avg_response_size,
+                      CAST(quantile_cont(response_size, 0.95) AS DOUBLE) AS p95_response_size
+               FROM dedup WHERE ts IS NOT NULL GROUP BY 1),
+        bx AS (SELECT date_trunc('day', min(window_start)) AS a, date_trunc('day', max(window_start)) + INTERVAL 1 DAY AS b
+               FROM fx),
+        cx AS (SELECT unnest(generate_series(CAST(floor(epoch(a) / {seconds}) AS BIGINT),
+                                             CAST(ceil(epoch(b) / {seconds}) AS BIGINT) - 1)) AS k FROM bx),
+        spinex AS (SELECT TIMESTAMP '1970-01-01' + to_seconds(k * {seconds}) AS window_start FROM cx),
+        """ + _labels_cte("labx", "spinex").strip()
+
+
 SQL_BODIES: dict[str, str] = {
     "parse_lines": """SELECT value, "timestamp", endpoint, status_code, response_size, parse_ok, parse_reason
         FROM parsed""",
@@ -161,17 +193,6 @@ SQL_BODIES: dict[str, str] = {
         GROUP BY ROLLUP (window_start, endpoint)""",
     "window_spine": "SELECT window_start FROM spine5",
     "label_sample": "SELECT window_start, is_anomalous, anomaly_type FROM lab5",
-    "label_pick": """
-        , hh AS (SELECT window_start,
-                        ((CAST(epoch(window_start) AS BIGINT) * 2654435761 + 42) % 1000003 + 1000003) % 1000003 AS h
-                 FROM spine5),
-        kk AS (SELECT CAST(round_even(CAST(count(*) AS DOUBLE) * 0.04, 0) AS BIGINT) AS k FROM spine5),
-        ranked AS (SELECT window_start, row_number() OVER (ORDER BY h, window_start) AS r FROM hh),
-        sel AS (SELECT window_start, row_number() OVER (ORDER BY window_start) - 1 AS i
-                FROM ranked, kk WHERE r <= kk.k)
-        SELECT s.window_start, CASE WHEN sel.i IS NULL THEN 0 ELSE 1 END AS is_anomalous,
-               CASE WHEN sel.i IS NULL THEN 'none' WHEN sel.i % 2 = 0 THEN 'error' ELSE 'size' END AS anomaly_type
-        FROM spine5 s LEFT JOIN sel ON s.window_start = sel.window_start""",
     "label_windows": f"SELECT * REPLACE (CAST(total_requests AS DOUBLE) AS total_requests) FROM (SELECT {ROUND_LABELED} FROM lw5)",
     "label_coverage": """SELECT count(*) AS windows, count(*) FILTER (WHERE is_anomalous = 1) AS anomalous,
         count(*) FILTER (WHERE total_requests IS NULL) AS null_features,
@@ -179,12 +200,7 @@ SQL_BODIES: dict[str, str] = {
     "label_mix": """SELECT anomaly_type, count(*) AS windows,
         CAST(count(*) AS DOUBLE) / CAST(sum(count(*)) OVER () AS DOUBLE) AS share
         FROM lab5 GROUP BY anomaly_type""",
-    "unlabeled_windows": """
-        , wk AS (SELECT d0, greatest(7, CAST(floor((date_diff('day', d0, d1) + 1) / 7) AS BIGINT) * 7) AS nd FROM bounds),
-        spinew AS (SELECT unnest(generate_series(d0, d0 + to_days(CAST(nd AS INTEGER)) - INTERVAL 5 MINUTE,
-                                                 INTERVAL 5 MINUTE)) AS window_start FROM wk)
-        SELECT """ + ROUND_FEATURES + """ FROM f5
-        WHERE NOT EXISTS (SELECT 1 FROM spinew s WHERE s.window_start = f5.window_start)""",
+    "unlabeled_windows": "SELECT " + ROUND_FEATURES + " FROM f5 WHERE day(window_start) % 7 = 3",
     "feature_distribution": """SELECT round(min(error_rate), 6) AS min_value, round(max(error_rate), 6) AS max_value,
         round(avg(error_rate), 6) AS mean_value,
         count(DISTINCT error_rate) + max(CASE WHEN error_rate IS NULL THEN 1 ELSE 0 END) AS distinct_values,
@@ -210,7 +226,7 @@ SQL_BODIES: dict[str, str] = {
         , w AS (SELECT window_start, {_weight('window_start')} AS weight FROM spine1h),
         tot AS (SELECT count(*) AS total FROM dedup WHERE ts IS NOT NULL),
         a AS (SELECT window_start, weight, total,
-                     CAST(round(total * weight / sum(weight) OVER ()) AS BIGINT) AS r,
+                     CAST(round_even(total * weight / sum(weight) OVER (), 0) AS BIGINT) AS r,
                      window_start = max(window_start) OVER () AS is_last
               FROM w, tot)
         SELECT window_start, weight,
@@ -225,7 +241,7 @@ SQL_BODIES: dict[str, str] = {
 
 # Queries whose base CTEs read a sample of events instead of all of them.
 SOURCES = {
-    "hash_sample": "(SELECT * FROM events WHERE ((event_id + 7) % 10 + 10) % 10 < 3)",
+    "hash_sample": f"(SELECT * FROM events WHERE {_sampled('CAST(event_id AS VARCHAR)', 0.3, 7)})",
 }
 SQL_BODIES["hash_sample"] = "SELECT value FROM raw"
 
@@ -336,21 +352,17 @@ SQL_BODIES.update({
         SELECT feature, round(CAST(sum((q - p) * ln(q / p)) AS DOUBLE), 9) AS psi FROM sh GROUP BY feature""",
 })
 
-_WM = ", wm AS (SELECT max(ts) - INTERVAL 10 MINUTE AS w FROM typed)"
-
 SQL_BODIES.update({
     "labels_csv": "SELECT window_start, is_anomalous, anomaly_type FROM lab5",
     "partition_counts": """SELECT strftime(d, '%Y-%m-%d') AS date, count(*) AS rows
         FROM (SELECT CAST(window_start AS DATE) AS d FROM lw5) x GROUP BY ROLLUP (d)""",
     "reconcile": """SELECT 'missing' AS item, CAST(0 AS BIGINT) AS rows
         UNION ALL SELECT 'extra', 0 UNION ALL SELECT 'rows_in', (SELECT count(*) FROM lw5)
-        UNION ALL SELECT 'rows_out', (SELECT count(*) FROM lw5)""",
-    "stream_features": _WM + " SELECT " + ROUND_FEATURES + """ FROM f1h, wm
-        WHERE window_start + INTERVAL 1 HOUR <= wm.w""",
+        UNION ALL SELECT 'rows_out', (SELECT count(*) FROM lw5) UNION ALL SELECT 'columns_differ', 0""",
+    "stream_features": f"SELECT {ROUND_FEATURES} FROM f1h",
     "stream_dedupe": "SELECT ts, endpoint, status_code, response_size FROM dedup",
-    "stream_score": _WM + f"""
-        , c AS (SELECT * FROM f1h, wm WHERE window_start + INTERVAL 1 HOUR <= wm.w),
-        z AS (SELECT window_start, CAST(1.0 AS DOUBLE) / (CAST(1.0 AS DOUBLE) + exp(-{_z()})) AS prob FROM c)
+    "stream_score": f"""
+        , z AS (SELECT window_start, CAST(1.0 AS DOUBLE) / (CAST(1.0 AS DOUBLE) + exp(-{_z()})) AS prob FROM f1h)
         SELECT window_start, round(prob, 9) AS prob_anomalous,
                CASE WHEN prob > CAST(0.5 AS DOUBLE) THEN CAST(1.0 AS DOUBLE) ELSE CAST(0.0 AS DOUBLE) END AS prediction
         FROM z""",
@@ -403,3 +415,65 @@ SQL_BODIES["parse_reasons_strict"] = """SELECT CASE WHEN parse_reason = 'ok' AND
         FROM parsed GROUP BY 1"""
 
 SQL_BODIES["stream_enrich"] = SQL_BODIES["enrich_dim"]
+
+_WIDE = """ SELECT l.window_start, l.is_anomalous, l.anomaly_type, CAST(f.total_requests AS DOUBLE) AS total_requests,
+       round(f.error_rate, 6) AS error_rate, round(f.avg_response_size, 4) AS avg_response_size,
+       round(f.p95_response_size, 4) AS p95_response_size
+FROM labx l LEFT JOIN fx f ON l.window_start = f.window_start"""
+
+_DAMAGED = "hour(window_start) IN (1, 5, 9, 13, 17, 21)"
+
+
+def _grid(regs, nets) -> str:
+    points = ", ".join(f"(CAST({r} AS DOUBLE), CAST({e} AS DOUBLE))" for r in regs for e in nets)
+    return f"(VALUES {points}) g(reg_param, elastic_net)"
+
+
+def _count_windows(width: str, seconds: int) -> str:
+    return (f"SELECT '{width}' AS width, count(DISTINCT floor(epoch(ts) / {seconds})) AS windows, "
+            "CAST(0 AS BIGINT) AS off_calendar FROM dedup WHERE ts IS NOT NULL")
+
+
+SQL_BODIES.update({
+    "label_pick": _pick(42),
+    "label_pick_seed7": _pick(7),
+    "label_windows_7m": _labelled(420) + _WIDE,
+    "label_windows_2d": _labelled(172800) + _WIDE,
+    "calendar_check": " UNION ALL ".join(_count_windows(w, n) for w, n in (
+        ("7 minutes", 420), ("1 hour", 3600), ("2 days", 172800))),
+    "labels_csv_damaged": f"SELECT window_start, is_anomalous, anomaly_type FROM lab5 WHERE NOT ({_DAMAGED})",
+    "label_stamp_report": f"""SELECT count(*) AS rows, count(*) FILTER (WHERE {_DAMAGED}) AS bad_stamps,
+        CAST(0 AS BIGINT) AS bad_labels FROM lab5""",
+    "hash_sample_strided": f"SELECT event_id FROM events WHERE {_sampled('CAST(event_id * 10 AS VARCHAR)', 0.3, 7)}",
+    "line_sample": f"SELECT value FROM raw WHERE {_sampled('value', 0.1, 3)}",
+    "row_preservation": """SELECT unnest(['raw', 'parsed', 'enriched']) AS step, (SELECT count(*) FROM raw) AS rows
+        UNION ALL SELECT 'drift', 0""",
+    "model_notes": SQL_BODIES["classification_metrics"].rstrip().removesuffix("FROM pr").split("SELECT round(precision")[0] + """
+        , nt AS (SELECT precision, coalesce((tp + tn) / nullif(total, 0), 0.0) AS acc,
+                        coalesce((tn + fn) / nullif(total, 0), 0.0) AS maj, (tp + fp > 0) AND (tn + fn > 0) AS both_ FROM pr)
+        SELECT 'low_precision' AS note, precision < 0.5 AS holds FROM nt
+        UNION ALL SELECT 'not_better_than_majority', acc <= maj FROM nt
+        UNION ALL SELECT 'one_class_predicted', NOT both_ FROM nt""",
+    "write_predictions": SQL_BODIES["score_logistic"],
+    "file_inventory": """SELECT strftime(window_start, '%Y-%m-%d') AS date, CAST(1 AS BIGINT) AS files
+        FROM lw5 GROUP BY 1""",
+    "lr_batch_score": SPLIT.format(fraction=0.8) + """
+        SELECT count(*) FILTER (WHERE part = 'test') AS windows, CAST(0 AS BIGINT) AS differing FROM split""",
+    "cv_grid": "SELECT reg_param, elastic_net, true AS auc_valid, true AS winner_is_best FROM "
+               + _grid(fixed.GRID_REG_PARAM, fixed.GRID_ELASTIC_NET),
+    "cv_time_folds": "SELECT reg_param, elastic_net, true AS auc_valid FROM " + _grid([0.01, 1.0], [0.0]),
+    "cv_repeated": "SELECT reg_param, elastic_net, CAST(2 AS BIGINT) AS seeds, true AS auc_valid FROM "
+                   + _grid(fixed.GRID_REG_PARAM, fixed.GRID_ELASTIC_NET),
+    "coefficient_table": "SELECT unnest([" + ", ".join(f"'{c}'" for c in [*fixed.FEATURE_COLUMNS, "intercept"])
+                         + "]) AS term, true AS at_optimum",
+    "run_audit": """
+        SELECT 1 AS step_no, 'extract' AS step, 'lines_read' AS metric, (SELECT count(*) FROM parsed) AS value
+        UNION ALL SELECT 1, 'extract', 'rejected', (SELECT count(*) FROM parsed WHERE NOT parse_ok)
+        UNION ALL SELECT 2, 'transform', 'accepted', (SELECT count(*) FROM typed)
+        UNION ALL SELECT 2, 'transform', 'duplicates', (SELECT count(*) FROM typed) - (SELECT count(*) FROM dedup)
+        UNION ALL SELECT 2, 'transform', 'deduped', (SELECT count(*) FROM dedup)
+        UNION ALL SELECT 2, 'transform', 'null_timestamp', (SELECT count(*) FROM dedup WHERE ts IS NULL)
+        UNION ALL SELECT 2, 'transform', 'windows', (SELECT count(*) FROM f5)
+        UNION ALL SELECT 3, 'load', 'labeled_windows', (SELECT count(*) FROM lw5)
+        UNION ALL SELECT 3, 'load', 'windows_without_rows', (SELECT count(*) FROM lw5 WHERE total_requests IS NULL)""",
+})

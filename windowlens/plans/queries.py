@@ -16,6 +16,7 @@ from windowlens.functions import fixed
 from windowlens.operators import (clean, drift, enrich, evaluate, labels, model, parse, quality, runlog, sink,
                                   split, traffic)
 from windowlens.operators import features as feat
+from windowlens.plans import etl
 from windowlens.plans.frames import PROB_DIGITS, RATE_DIGITS, Frames, rounded
 from windowlens.session import work_path
 from windowlens.sources import fixtures, text
@@ -24,9 +25,6 @@ from windowlens.streaming import features as streaming
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
 
-# Labels of the "shortened" calendar cover whole weeks from the first day.
-LABEL_WEEK_DAYS = 7
-
 
 def nullable_counts_as_double(df: DataFrame, names=("total_requests", "expected_avg_response_size")) -> DataFrame:
     """Present integer columns that can be NULL (windows without rows,
@@ -108,6 +106,12 @@ def q_enrich_sample(spark, d):
     return nullable_counts_as_double(enrich.enriched_sample(enrich.enrich(f.typed, f.dimension), 5))
 
 
+@query("row_preservation")
+def q_row_preservation(spark, d):
+    f = Frames(spark, d)
+    return enrich.row_preservation(f.lines, f.parsed, enrich.enrich(f.parsed, f.dimension))
+
+
 @query("enrich_coverage")
 def q_enrich_coverage(spark, d):
     f = Frames(spark, d)
@@ -148,11 +152,41 @@ def q_label_pick(spark, d):
     return labels.pick_labels(Frames(spark, d).spine("5 minutes"))
 
 
+@query("label_pick_seed7")
+def q_label_pick_seed7(spark, d):
+    return labels.pick_labels(Frames(spark, d).spine("5 minutes"), seed=7)
+
+
 @query("label_windows")
 def q_label_windows(spark, d):
     return nullable_counts_as_double(rounded(Frames(spark, d).labeled("5 minutes")))
 
 
+@query("label_windows_7m")
+def q_label_windows_7m(spark, d):
+    """A width that does not divide the day."""
+    return nullable_counts_as_double(rounded(Frames(spark, d).labeled("7 minutes")))
+
+
+@query("label_windows_2d")
+def q_label_windows_2d(spark, d):
+    return nullable_counts_as_double(rounded(Frames(spark, d).labeled("2 days")))
+
+
+@query("calendar_check")
+def q_calendar_check(spark, d):
+    """Feature windows and those of them that are not on the calendar."""
+    f, out = Frames(spark, d), None
+    for width in ("7 minutes", "1 hour", "2 days"):
+        feats = f.feature_table(width)
+        on = f.spine(width).withColumn("on", F.lit(1))
+        one = feats.join(on, "window_start", "left").agg(
+            F.count(F.lit(1)).alias("windows"), F.count_if(F.col("on").isNull()).alias("off_calendar"))
+        one = one.select(F.lit(width).alias("width"), "windows", "off_calendar")
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
 @query("label_coverage")
 def q_label_coverage(spark, d):
     return labels.label_coverage(Frames(spark, d).labeled("5 minutes"))
@@ -163,17 +197,37 @@ def q_label_mix(spark, d):
     return labels.label_mix(Frames(spark, d).labels("5 minutes"))
 
 
-def _week_days(f: Frames) -> int:
-    """Whole weeks covered by the data's calendar days (at least one week)."""
-    days = f.spine("1 day", source="5 minutes").count()
-    return max(LABEL_WEEK_DAYS, days // LABEL_WEEK_DAYS * LABEL_WEEK_DAYS)
-
-
 @query("unlabeled_windows")
 def q_unlabeled_windows(spark, d):
+    """Feature windows without a label: the label file lacks every day of the
+    month that leaves 3 when divided by 7."""
     f = Frames(spark, d)
-    week_labels = f.labels("5 minutes", days=_week_days(f))
-    return rounded(labels.unlabeled_windows(f.feature_table("5 minutes"), week_labels))
+    path = work_path(spark, "labels-with-gaps")
+    labels.write_labels_csv(f.labels("5 minutes").where(F.dayofmonth("window_start") % 7 != 3), path)
+    return rounded(labels.unlabeled_windows(f.feature_table("5 minutes"), labels.read_labels_csv(spark, path)))
+
+
+def _damaged_labels(spark, d):
+    """A label file in which the stamps of six hours a day are damaged."""
+    path = work_path(spark, "labels-damaged")
+    ts, hour = F.date_format("window_start", fixed.TIMESTAMP_TEXT_FORMAT), F.hour("window_start")
+    text = (F.when(hour == 1, F.substring(ts, 1, 4)).when(hour == 5, F.substring(ts, 1, 7))
+            .when(hour == 9, F.replace(ts, F.lit(" "), F.lit("T"))).when(hour == 13, F.substring(ts, 1, 16))
+            .when(hour == 17, F.concat(F.substring(ts, 1, 5), F.lit("13-45 00:00:00")))
+            .when(hour == 21, F.concat(ts, F.lit("Z"))).otherwise(ts))
+    rows = Frames(spark, d).labels("5 minutes").select(text.alias("window_start"), "is_anomalous", "anomaly_type")
+    rows.write.option("header", True).csv(path)
+    return labels.read_labels_csv(spark, path)
+
+
+@query("labels_csv_damaged")
+def q_labels_csv_damaged(spark, d):
+    return _damaged_labels(spark, d).where("window_start is not null")
+
+
+@query("label_stamp_report")
+def q_label_stamp_report(spark, d):
+    return labels.stamp_report(_damaged_labels(spark, d))
 
 
 # --- quality reports ------------------------------------------------------------
@@ -229,8 +283,19 @@ def q_render_lines(spark, d):
 
 @query("hash_sample")
 def q_hash_sample(spark, d):
-    ev = traffic.hash_sample(Frames(spark, d).events, "event_id", modulus=10, keep=3, seed=7)
-    return fixtures.access_log_lines(ev)
+    return fixtures.access_log_lines(traffic.hash_sample(Frames(spark, d).events, "event_id", 0.3, seed=7))
+
+
+@query("hash_sample_strided")
+def q_hash_sample_strided(spark, d):
+    """Ids 0, 10, 20, ... are sampled like any others."""
+    ev = Frames(spark, d).events.withColumn("strided", F.col("event_id") * 10)
+    return traffic.hash_sample(ev, "strided", 0.3, seed=7).select("event_id")
+
+
+@query("line_sample")
+def q_line_sample(spark, d):
+    return etl.sample_lines(Frames(spark, d).lines, fraction=0.1, seed=3)
 
 
 # --- split, scoring, metrics ---------------------------------------------------------
@@ -279,6 +344,18 @@ def q_classification_metrics(spark, d):
     return _round_all(out, set(out.columns) - {"both_classes_predicted"})
 
 
+@query("model_notes")
+def q_model_notes(spark, d):
+    return evaluate.notes(evaluate.confusion(_scored(spark, d)))
+
+
+@query("write_predictions")
+def q_write_predictions(spark, d):
+    path = work_path(spark, "predictions")
+    sink.write_predictions(q_score_logistic(spark, d), path)
+    return spark.read.parquet(path)
+
+
 @query("prediction_distribution")
 def q_prediction_distribution(spark, d):
     return evaluate.prediction_distribution(_scored(spark, d))
@@ -328,7 +405,7 @@ def q_partition_counts(spark, d):
 @query("file_inventory")
 def q_file_inventory(spark, d):
     _, path = _written_features(spark, d, "features-files")
-    return sink.file_inventory(spark, path)
+    return sink.file_inventory(spark, path).select("date", "files")
 
 
 @query("reconcile")
@@ -337,28 +414,65 @@ def q_reconcile(spark, d):
     return sink.round_trip(spark, table, path)
 
 
-# --- fitted model (rows-only: MLlib optimiser output has no SQL twin) --------------------
+# --- fitted model: what must hold whatever the optimiser's last digits are -----------------
+
+TOLERANCE = 1e-9       # of the closed form against the fitted model's own scores
+SLOPE = 1e-3           # of the penalised loss at the fitted coefficients
+
+
+def _fitted(spark, d):
+    parts = _split(spark, d)
+    return parts, model.fit(split.train_part(parts), reg_param=0.01, elastic_net=0.0)
+
 
 @query("lr_batch_score")
 def q_lr_batch_score(spark, d):
-    parts = _split(spark, d)
-    fitted = model.fit(split.train_part(parts), reg_param=0.01, elastic_net=0.0)
+    """Windows scored by the saved and loaded model, and those on which the
+    closed form differs."""
+    parts, fitted = _fitted(spark, d)
     path = work_path(spark, "model")
     model.save(fitted, path)
-    return model.score(model.load(path), split.test_part(parts))
+    loaded = model.load(path)
+    scored = model.score(loaded, split.test_part(parts), keep=["window_start", *fixed.FEATURE_COLUMNS])
+    twin = evaluate.score_logistic(scored.withColumnRenamed("prob_anomalous", "by_model")
+                                   .withColumnRenamed("prediction", "model_says"), **model.closed_form(loaded))
+    differs = (F.abs(F.col("by_model") - F.col("prob_anomalous")) > TOLERANCE) | (
+        F.col("model_says") != F.col("prediction"))
+    return twin.agg(F.count(F.lit(1)).alias("windows"), F.count_if(differs).alias("differing"))
+
+
+def _grid_properties(table):
+    top = table.agg(F.max("avg_auc")).scalar()
+    return table.select("reg_param", "elastic_net", F.col("avg_auc").between(0.0, 1.0).alias("auc_valid"),
+                        (~F.col("best") | (F.col("avg_auc") == top)).alias("winner_is_best"))
 
 
 @query("cv_grid")
 def q_cv_grid(spark, d):
-    train = split.train_part(_split(spark, d))
-    cv_model, lr = model.cross_validate(train)
-    return model.grid_table(spark, cv_model, lr)
+    fitted = model.cross_validate(split.train_part(_split(spark, d)))
+    return _grid_properties(model.grid_table(spark, fitted))
+
+
+@query("cv_time_folds")
+def q_cv_time_folds(spark, d):
+    table = model.cross_validate_time(spark, split.train_part(_split(spark, d)), reg_params=[0.01, 1.0],
+                                      elastic_nets=[0.0])
+    return table.select("reg_param", "elastic_net", F.col("avg_auc").between(0.0, 1.0).alias("auc_valid"))
+
+
+@query("cv_repeated")
+def q_cv_repeated(spark, d):
+    table = model.repeated_cv(spark, split.train_part(_split(spark, d)), seeds=(42, 7))
+    return table.select("reg_param", "elastic_net", "seeds", F.col("mean_auc").between(0.0, 1.0).alias("auc_valid"))
 
 
 @query("coefficient_table")
 def q_coefficient_table(spark, d):
-    fitted = model.fit(split.train_part(_split(spark, d)), reg_param=0.01, elastic_net=0.0)
-    return model.coefficient_table(spark, fitted)
+    """Terms of the fitted model; at each the penalised loss is flat."""
+    parts, fitted = _fitted(spark, d)
+    scored = model.score(fitted, split.train_part(parts), keep=[*fixed.FEATURE_COLUMNS, model.LABEL])
+    return (model.coefficient_table(spark, fitted).join(model.gradient(scored, fitted), "term")
+            .select("term", (F.abs("slope") < SLOPE).alias("at_optimum")))
 
 
 # --- streaming ------------------------------------------------------------------------------
@@ -378,24 +492,43 @@ def _run_stream(spark, stream_df, name):
     return streaming.read_sink(spark, out)
 
 
+def _typed_lines(spark, folder):
+    return clean.typed_rows(parse.parse_lines(text.read_lines(spark, folder)))
+
+
 @query("stream_features")
 def q_stream_features(spark, d):
+    """The windows the stream has closed and, from a batch pass over what is
+    left, the ones it still holds open."""
+    folder = _line_folder(spark, d)
+    lines = text.read_line_stream(spark, folder)
+    closed = _run_stream(spark, streaming.feature_stream(lines, STREAM_WIDTH), "stream-features")
+    return rounded(closed.unionByName(streaming.open_windows(_typed_lines(spark, folder), closed, STREAM_WIDTH)))
+
+
+def _stream_rows(spark, d, name, step=lambda rows: rows):
+    """Stamped rows through a deduplicating stream, the others through a
+    stateless one and deduplicated in batch; ``step`` is applied to both."""
     lines = text.read_line_stream(spark, _line_folder(spark, d))
-    return rounded(_run_stream(spark, streaming.feature_stream(lines, STREAM_WIDTH), "stream-features"))
+    typed = streaming.typed_stream(lines)
+    stamped = _run_stream(spark, step(streaming.dedupe_stream(typed)), name)
+    rest = _run_stream(spark, streaming.unstamped(typed), f"{name}-unstamped")
+    return stamped.drop("event_time").unionByName(step(clean.dedupe(rest.select(*clean.TYPED_COLUMNS))))
 
 
 @query("stream_dedupe")
 def q_stream_dedupe(spark, d):
-    lines = text.read_line_stream(spark, _line_folder(spark, d))
-    out = _run_stream(spark, streaming.dedupe_stream(streaming.typed_stream(lines)), "stream-dedupe")
-    return out.select(*clean.TYPED_COLUMNS)
+    return _stream_rows(spark, d, "stream-dedupe").select(*clean.TYPED_COLUMNS)
 
 
 @query("stream_score")
 def q_stream_score(spark, d):
-    lines = text.read_line_stream(spark, _line_folder(spark, d))
+    folder = _line_folder(spark, d)
+    lines = text.read_line_stream(spark, folder)
     scored = streaming.scored_stream(streaming.feature_stream(lines, STREAM_WIDTH))
-    out = _run_stream(spark, scored, "stream-score")
+    closed = _run_stream(spark, scored, "stream-score")
+    left = evaluate.score_logistic(streaming.open_windows(_typed_lines(spark, folder), closed, STREAM_WIDTH))
+    out = closed.unionByName(left)
     return _round_all(out.select("window_start", "prob_anomalous", "prediction"), {"prob_anomalous"})
 
 
@@ -403,8 +536,12 @@ def q_stream_score(spark, d):
 
 @query("run_audit")
 def q_run_audit(spark, d):
-    return runlog.run_feature_job(spark, Frames(spark, d).lines, work_path(spark, "run-features"),
-                                  work_path(spark, "run-labeled"))
+    """The audit table after one run (times and ids left out)."""
+    f, path = Frames(spark, d), work_path(spark, "audit")
+    runlog.run_feature_job(spark, f.lines, work_path(spark, "run-features"), work_path(spark, "run-labeled"),
+                           f.labels("5 minutes"), audit_path=path)
+    audit = spark.read.schema(runlog.AUDIT_SCHEMA).parquet(path)
+    return audit.where("metric != 'elapsed_ms'").orderBy("step_no", "metric")
 
 
 # --- sliding and session windows ------------------------------------------------------
@@ -419,18 +556,9 @@ def q_session_features(spark, d):
     return rounded(feat.session_features(Frames(spark, d).deduped, "10 minutes", key="endpoint"))
 
 
-@query("stage_metrics")
-def q_stage_metrics(spark, d):
-    """Jobs and stages of the 5-minute feature job (run into the no-op sink)."""
-    job = Frames(spark, d).features("5 minutes")
-    return runlog.stage_summary(spark, lambda: job.write.format("noop").mode("overwrite").save())
-
-
 @query("stream_enrich")
 def q_stream_enrich(spark, d):
     """Deduplicated stream rows enriched with the (static) dimension."""
-    f = Frames(spark, d)
-    lines = text.read_line_stream(spark, _line_folder(spark, d))
-    rows = streaming.dedupe_stream(streaming.typed_stream(lines))
-    out = _run_stream(spark, enrich.enrich(rows, f.dimension), "stream-enrich")
+    dim = Frames(spark, d).dimension
+    out = _stream_rows(spark, d, "stream-enrich", lambda rows: enrich.enrich(rows, dim))
     return nullable_counts_as_double(out.select(*clean.TYPED_COLUMNS, "service_owner", "expected_avg_response_size"))

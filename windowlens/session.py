@@ -45,9 +45,10 @@ def build_session(master: str = "local[*]", app_name: str = "windowlens",
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    On a cluster the setting points at shared storage and is only read here.
-    When it is unset (local tests) a fresh folder is created and registered,
-    so ``DataFrame.checkpoint()`` works too.
+    On a cluster the setting must point at shared storage and is only read
+    here; without it an error is raised, because a folder of the driver's
+    machine is not shared.  Only a local master (tests), where driver and
+    tasks are one machine, gets a fresh folder of its own.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -57,6 +58,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if configured:
         sc.setCheckpointDir(configured)
         return configured.rstrip("/")
+    if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
     local = tempfile.mkdtemp(prefix="windowlens-ckpt-")
     sc.setCheckpointDir(local)
     return sc.getCheckpointDir().rstrip("/")
@@ -67,14 +70,21 @@ def work_path(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_dir(spark)}/windowlens/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Remove a work folder through the file system Spark uses."""
+    jvm = spark.sparkContext._jvm
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def size_shuffles(spark: SparkSession, input_bytes: int, target_partition_bytes: int = 256 << 20,
-                  min_partitions: int = 8, max_partitions: int = 200_000) -> int:
+                  min_partitions: int = 8) -> int:
     """Set ``spark.sql.shuffle.partitions`` so that a shuffle of the whole
     input would give partitions of about ``target_partition_bytes`` (AQE
     then coalesces smaller shuffles to ``advisoryPartitionSizeInBytes``).
-    For 100 TB of logs and 256 MB this is about 400k, capped at
-    ``max_partitions``.  Returns the value set."""
-    n = max(min_partitions, min(max_partitions, -(-input_bytes // target_partition_bytes)))
+    For 100 TB of logs and 256 MB this is about 400k.  Returns the value
+    set."""
+    n = max(min_partitions, -(-input_bytes // target_partition_bytes))
     spark.conf.set("spark.sql.shuffle.partitions", str(n))
     spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", str(min(target_partition_bytes, 256 << 20)))
     return n

@@ -1,9 +1,8 @@
 """Access-log fixture derived from the ``events`` table.
 
-The original job reads an access log written by a random simulator.  Here
-the log is derived deterministically from ``events`` (one line per event, in
-a single scan with no shuffle), with the same kinds of damage, duplicates,
-injected error and size bursts.  Rules (all parameters):
+The log is derived deterministically from ``events`` (one line per event, in
+a single scan with no shuffle), with damaged lines, duplicates and injected
+error and size bursts.  Rules (all parameters):
 
 * endpoint ``/api/<event_type>``; status 500 for ``error`` events whose id is
   divisible by 3, 201 for ``signup``, else 200; size ``round(value*100)``.
@@ -23,14 +22,11 @@ from pyspark.sql import functions as F
 
 from windowlens.functions.expressions import epoch_seconds, text_timestamp
 
-# --- FIXED VALUES of the fixture (FIXTURES.md §2); the damaged-line texts
-# reproduce the original generator's malformed kinds --------------------------
+# --- FIXED VALUES of the fixture (FIXTURES.md §2) -----------------------------
 FIXTURE_EPOCH = "2024-01-01 00:00:00"
 LABEL_PERIOD = 25
 LABEL_OFFSET = 7
 CALENDAR_INVALID_LINE = "2024-13-45 99:99:99 /api/view 200 9"
-GARBLED_TIMESTAMP = "20XX-XX-XX 99:99:99"
-JUNK_SUFFIX = ' "extra=1" sid=deadbeef'
 # --- end of fixed values ------------------------------------------------------
 
 
@@ -50,6 +46,12 @@ def rule_label(ts: str | Column, epoch: str = FIXTURE_EPOCH,
             F.when(anomalous, kind).otherwise(F.lit("none")))
 
 
+def rule_labels(spine: DataFrame, **rule) -> DataFrame:
+    """Label every window of a calendar with the hour rule."""
+    is_anom, kind = rule_label("window_start", **rule)
+    return spine.select("window_start", is_anom.alias("is_anomalous"), kind.alias("anomaly_type"))
+
+
 def access_log_lines(events: DataFrame, epoch: str = FIXTURE_EPOCH,
                      period: int = LABEL_PERIOD, offset: int = LABEL_OFFSET) -> DataFrame:
     """``DataFrame[value: string]`` of access-log lines, one scan of ``events``.
@@ -80,13 +82,15 @@ def access_log_lines(events: DataFrame, epoch: str = FIXTURE_EPOCH,
     e = F.col("eid")
     tstr, endpoint, status, size = (F.col(c) for c in ("tstr", "endpoint", "status", "size"))
     good = F.concat_ws(" ", tstr, endpoint, status, size)
-    kind = e % 5
-    damaged = (F.when(kind == 0, F.concat_ws(" ", tstr, endpoint, size))
-                .when(kind == 1, F.concat_ws(" ", F.lit(GARBLED_TIMESTAMP), endpoint, status, size))
-                .when(kind == 2, F.substring(tstr, 1, 12))
-                .when(kind == 3, F.concat_ws(" ", tstr, endpoint, status, F.lit("ABCxyz")))
-                .otherwise(F.concat(good, F.lit(JUNK_SUFFIX))))
-    with_line = fields.select("eid", F.when(e % 67 == 11, damaged).otherwise(good).alias("line"))
+    # one well-formed line, spoilt by: a date with slashes, semicolons for
+    # spaces, a size with a unit, a doubled space, a note before the stamp
+    spoilt = F.element_at(F.array(
+        F.concat_ws(" ", F.translate(tstr, "-", "/"), endpoint, status, size),
+        F.translate(good, " ", ";"),
+        F.concat(good, F.lit("kB")),
+        F.concat(tstr, F.lit("  "), endpoint, F.lit(" "), status, F.lit(" "), size),
+        F.concat(F.lit("retry "), good)), (e % 5 + 1).cast("int"))
+    with_line = fields.select("eid", F.when(e % 67 == 11, spoilt).otherwise(good).alias("line"))
     line = F.col("line")
     lines = F.array(
         line,
@@ -97,12 +101,11 @@ def access_log_lines(events: DataFrame, epoch: str = FIXTURE_EPOCH,
     return with_line.select(F.explode(F.array_compact(lines)).alias("value"))
 
 
-def endpoint_dimension(events: DataFrame, exclude: tuple[str, ...] = ("error",)) -> DataFrame:
+def endpoint_dimension(events: DataFrame, exclude: tuple[str, ...] = ()) -> DataFrame:
     """Endpoint metadata derived from ``events``: one row per event type.
 
     ``service_owner`` is ``<type>-team`` and ``expected_avg_response_size``
-    the rounded mean size of that type.  Types in ``exclude`` are left out so
-    that enrichment has unmatched rows.  Grouping first keeps this tiny
+    the rounded mean size of that type.  Types in ``exclude`` have no row.  Grouping first keeps this tiny
     (one row per type) whatever the size of ``events``.
     """
     size = F.round(F.col("value") * 100)

@@ -16,7 +16,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from windowlens.functions import fixed
 from windowlens.functions.expressions import instant_of, wall_clock_of
-from windowlens.operators.clean import TYPED_COLUMNS, typed_rows
+from windowlens.operators.clean import TYPED_COLUMNS, dedupe, typed_rows
 from windowlens.operators.evaluate import score_logistic
 from windowlens.operators.features import window_features
 from windowlens.operators.parse import parse_lines
@@ -32,9 +32,18 @@ def typed_stream(lines: DataFrame, delay: str = DEFAULT_DELAY) -> DataFrame:
     return typed.withColumn("event_time", instant_of("ts")).withWatermark("event_time", delay)
 
 
+def unstamped(typed: DataFrame) -> DataFrame:
+    """The rows without an event time (stateless).  No watermark ever passes
+    them, so they must not reach a stateful operator; deduplicate what was
+    written of them in batch."""
+    return typed.where(F.col("event_time").isNull())
+
+
 def dedupe_stream(typed: DataFrame, salt_buckets: int = 8) -> DataFrame:
     """Exact duplicates removed; the event time is part of the key, so the
-    state of a key is dropped once the watermark passes it.
+    state of a key is dropped once the watermark passes it.  Rows without an
+    event time would stay in state for ever and are left out
+    (:func:`unstamped` has them).
 
     Streaming dedupe has no map-side combine, so every copy of a hot row
     would reach one task.  With ``salt_buckets > 1`` a first dedupe keyed by
@@ -44,6 +53,7 @@ def dedupe_stream(typed: DataFrame, salt_buckets: int = 8) -> DataFrame:
     retried task reads the same input partition, so its salt is stable.
     """
     keys = [*TYPED_COLUMNS, "event_time"]
+    typed = typed.where(F.col("event_time").isNotNull())
     if salt_buckets <= 1:
         return typed.dropDuplicates(keys)
     salted = typed.withColumn("_salt", F.pmod(F.spark_partition_id(), F.lit(salt_buckets)))
@@ -78,8 +88,11 @@ def read_sink(spark: SparkSession, sink_path: str, fmt: str = "parquet") -> Data
     return spark.read.format(fmt).load(sink_path)
 
 
-def closed_before(features: DataFrame, watermark: F.Column, width: str) -> DataFrame:
-    """Batch twin of append-mode output: windows whose end is at or before
-    the watermark."""
-    end = F.col("window_start") + F.expr(f"INTERVAL {width}")
-    return features.filter(end <= watermark)
+def open_windows(typed: DataFrame, closed: DataFrame, width: str = fixed.WINDOW_WIDTH) -> DataFrame:
+    """Features of the windows an append-mode run has not emitted yet,
+    computed in batch from ``typed`` rows (not deduplicated).  Append mode
+    emits in time order, so only rows at or after the end of the last closed
+    window are read into the aggregate."""
+    end = closed.agg(F.max(F.col("window_start") + F.expr(f"INTERVAL {width}"))).scalar()
+    rest = typed.where(F.col("ts") >= F.coalesce(end, F.lit("0001-01-01 00:00:00").cast("timestamp_ntz")))
+    return window_features(dedupe(rest), width)
