@@ -18,7 +18,8 @@ sys.path.insert(0, ROOT)
 
 SIDE_EFFECTS = {"labels_csv", "partition_counts", "file_inventory", "reconcile", "lr_batch_score", "cv_grid",
                 "coefficient_table", "stream_features", "stream_dedupe", "stream_score", "run_audit",
-                "stage_metrics", "stream_enrich"}
+                "stream_enrich", "cv_time_folds", "cv_repeated", "write_predictions", "unlabeled_windows",
+                "labels_csv_damaged", "label_stamp_report"}
 
 
 def summary(plan: str) -> dict:
@@ -39,14 +40,16 @@ def summary(plan: str) -> dict:
 
 def main() -> None:
     from windowlens.session import build_session
-    import __spark_entry__ as entry
+    from windowlens.plans.registry import all_queries
     data_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     spark = build_session("local[8]", shuffle_partitions=8)
     print("| query | shuffles | of which to one partition | broadcast joins | sort-merge joins | "
           "codegen stages | Python nodes | pushed filters |")
     print("|---|---|---|---|---|---|---|---|")
-    for key in sorted(set(entry.queries()) - SIDE_EFFECTS):
-        df = entry.queries()[key](spark, data_dir)
+    for key, query in sorted(all_queries().items()):
+        if key in SIDE_EFFECTS:
+            continue
+        df = query(spark, data_dir)
         df.collect()
         plan = df._jdf.queryExecution().executedPlan().toString()
         plan = plan.split("== Initial Plan ==")[0]  # adaptive plans print both; keep the final one
