@@ -35,7 +35,53 @@ SELECT doc_id, max(doc_id) OVER (PARTITION BY t) AS keep_id, count(*) OVER (PART
 FROM d
 """
 
+
+def _u(name: str) -> str:
+    """A number in (0, 1) from the MD5 of id and child (``name``: SQL)."""
+    return f"((CAST('0x' || substr(md5(k || '/' || {name}), 1, 13) AS BIGINT) + 0.5) / 4503599627370496.0)"
+
+
+def _first(*draws: tuple[str, int]) -> str:
+    """0-based position of the smallest draw of (name, weight)."""
+    costs = "[" + ", ".join(f"-ln({_u(name)}) / {weight}" for name, weight in draws) + "]"
+    return f"CAST(list_position({costs}, list_min({costs})) - 1 AS INTEGER)"
+
+
+def _below(region: int) -> str:
+    """The shard of a document inside a region: rack, then shard."""
+    racks = [_first(*[(f"'shard{(region * 2 + rack) * 4 + s}'", 1) for s in range(4)]) for rack in (0, 1)]
+    rack = _first(*[(f"'rack{region}.{r}'", 4) for r in (0, 1)])
+    return f"CASE {rack} WHEN 0 THEN {region * 8} + {racks[0]} ELSE {region * 8 + 4} + {racks[1]} END"
+
+
+# CRC-32 byte by byte; its table comes from the reversed polynomial 0xEDB88320
+OP10 = f"""
+WITH crc_table AS (
+  SELECT list(list_reduce(list_prepend(i::BIGINT, range(8)),
+                          lambda c, n: CASE WHEN c % 2 = 1 THEN xor(3988292384::BIGINT, c >> 1) ELSE c >> 1 END)
+              ORDER BY i) AS t FROM range(256) r(i)),
+d AS (SELECT doc_id, coalesce(CAST(doc_id AS VARCHAR), 'null') AS k, hex(encode(coalesce(text, ''))) AS h FROM documents),
+bytes AS (SELECT doc_id, k, length(h) // 2 + 1 AS size,
+                 list_transform(range(0, length(h) // 2),
+                                lambda i: CAST('0x' || substr(h, CAST(2 * i + 1 AS BIGINT), 2) AS BIGINT)) AS b FROM d),
+summed AS (SELECT doc_id, k, CAST(size AS BIGINT) AS size,
+                  xor(list_reduce(list_prepend(4294967295::BIGINT, b),
+                                  lambda c, x: xor(c >> 8, t[CAST(xor(c, x) & 255 AS BIGINT) + 1])),
+                      4294967295::BIGINT) AS text_crc32
+           FROM bytes, crc_table),
+drawn AS (SELECT *, {_first(("'region0'", 8), ("'region1'", 8))} AS r,
+                 {_first(("'region0'", 8), ("'region1'", 8), ("'added16'", 1))} AS g,
+                 {_below(0)} AS in0, {_below(1)} AS in1, substr(md5(k || '/slot'), 1, 2) AS part FROM summed),
+placed AS (SELECT *, CASE r WHEN 0 THEN in0 ELSE in1 END AS shard,
+                  CASE g WHEN 0 THEN in0 WHEN 1 THEN in1 ELSE 16 END AS grown_shard FROM drawn)
+SELECT doc_id, size, text_crc32, 'key' AS law, CAST(shard AS INTEGER) AS shard,
+       row_number() OVER (PARTITION BY shard ORDER BY part, doc_id, text_crc32) - 1 AS slot,
+       CAST(grown_shard AS INTEGER) AS grown_shard
+FROM placed
+"""
+
 ORACLES = {
     "op2_benchmark_decontamination": OP2,
     "op9_exact_dedup": OP9,
+    "op10_sharding": OP10,
 }
