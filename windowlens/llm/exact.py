@@ -196,8 +196,8 @@ def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     A null text counts as empty, and empty texts are equal to each other.
     Null doc_ids lose against any id; a group without ids has a null keep_id
     and its rows are kept.  Rows that repeat doc_id and text are the same
-    document and share its decision (``keep_documents`` keeps one of them).
-    An empty table gives an empty result; other columns are ignored whatever
+    document and share its decision (the pipeline keeps one of them).  An
+    empty table gives an empty result; other columns are ignored whatever
     their names.
     """
     d = documents_of(docs, id_col, text_col)
