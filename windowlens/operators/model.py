@@ -80,13 +80,14 @@ def cross_validate(train: DataFrame, folds: int = fixed.CV_FOLDS, seed: int = fi
 
 
 def repeated_cv(spark: SparkSession, train: DataFrame, seeds: Sequence[int] = (42, 7, 123),
-                folds: int = fixed.CV_FOLDS, parallelism: int = 9) -> DataFrame:
+                folds: int = fixed.CV_FOLDS, parallelism: int = 9, **grid) -> DataFrame:
     """Cross-validation repeated with several fold seeds: mean and standard
     deviation of the validation AUC per grid point across seeds (a small
-    table; each seed is one full grid search)."""
+    table; each seed is one full grid search; ``grid`` goes to
+    :func:`cross_validate`)."""
     tables = []
     for seed in seeds:
-        fitted = cross_validate(train, folds=folds, seed=seed, parallelism=parallelism)
+        fitted = cross_validate(train, folds=folds, seed=seed, parallelism=parallelism, **grid)
         tables.append(grid_table(spark, fitted).withColumn("seed", F.lit(seed)))
     allruns = tables[0]
     for t in tables[1:]:

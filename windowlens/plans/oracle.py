@@ -463,7 +463,7 @@ SQL_BODIES.update({
                + _grid(fixed.GRID_REG_PARAM, fixed.GRID_ELASTIC_NET),
     "cv_time_folds": "SELECT reg_param, elastic_net, true AS auc_valid FROM " + _grid([0.01, 1.0], [0.0]),
     "cv_repeated": "SELECT reg_param, elastic_net, CAST(2 AS BIGINT) AS seeds, true AS auc_valid FROM "
-                   + _grid(fixed.GRID_REG_PARAM, fixed.GRID_ELASTIC_NET),
+                   + _grid([0.01, 1.0], [0.0]),
     "coefficient_table": "SELECT unnest([" + ", ".join(f"'{c}'" for c in [*fixed.FEATURE_COLUMNS, "intercept"])
                          + "]) AS term, true AS at_optimum",
     "run_audit": """

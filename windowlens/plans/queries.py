@@ -462,7 +462,8 @@ def q_cv_time_folds(spark, d):
 
 @query("cv_repeated")
 def q_cv_repeated(spark, d):
-    table = model.repeated_cv(spark, split.train_part(_split(spark, d)), seeds=(42, 7))
+    table = model.repeated_cv(spark, split.train_part(_split(spark, d)), seeds=(42, 7), reg_params=[0.01, 1.0],
+                              elastic_nets=[0.0])
     return table.select("reg_param", "elastic_net", "seeds", F.col("mean_auc").between(0.0, 1.0).alias("auc_valid"))
 
 
