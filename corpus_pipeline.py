@@ -24,44 +24,45 @@ from windowlens.sources.tables import read_table
 MIN_LANGUAGE_SHARE = 0.3
 
 
-def _only(docs: DataFrame, kept: DataFrame, whole: bool = False) -> DataFrame:
+def _only(docs: DataFrame, kept: DataFrame) -> DataFrame:
     """The rows of ``docs`` named by ``kept`` (doc_id, text_hash), with the
-    columns of ``docs``; with ``whole`` a document that repeats (same id and
-    text) is returned once."""
+    columns of ``docs``; a document that repeats (same id and text) is
+    returned once.  Join and dropping of repeats share one partitioning of
+    the texts, so ids that are null are spelt out."""
     plain, names = positional(docs)
-    plain = plain.withColumn("_hash", F.xxhash64(F.col(place(names, "text")).cast("string")))
-    k = kept.select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_kept_hash")).distinct()
-    doc_id = F.col(place(names, "doc_id")).cast("long")
-    out = plain.join(k, same(doc_id, F.col("_id")) & (F.col("_hash") == F.col("_kept_hash")), "left_semi")
-    if whole:
-        out = out.dropDuplicates([place(names, "doc_id"), "_hash"])
-    return out.drop("_hash").toDF(*names)
+
+    def keys(doc_id, text_hash):
+        return {"_no_id": doc_id.isNull(), "_id": F.coalesce(doc_id, F.lit(0)), "_hash": text_hash}
+
+    text = F.col(place(names, "text")).cast("string")
+    plain = plain.withColumns(keys(F.col(place(names, "doc_id")).cast("long"), F.xxhash64(text)))
+    k = kept.withColumns(keys(F.col("doc_id"), F.col("text_hash"))).select("_no_id", "_id", "_hash")
+    out = plain.join(k, ["_no_id", "_id", "_hash"], "left_semi").dropDuplicates(["_no_id", "_id", "_hash"])
+    return out.select(*[f"c{i}" for i in range(len(names))]).toDF(*names)
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts whose language is identified; ``und`` and texts in which every
     language has a small share go."""
-    found = langid.identify(docs)
-    return _only(docs, found.where((F.col("lang_pred") != langid.UNKNOWN) & (F.col("score") >= MIN_LANGUAGE_SHARE)))
+    return langid.keep_identified(docs, MIN_LANGUAGE_SHARE)
 
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of equal texts the one with the largest doc_id."""
-    return _only(docs, exact.exact_duplicates(docs).where("kept"), whole=True)
+    return _only(docs, exact.exact_duplicates(docs).where("kept"))
 
 
 def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of every component the document with the smallest doc_id."""
     found = simhash.near_duplicates(docs, shingle=3, max_bits=3)
     heads = found.where(same(F.col("doc_id"), F.col("component_id")) & (F.col("fp") == F.col("root_fp")))
-    return _only(docs, heads, whole=True)
+    return _only(docs, heads)
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a passage of the benchmark: the coverage limit is
     0, so a document with any hit word goes."""
-    found = decontaminate.decontaminate(docs, read_table(spark, sf_dir, "benchmark"), max_coverage=0.0, texts=False)
-    return _only(docs, found.where("not removed"))
+    return decontaminate.keep_clean(docs, read_table(spark, sf_dir, "benchmark"))
 
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -67,6 +67,20 @@ def documents_of(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return d.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
 
 
+def keep_rows(docs: DataFrame, text_col: str, keep) -> DataFrame:
+    """The rows of ``docs``, all columns as they are, whose text passes:
+    ``keep`` maps the texts of a batch (None for null) to booleans."""
+    ship(docs.sparkSession)
+    plain, names = positional(docs)
+    text = place(names, text_col)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            yield b.filter(pa.array(keep(b[text].cast(pa.string()).to_pylist()), pa.bool_()))
+
+    return plain.mapInArrow(run, plain.schema).toDF(*names)
+
+
 def staged(df: DataFrame, name: str) -> DataFrame:
     """``df`` written as Parquet below the shared checkpoint folder and read
     back: later steps read it instead of recomputing it, whichever executors

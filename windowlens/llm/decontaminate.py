@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from windowlens.llm.common import byte_values, documents_of, take
+from windowlens.llm.common import byte_values, documents_of, keep_rows, take
 
 WINDOW = 10
 BLOCK_WORDS = 1_000_000
@@ -281,3 +281,18 @@ def decontaminate(docs: DataFrame, items: DataFrame, window: int = WINDOW, max_s
         d = d.mapInArrow(_pass(sc.broadcast(automaton), last, max_span, max_coverage, texts),
                          _OUT_DDL if last else _PASS_DDL)
     return d
+
+
+def keep_clean(docs: DataFrame, items: DataFrame, window: int = WINDOW, block_words: int = BLOCK_WORDS,
+               text_col: str = "text", item_id_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` (all columns) that :func:`decontaminate` keeps
+    with a coverage limit of 0: those without any hit word.  One pass for
+    each block of items, no shuffle."""
+    sc = docs.sparkSession.sparkContext
+    for automaton in _automata(items, item_id_col, item_text_col, window, block_words):
+        docs = keep_rows(docs, text_col, _clean(sc.broadcast(automaton)))
+    return docs
+
+
+def _clean(automaton):
+    return lambda texts: [not automaton.value.hits(words((t or "").encode()))[0] for t in texts]

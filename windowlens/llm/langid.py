@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from windowlens.llm.common import batches_of, documents_of, place, positional, ship, staged
+from windowlens.llm.common import batches_of, documents_of, keep_rows, place, positional, ship, staged
 
 BUCKET_BITS = 15
 TRAIN_DOCS = 300       # documents a language that the weights are fitted on, about
@@ -344,6 +344,34 @@ _PREDICTED_DDL = ("doc_id long, text_hash long, lang_pred string, score double,
                   "shares map<string,double>")
 
 
+def judge(model: Model | None, texts: list[str | None]) -> list[tuple]:
+    """(language, score, words, shares) of every text, at most about
+    ``SCAN_WORDS`` words labelled at a time."""
+    out, held, n = [], [], 0
+    for text in texts:
+        held.append(words(text) if text and model else [])
+        n += len(held[-1])
+        if n >= SCAN_WORDS:
+            out += _judged(model, held)
+            held, n = [], 0
+    return out + _judged(model, held)
+
+
+def _judged(model: Model | None, texts: list[list[bytes]]) -> list[tuple]:
+    if model is None:
+        return [(UNKNOWN, 0.0, 0, {})] * len(texts)
+    out = []
+    for marginals in model.label_words(texts):
+        if not len(marginals):
+            out.append((UNKNOWN, 0.0, 0, {}))
+            continue
+        share = marginals.mean(axis=0, dtype=np.float64)
+        best = int(share.argmax())
+        out.append((model.labels[best], float(min(1.0, share[best])), len(marginals),
+                    dict(zip(model.labels, map(float, share)))))
+    return out
+
+
 def predict(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, text_hash, lang_pred, score, n_words, shares): the language
     of every text, its share of the word marginals, and all shares."""
@@ -353,33 +381,11 @@ def predict(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_c
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = sent.value
         for b in batches:
-            out = []
-            held, n = [], 0
-            for text in b["text"].to_pylist():
-                held.append(words(text) if text and m else [])
-                n += len(held[-1])
-                if n >= SCAN_WORDS:
-                    out += judged(m, held)
-                    held, n = [], 0
-            out += judged(m, held)
+            out = judge(m, b["text"].to_pylist())
             cols = [pa.array(c, f.type) for c, f in zip(zip(*out), list(_PREDICTED)[2:])] if out else [
                 pa.array([], f.type) for f in list(_PREDICTED)[2:]]
             yield pa.RecordBatch.from_arrays([b["doc_id"], b["text_hash"], *cols], schema=_PREDICTED)
 
-    def judged(m, texts):
-        if m is None:
-            return [(UNKNOWN, 0.0, 0, {})] * len(texts)
-        out = []
-        for marginals in m.label_words(texts):
-            if not len(marginals):
-                out.append((UNKNOWN, 0.0, 0, {}))
-                continue
-            share = marginals.mean(axis=0, dtype=np.float64)
-            best = int(share.argmax())
-            out.append((m.labels[best], float(min(1.0, share[best])), len(marginals),
-                        dict(zip(m.labels, map(float, share)))))
-        return out
-
     return d.mapInArrow(run, _PREDICTED_DDL)
 
 
@@ -388,6 +394,14 @@ def fold(id_col: str = "doc_id"):
     return F.crc32(F.coalesce(F.col(id_col).cast("string"), F.lit("")).cast("binary")) % 3
 
 
+def _labelled(docs: DataFrame, id_col: str, text_col: str, lang_col: str) -> DataFrame:
+    ship(docs.sparkSession)
+    plain, names = positional(docs)
+    return plain.select(F.col(place(names, id_col)).cast("long").alias("doc_id"),
+                        F.col(place(names, text_col)).cast("string").alias("text"),
+                        F.col(place(names, lang_col)).cast("string").alias("lang"))
+
+
 def identify(docs: DataFrame, held_out: int = 1, train_docs: int = TRAIN_DOCS, id_col: str = "doc_id",
              text_col: str = "text", lang_col: str = "lang") -> DataFrame:
     """Train on the documents outside fold ``held_out`` and predict all: one
@@ -401,11 +415,18 @@ def identify(docs: DataFrame, held_out: int = 1, train_docs: int = TRAIN_DOCS, i
     table gives an empty result; other columns are ignored whatever their
     names.
     """
-    ship(docs.sparkSession)
-    plain, names = positional(docs)
-    table = plain.select(F.col(place(names, id_col)).cast("long").alias("doc_id"),
-                         F.col(place(names, text_col)).cast("string").alias("text"),
-                         F.col(place(names, lang_col)).cast("string").alias("lang"))
+    table = _labelled(docs, id_col, text_col, lang_col)
     model = train(table.where(fold() != held_out), train_docs)
     return predict(table, model).select(
         "doc_id", "text_hash", (fold() == held_out).alias("held_out"), "lang_pred", "score", "n_words", "shares")
+
+
+def keep_identified(docs: DataFrame, min_score: float = 0.0, held_out: int = 1, train_docs: int = TRAIN_DOCS,
+                    id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
+    """The rows of ``docs`` (all columns) for which :func:`identify` gives a
+    language with a score of at least ``min_score``; ``und`` goes.  One pass,
+    no shuffle of the texts."""
+    model = train(_labelled(docs, id_col, text_col, lang_col).where(fold() != held_out), train_docs)
+    sent = docs.sparkSession.sparkContext.broadcast(model)
+    return keep_rows(docs, text_col, lambda texts: [
+        lang != UNKNOWN and score >= min_score for lang, score, *_ in judge(sent.value, texts)])
