@@ -39,8 +39,9 @@ LEXICON_SIZE = 2000    # words a language
 MIN_COUNT = 5          # occurrences of a word in a lexicon at least
 ROUNDS = 40
 SEGMENT = 64
-CACHE = 400_000
-SCAN_WORDS = 500_000   # words labelled at a time
+CACHE = 200_000        # words whose scores a worker keeps
+SCAN_WORDS = 200_000   # words labelled at a time
+COUNTED = 250_000      # words a task counts before it passes the counts on
 UNKNOWN = "und"
 
 #: Letters a-z and bytes outside ASCII make words.
@@ -270,7 +271,7 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for lang, text in zip(b["lang"].to_pylist(), b["text"].to_pylist()):
                 table.setdefault(lang, Counter()).update(words(text))
-            if sum(map(len, table.values())) > 1_000_000:
+            if sum(map(len, table.values())) > COUNTED:
                 yield from emit(table)
                 table = {}
         yield from emit(table)
