@@ -106,7 +106,7 @@ def threshold_sweep(pred: DataFrame, step: float = 0.05, score: str = "prob_anom
 
 
 def auc(pred: DataFrame, score: str = "prob_anomalous", label: str = LABEL,
-        buckets: int = 64) -> DataFrame:
+        buckets: int | None = None) -> DataFrame:
     """Exact area under the ROC curve (Mann-Whitney: a positive scores above
     a negative, ties count one half), plus the class counts.
 

@@ -47,13 +47,17 @@ def day_bucket(ts: str) -> Column:
     return F.date_trunc("day", F.col(ts))
 
 
-def quantile_bucket(df: DataFrame, column: str, buckets: int = 64, accuracy: int = 10000) -> Column:
+def quantile_bucket(df: DataFrame, column: str, buckets: int | None = None, accuracy: int = 10000) -> Column:
     """A bucket expression for ``column`` from approximate quantiles.
 
     One aggregate pass computes ``buckets - 1`` cut points; only these few
-    numbers reach the driver.  The bucket of a value is the number of cut
+    numbers reach the driver.  By default there are as many buckets as
+    shuffle partitions, so the tasks grow with the cluster; at most 1,024,
+    because the cut points become part of the expression.  The bucket of a value is the number of cut
     points below it, so buckets are monotone and roughly equal in size.
     """
+    if buckets is None:
+        buckets = min(1024, max(2, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
     probs = [i / buckets for i in range(1, buckets)]
     cuts = df.agg(F.percentile_approx(F.col(column).cast("double"), probs, accuracy).alias("c")).first()["c"]
     cuts = sorted(set(c for c in (cuts or []) if c is not None))
