@@ -35,8 +35,8 @@ from pyspark.sql import functions as F
 from windowlens.llm.common import batches_of, byte_values, documents_of, shuffle_partitions, staged
 from windowlens.session import work_path
 
-CAPACITY = 16 << 20   # bytes of normalised text in a bucket
-MAX_DEPTH = 16        # bits of the directory at most
+CAPACITY = 2 << 20    # bytes of normalised text in a bucket
+MAX_DEPTH = 16        # bits of the directory at most (more for corpora of many terabytes)
 HELD = 32 << 20       # bytes of text held while combining copies in a task
 
 _KEYS = pa.schema([("doc_id", pa.int64()), ("text_hash", pa.int64()), ("key", pa.int64()),
