@@ -55,6 +55,28 @@ def test_an_insertion_moves_few_borders():
     assert len(chunks[0] - chunks[1]) <= 3
 
 
+def test_the_text_before_moves_no_border():
+    rng = random.Random(5)
+    texts = [words(rng, rng.randint(0, 12)).encode() for _ in range(300)]
+    last = np.cumsum([len(t) for t in texts])
+    found = substring.borders(np.frombuffer(b"".join(texts), np.uint8), [0, *last[:-1].tolist()], last.tolist())
+    for t, begin, f in zip(texts, [0, *last[:-1].tolist()], found):
+        assert [e - begin for e in f] == ends(t) == plain_ends(t)
+
+
+def test_no_passage_of_51_words_is_missed(spark):
+    """Each passage in two documents, between words of their own."""
+    rng = random.Random(51)
+    prose = [" ".join("".join(rng.choices("etaoinshrdlu", k=rng.randint(1, 8))) for _ in range(51)) for _ in range(1000)]
+    docs = [(2 * i + j, f"{words(rng, 30)} {p} {words(rng, 30)}") for i, p in enumerate(prose) for j in (0, 1)]
+    rows = substring.repeated_spans(spark.createDataFrame(docs, "doc_id long, text string")).collect()
+    assert {r["doc_id"] for r in rows} == set(range(1, 2000, 2))
+    text = dict(docs)
+    for r in rows:
+        cut = text[r["doc_id"]].encode()[r["start"]:r["start"] + r["size"]]
+        assert r["first_doc_id"] == r["doc_id"] - 1 and cut.decode() in text[r["first_doc_id"]]
+
+
 def test_passages_are_found_and_cut(spark):
     rng = random.Random(11)
     passage = words(rng, 60)

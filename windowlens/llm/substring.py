@@ -4,7 +4,9 @@ A gear hash rolls over the bytes of a text; a chunk ends where the top bits
 of the hash are zero, so the borders depend on the last 16 bytes only and an
 insertion moves no border beyond its own chunk.  Chunks are at least
 ``min_chunk`` bytes, at most ``max_chunk``, on average about
-``min_chunk + 2**cut_bits``, and never split a character.
+``min_chunk + 2**cut_bits``, and never split a character.  The chunks that
+hold the first and last words of a passage differ from copy to copy, so the
+chunks must be small against the 51 words of a passage that has to be found.
 
 1. *Digests.*  XXH3-128 of every chunk, counted by digest with partial
    aggregation, so a passage in a third of all documents costs one row a
@@ -30,9 +32,9 @@ from pyspark.sql import Window
 
 from windowlens.llm.common import byte_values, documents_of, same, staged
 
-MIN_CHUNK = 16
+MIN_CHUNK = 12
 MAX_CHUNK = 1024
-CUT_BITS = 5
+CUT_BITS = 3
 MIN_WORDS = 20
 
 _GEAR = np.random.default_rng(2016).integers(0, 1 << 32, 256, dtype=np.uint32)
@@ -53,9 +55,15 @@ def gear_hashes(data: np.ndarray) -> np.ndarray:
 def borders(data: np.ndarray, starts: list[int], ends: list[int], min_chunk: int = MIN_CHUNK,
             max_chunk: int = MAX_CHUNK, cut_bits: int = CUT_BITS) -> list[list[int]]:
     """Chunk ends of each text of a buffer of texts."""
-    if min_chunk < 16:
-        raise ValueError("min_chunk must cover the hash window of 16 bytes")
-    may = (gear_hashes(data) >> np.uint32(32 - cut_bits)) == 0
+    hashes = gear_hashes(data)
+    at, end, h = np.array(starts, np.int64), np.array(ends, np.int64), np.zeros(len(starts), np.uint32)
+    for _ in range(15):                               # without bytes of the text before
+        going = at < end
+        at, end, h = at[going], end[going], h[going]
+        h = (h << np.uint32(1)) + _GEAR[data[at]]
+        hashes[at] = h
+        at = at + 1
+    may = (hashes >> np.uint32(32 - cut_bits)) == 0
     inside = (data & 0xC0) == 0x80                    # bytes that go on a character
     may[:-1] &= ~inside[1:]
     cuts = np.flatnonzero(may) + 1
