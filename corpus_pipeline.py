@@ -19,10 +19,6 @@ from windowlens.llm.queries import TOKENIZER
 from windowlens.session import work_path
 from windowlens.sources.tables import read_table
 
-#: Language ID rejects texts without letters, and texts in which no language
-#: has more than this share of the word marginals.
-MIN_LANGUAGE_SHARE = 0.3
-
 
 def _only(docs: DataFrame, kept: DataFrame) -> DataFrame:
     """The rows of ``docs`` named by ``kept`` (doc_id, text_hash), with the
@@ -42,9 +38,8 @@ def _only(docs: DataFrame, kept: DataFrame) -> DataFrame:
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts whose language is identified; ``und`` and texts in which every
-    language has a small share go."""
-    return langid.keep_identified(docs, MIN_LANGUAGE_SHARE)
+    """Texts whose language is identified, mixed ones too; ``und`` goes."""
+    return langid.keep_identified(docs)
 
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -71,3 +71,18 @@ def test_equal_ids_with_different_texts_are_different_documents(spark, small_dir
                                  "doc_id long, text string")
     out = STAGE["exact_dedup"](spark, docs, small_dir).collect()
     assert sorted(map(tuple, out)) == [(5, "another text there"), (6, "one text here")]
+
+
+def test_code_switched_texts_stay(spark, small_dir):
+    """Equal parts of every language: none has a large share."""
+    docs = read_table(spark, small_dir, "documents")
+    longest = {}
+    for r in docs.where("lang is not null").collect():
+        have = longest.get(r["lang"], "").split()
+        if len(set((r["text"] or "").split())) > len(set(have)):
+            longest[r["lang"]] = r["text"]
+    assert len(longest) == 4
+    mixed = [(10**6 + i, " ".join(" ".join(t.split()[20 * i:20 * i + 20]) for t in longest.values()), None, "m", 0)
+             for i in range(5)]
+    out = STAGE["language_id"](spark, docs.union(spark.createDataFrame(mixed, docs.schema)), small_dir)
+    assert {r["doc_id"] for r in out.where("doc_id >= 1000000").collect()} == {m[0] for m in mixed}
