@@ -43,15 +43,19 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of equal texts the one with the largest doc_id."""
-    return _only(docs, exact.exact_duplicates(docs).where("kept"))
+    """Of equal texts the one with the largest doc_id; of rows that share it
+    (or have none) but differ in case, the one with the largest text hash."""
+    kept = exact.exact_duplicates(docs).where("kept")
+    return _only(docs, kept.groupBy("text_sha256", "doc_id").agg(F.max("text_hash").alias("text_hash")))
 
 
 def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of every component the document with the smallest doc_id."""
+    """Of every component the document with the smallest doc_id; of rows that
+    share it (or have none), the one with the smallest fingerprint, then text
+    hash."""
     found = simhash.near_duplicates(docs, shingle=3, max_bits=3)
     heads = found.where(same(F.col("doc_id"), F.col("component_id")) & (F.col("fp") == F.col("root_fp")))
-    return _only(docs, heads)
+    return _only(docs, heads.groupBy("doc_id", "root_fp").agg(F.min("text_hash").alias("text_hash")))
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -86,3 +86,12 @@ def test_code_switched_texts_stay(spark, small_dir):
              for i in range(5)]
     out = STAGE["language_id"](spark, docs.union(spark.createDataFrame(mixed, docs.schema)), small_dir)
     assert {r["doc_id"] for r in out.where("doc_id >= 1000000").collect()} == {m[0] for m in mixed}
+
+
+@pytest.mark.parametrize("name", ["exact_dedup", "simhash_near_dedup"])
+def test_one_row_of_a_group_without_ids_or_of_one_id_stays(spark, small_dir, name):
+    one, two = "the cat sat on the mat and looked at the moon", "un chat dormait sur le toit de la vieille maison"
+    docs = spark.createDataFrame([(None, one), (None, one.upper()), (None, one.title()), (5, two), (5, two.upper()),
+                                  (5, two), (6, "something else that stays")], "doc_id long, text string")
+    out = STAGE[name](spark, docs, small_dir).collect()
+    assert sorted(r["text"].lower() for r in out) == sorted([one, two, "something else that stays"])
