@@ -72,6 +72,13 @@ def test_combining_holds_little():
     assert {(r["text"], r["keep_id"], r["copies"]) for r in whole} == {("a", 3, 2), ("b", 2, 1), ("", 4, 1)}
 
 
+def test_texts_that_are_not_utf8_have_a_row(spark):
+    docs = spark.sql("""select * from values (1L, cast(X'61FF' as string)), (2L, cast(X'41FF' as string)),
+                        (3L, cast(X'61FE' as string)), (4L, 'a\\\\xff'), (5L, 'a') t(doc_id, text)""")
+    got = {r["doc_id"]: (r["keep_id"], r["group_size"], r["kept"]) for r in exact.exact_duplicates(docs).collect()}
+    assert got == {1: (2, 2, False), 2: (2, 2, True), 3: (3, 1, True), 4: (4, 1, True), 5: (5, 1, True)}
+
+
 def test_query_equals_sql(spark, small_dir):
     sql = oracle.ORACLES["op9_exact_dedup"]
     assert compare(spark_rows(queries.op9_exact_dedup(spark, small_dir)), duck_rows(duck(small_dir), sql)) == []

@@ -56,12 +56,17 @@ def _key(normalised: bytes) -> int:
     return xxhash.xxh64_intdigest(normalised) - (1 << 63)
 
 
+def _shown(normalised: bytes) -> str:
+    """The text an entry holds; bytes that are not UTF-8 are spelt out."""
+    return normalised.decode("utf-8", "backslashreplace")
+
+
 def _keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
         texts = [t.lower() for t in byte_values(b["text"])]
         yield pa.RecordBatch.from_arrays([
             b["doc_id"], b["text_hash"], pa.array([_key(t) for t in texts], pa.int64()),
-            pa.array([hashlib.sha256(t).hexdigest() for t in texts]),
+            pa.array([hashlib.sha256(_shown(t).encode()).hexdigest() for t in texts], pa.string()),
             pa.array([len(t) for t in texts], pa.int64())], schema=_KEYS)
 
 
@@ -135,7 +140,7 @@ def _combine(depth: int, slots: list[int], held: int = HELD):
         for text, (doc_id, n) in table.items():
             key = _key(text)
             bucket = int(slot[(key + (1 << 63)) >> (64 - depth)]) if depth else 0
-            yield bucket, key, doc_id, n, text.decode("utf-8", "replace")
+            yield bucket, key, doc_id, n, _shown(text)
 
     def run(batches):
         return batches_of(_COPIES, rows(batches), 2_000)
@@ -196,8 +201,9 @@ def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     A null text counts as empty, and empty texts are equal to each other.
     Null doc_ids lose against any id; a group without ids has a null keep_id
     and its rows are kept.  Rows that repeat doc_id and text are the same
-    document and share its decision (the pipeline keeps one of them).  An
-    empty table gives an empty result; other columns are ignored whatever
+    document and share its decision (the pipeline keeps one of them).  Texts
+    that are not UTF-8 are compared by their bytes; their digest is that of
+    the text with the wrong bytes spelt out (``\\xff``).  An empty table gives an empty result; other columns are ignored whatever
     their names.
     """
     d = documents_of(docs, id_col, text_col)
