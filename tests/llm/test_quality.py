@@ -42,6 +42,16 @@ def test_top_k_equals_sorting(spark):
     assert {r["row"] for r in quality.top_k(flat, "v", 77, "row", 10).where("kept").collect()} == set(range(77))
 
 
+def test_top_k_with_nearly_equal_keys(spark):
+    """997 of 1000 keys are equal, the smaller ones come first by the tie."""
+    rows = [(i, 0.25 * i if i < 3 else 1.0) for i in range(1000)]
+    table = spark.createDataFrame(rows, "row long, v double")
+    order = [i for i, _ in sorted(rows, key=lambda r: (-r[1], r[0]))]
+    for k in (1, 50, 700, 997, 998, 999):
+        got = quality.top_k(table, "v", k, "row", 10).where("kept").collect()
+        assert sorted(r["row"] for r in got) == sorted(order[:k]), k
+
+
 def test_counts_cover_every_document(spark, prose):
     docs = spark.createDataFrame(prose, "doc_id long, text string")
     got = {r["bucket"]: (r["raw"], r["target"]) for r in quality.count_models(docs, {1, 2, 3}).collect()}

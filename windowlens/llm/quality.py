@@ -140,8 +140,14 @@ def top_k(rows: DataFrame, key: str, k: int, tie: str, ranked: int = RANKED) ->
             if above + sizes[p] >= k:
                 break
             above += sizes[p]
-        if sizes[p] == n:             # equal keys only: rank by the tie
-            break
+        if sizes[p] == n:             # nearly all keys equal the largest: rank those by the tie, or go below
+            at = inside.agg(F.max(key).alias("m")).first()["m"]
+            equal = inside.where(F.col(key) == at).count()
+            if above + equal >= k:
+                inside, n = inside.where(F.col(key) == at), equal
+                break
+            inside, above, n = inside.where(F.col(key) < at), above + equal, n - equal
+            continue
         n = sizes[p]
         low, high = (cuts[p - 1] if p else None), (cuts[p] if p < len(cuts) else None)
         if low is not None:
@@ -149,8 +155,7 @@ def top_k(rows: DataFrame, key: str, k: int, tie: str, ranked: int = RANKED) ->
         if high is not None:
             inside = inside.where(F.col(key) <= high)
     if n > ranked:
-        at = inside.agg(F.max(key).alias("m")).first()["m"]
-        bound = inside.approxQuantile(tie, [(k - above) / n], 0.0)[0]
+        bound = inside.approxQuantile(tie, [(k - above - 0.5) / n], 0.0)[0]    # rank: the product rounded up
     else:
         last = inside.orderBy(F.desc(key), tie).limit(k - above).orderBy(key, F.desc(tie)).first()
         at, bound = last[key], last[tie]
