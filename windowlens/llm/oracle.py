@@ -55,11 +55,13 @@ def _below(region: int) -> str:
 
 
 # CRC-32 byte by byte; its table comes from the reversed polynomial 0xEDB88320
-OP10 = f"""
-WITH crc_table AS (
+_CRC_TABLE = """crc_table AS (
   SELECT list(list_reduce(list_prepend(i::BIGINT, range(8)),
                           lambda c, n: CASE WHEN c % 2 = 1 THEN xor(3988292384::BIGINT, c >> 1) ELSE c >> 1 END)
-              ORDER BY i) AS t FROM range(256) r(i)),
+              ORDER BY i) AS t FROM range(256) r(i))"""
+
+OP10 = f"""
+WITH {_CRC_TABLE},
 d AS (SELECT doc_id, coalesce(CAST(doc_id AS VARCHAR), 'null') AS k, hex(encode(coalesce(text, ''))) AS h FROM documents),
 bytes AS (SELECT doc_id, k, length(h) // 2 + 1 AS size,
                  list_transform(range(0, length(h) // 2),
@@ -80,8 +82,38 @@ SELECT doc_id, size, text_crc32, 'key' AS law, CAST(shard AS INTEGER) AS shard,
 FROM placed
 """
 
+OP11 = f"""
+WITH {_CRC_TABLE},
+docs AS (SELECT row_number() OVER () AS r, doc_id, {_WORDS.format(_LOWER.format("text"))} AS w FROM documents),
+wanted AS (SELECT {_WORDS.format(_LOWER.format("text"))} AS w FROM benchmark),
+spelt AS (SELECT f, hex(encode(f)) AS h FROM (SELECT unnest(w) AS f FROM docs UNION SELECT unnest(w) FROM wanted)),
+bytes AS (SELECT f, list_transform(range(0, length(h) // 2),
+                                   lambda i: CAST('0x' || substr(h, CAST(2 * i + 1 AS BIGINT), 2) AS BIGINT)) AS b
+          FROM spelt),
+bucket AS (SELECT f, xor(list_reduce(list_prepend(4294967295::BIGINT, b),
+                                     lambda c, x: xor(c >> 8, t[CAST(xor(c, x) & 255 AS BIGINT) + 1])),
+                         4294967295::BIGINT) % 10000 AS g FROM bytes, crc_table),
+own AS (SELECT r, g FROM (SELECT r, unnest(w) AS f FROM docs) JOIN bucket USING (f)),
+counts AS (SELECT g, sum(s)::DOUBLE AS s, sum(t)::DOUBLE AS t
+           FROM (SELECT g, 1 AS s, 0 AS t FROM own
+                 UNION ALL SELECT g, 0, 1 FROM (SELECT unnest(w) AS f FROM wanted) JOIN bucket USING (f)) GROUP BY g),
+sums AS (SELECT coalesce(sum(s), 0)::DOUBLE + 10000 AS a, coalesce(sum(t), 0)::DOUBLE + 10000 AS b FROM counts),
+gain AS (SELECT g, CAST(floor(1000 * ln((t + 1) * a / ((s + 1) * b))) AS BIGINT) AS gain FROM counts, sums),
+weights AS (SELECT r, CAST(sum(gain) AS BIGINT) AS weight FROM own JOIN gain USING (g) GROUP BY r),
+scored AS (SELECT r, doc_id, CAST(len(w) AS BIGINT) AS n_features, coalesce(weight, 0) AS weight,
+                  coalesce(weight, 0) + CAST(floor(-1000 * ln(-ln((CAST('0x' || substr(sha256(
+                      '2024:' || coalesce(CAST(doc_id AS VARCHAR), '')), 1, 8) AS BIGINT) + 0.5::DOUBLE)
+                      / 4294967296::DOUBLE))) AS BIGINT) AS score
+           FROM docs LEFT JOIN weights USING (r)),
+placed AS (SELECT r, row_number() OVER (ORDER BY score DESC, doc_id) AS place, count(*) OVER () AS n
+           FROM scored WHERE n_features >= 20)
+SELECT doc_id, n_features, weight, score, CASE WHEN place <= 10 * n // 100 THEN place END AS rank
+FROM scored LEFT JOIN placed USING (r)
+"""
+
 ORACLES = {
     "op2_benchmark_decontamination": OP2,
     "op9_exact_dedup": OP9,
     "op10_sharding": OP10,
+    "op11_importance_resampling": OP11,
 }

@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from windowlens.llm import (decontaminate, exact, langid, packing, preference, quality, sharding, simhash, substring,
+from windowlens.llm import (decontaminate, exact, importance, langid, packing, preference, quality, sharding, simhash, substring,
                             urls)
 from windowlens.sources.tables import read_table
 
@@ -77,7 +77,12 @@ def op10_sharding(spark, d):
     return sharding.shard_documents(read_table(spark, d, "documents"))
 
 
+def op11_importance_resampling(spark, d):
+    out = importance.resample(read_table(spark, d, "documents"), read_table(spark, d, "benchmark"))
+    return out.select("doc_id", "n_features", "weight", "score", "rank")
+
+
 QUERIES = {f.__name__: f for f in (
     op1_simhash_near_dedup, op2_benchmark_decontamination, op3_substring_dedup, op4_language_id,
     op5_quality_resampling, op6_url_filters, op7_best_fit_packing, op8_preference_formatting, op9_exact_dedup,
-    op10_sharding)}
+    op10_sharding, op11_importance_resampling)}
