@@ -111,9 +111,67 @@ SELECT doc_id, n_features, weight, score, CASE WHEN place <= 10 * n // 100 THEN
 FROM scored LEFT JOIN placed USING (r)
 """
 
+OP12 = f"""
+WITH RECURSIVE
+d AS (SELECT doc_id, regexp_extract_all({_LOWER.format("text")}, '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+s AS (SELECT doc_id, CASE WHEN len(w) = 0 THEN CAST([] AS VARCHAR[]) WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+        ELSE list_sort(list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))))
+        END AS sh FROM d),
+sets AS (SELECT row_number() OVER () AS r, sh, len(sh) AS n, min(doc_id) AS first_id FROM s WHERE len(sh) > 0 GROUP BY sh),
+tokens AS (SELECT r, n, unnest(sh) AS f FROM sets),
+pairs AS (SELECT a.r AS x, b.r AS y, any_value(a.n) AS nx, any_value(b.n) AS ny, count(*) AS i
+          FROM tokens a JOIN tokens b ON a.f = b.f AND a.r < b.r GROUP BY a.r, b.r),
+links AS (SELECT x, y FROM pairs WHERE 100 * i >= 85 * (nx + ny - i)),
+both_ways AS (SELECT x, y FROM links UNION ALL SELECT y, x FROM links),
+reach AS (SELECT r AS x, r AS y FROM sets UNION SELECT reach.x, l.y FROM reach JOIN both_ways l ON reach.y = l.x),
+least AS (SELECT reach.x AS r, min(first_id) AS component_id FROM reach JOIN sets ON reach.y = sets.r GROUP BY reach.x)
+SELECT doc_id, CAST(len(s.sh) AS BIGINT) AS n_shingles,
+       CASE WHEN len(s.sh) = 0 THEN doc_id ELSE component_id END AS component_id,
+       doc_id IS NOT DISTINCT FROM CASE WHEN len(s.sh) = 0 THEN doc_id ELSE component_id END AS kept
+FROM s LEFT JOIN sets ON s.sh = sets.sh LEFT JOIN least USING (r)
+"""
+
+OP13 = r"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t, coalesce(source, '') AS part,
+                  regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+l AS (SELECT doc_id, max(CASE WHEN quality = 1 THEN 1 ELSE 0 END) AS good,
+             max(CASE WHEN toxic = 1 THEN 1 ELSE 0 END) AS toxic FROM labels GROUP BY doc_id),
+b AS (SELECT part, coalesce(good, 0) AS good, coalesce(toxic, 0) AS toxic,
+             CASE WHEN len(w) < 200 THEN 1 ELSE 0 END
+             + CASE WHEN 100 * len(list_distinct(w)) < 50 * len(w) THEN 2 ELSE 0 END
+             + CASE WHEN 100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 2 * length(t) THEN 4 ELSE 0 END
+             + CASE WHEN regexp_matches(t, '[#$%&*|]') THEN 8 ELSE 0 END
+             + CASE WHEN d.doc_id > min(d.doc_id) OVER (PARTITION BY t) THEN 16 ELSE 0 END AS fails
+      FROM d LEFT JOIN l USING (doc_id)),
+masks AS (SELECT part, fails, count(*) AS n, sum(good) AS good, sum(toxic) AS toxic FROM b GROUP BY part, fails),
+f AS (SELECT chr(CAST(65 + i AS INTEGER)) AS name, CAST(1 << i AS INTEGER) AS bit FROM range(5) r(i)),
+orders AS (SELECT [a.name, b.name, c.name, d.name, e.name] AS names, [a.bit, b.bit, c.bit, d.bit, e.bit] AS bits
+           FROM f a JOIN f b ON b.bit <> a.bit JOIN f c ON c.bit NOT IN (a.bit, b.bit)
+           JOIN f d ON d.bit NOT IN (a.bit, b.bit, c.bit) JOIN f e ON e.bit NOT IN (a.bit, b.bit, c.bit, d.bit)),
+steps AS (SELECT array_to_string(names, '') AS filter_order, CAST(k AS INTEGER) AS step, bits[k] AS bit,
+                 coalesce(list_sum(bits[1:k - 1]), 0)::INTEGER AS before
+          FROM (SELECT *, unnest(range(1, 6)) AS k FROM orders)),
+counted AS (
+  SELECT part, filter_order, step, bit,
+         sum(CASE WHEN fails & (before | bit) = 0 THEN n ELSE 0 END) AS kept,
+         sum(CASE WHEN fails & before = 0 AND fails & bit > 0 THEN n ELSE 0 END) AS removed,
+         sum(CASE WHEN fails & before > 0 AND fails & bit > 0 THEN n ELSE 0 END) AS redundant,
+         sum(CASE WHEN fails = bit THEN n ELSE 0 END) AS unique_fails,
+         sum(CASE WHEN fails & before = 0 AND fails & bit > 0 THEN good ELSE 0 END) AS good_lost,
+         sum(CASE WHEN fails & before = 0 AND fails & bit > 0 THEN toxic ELSE 0 END) AS toxic_lost
+  FROM masks, steps GROUP BY part, filter_order, step, bit)
+SELECT part, filter_order, step, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed,
+       CAST(redundant AS BIGINT) AS redundant, CAST(unique_fails AS BIGINT) AS unique_fails,
+       CAST(good_lost AS BIGINT) AS good_lost, CAST(toxic_lost AS BIGINT) AS toxic_lost,
+       CAST(sum(removed) OVER (PARTITION BY part, bit) AS BIGINT) AS shapley
+FROM counted
+"""
+
 ORACLES = {
     "op2_benchmark_decontamination": OP2,
     "op9_exact_dedup": OP9,
     "op10_sharding": OP10,
     "op11_importance_resampling": OP11,
+    "op12_minhash_near_dedup": OP12,
+    "op13_filter_audit": OP13,
 }

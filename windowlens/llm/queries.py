@@ -5,8 +5,8 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from windowlens.llm import (decontaminate, exact, importance, langid, packing, preference, quality, sharding, simhash, substring,
-                            urls)
+from windowlens.llm import (audit, decontaminate, exact, importance, langid, minhash, packing, preference, quality,
+                            sharding, simhash, substring, urls)
 from windowlens.sources.tables import read_table
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -82,7 +82,16 @@ def op11_importance_resampling(spark, d):
     return out.select("doc_id", "n_features", "weight", "score", "rank")
 
 
+def op12_minhash_near_dedup(spark, d):
+    out = minhash.near_duplicates(read_table(spark, d, "documents"))
+    return out.select("doc_id", "n_shingles", "component_id", "kept")
+
+
+def op13_filter_audit(spark, d):
+    return audit.interactions(read_table(spark, d, "documents"), read_table(spark, d, "labels"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_simhash_near_dedup, op2_benchmark_decontamination, op3_substring_dedup, op4_language_id,
     op5_quality_resampling, op6_url_filters, op7_best_fit_packing, op8_preference_formatting, op9_exact_dedup,
-    op10_sharding, op11_importance_resampling)}
+    op10_sharding, op11_importance_resampling, op12_minhash_near_dedup, op13_filter_audit)}
