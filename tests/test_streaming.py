@@ -126,11 +126,68 @@ def test_rows_without_a_stamp_never_enter_state(spark):
 
 
 def test_open_windows_complete_the_stream(spark, small_dir):
+    """The windows in state are those the sink lacks."""
     f = Frames(spark, small_dir)
-    folder = work_path(spark, "open-lines")
+    folder, out = work_path(spark, "open-lines"), work_path(spark, "open-out")
     text.write_lines(f.lines, folder)
-    closed = spark.read.parquet(_run(spark, folder, "open-out"))
-    whole = closed.unionByName(streaming.open_windows(f.typed, closed, "1 hour"))
-    batch = f.features("1 hour")
-    assert closed.count() < batch.count() == whole.count()
+    lines = text.read_line_stream(spark, folder)
+    streaming.run_available_now(streaming.count_stream(lines, "1 hour"), out, out + "-ckpt")
+    closed = spark.read.parquet(out)
+    held = streaming.open_counts(spark, out + "-ckpt")
+    assert held.count() > 0 and closed.join(held, "window_start", "left_semi").count() == 0
+    whole, batch = streaming.all_windows(spark, closed, out + "-ckpt"), f.features("1 hour")
+    assert batch.count() == whole.count()
     assert rounded(whole).exceptAll(rounded(batch)).count() == 0
+
+
+def _folder(spark, name, rows, folder=None):
+    folder = folder or work_path(spark, name)
+    spark.createDataFrame([(v,) for v in rows], "value string").coalesce(1).write.mode("append").text(folder)
+    return folder
+
+
+def test_bridging_row_of_a_later_batch_merges_sessions(spark):
+    at = "2024-03-01 10:%02d:00 /api/%s 200 %d"
+    folder = _folder(spark, "bridge", [at % (0, "view", 10), at % (5, "view", 20), at % (25, "view", 30),
+                                       at % (5, "click", 1)])
+    out = work_path(spark, "bridge-out")
+
+    def run():
+        stream = streaming.session_stream(text.read_line_stream(spark, folder), "15 minutes", delay="1 hour")
+        streaming.run_available_now(stream, out, out + "-ckpt")
+        return {(r["endpoint"], str(r["session_start"])[11:16], str(r["session_end"])[11:16], r["total_requests"])
+                for r in spark.read.parquet(out).collect()}
+    assert run() == set()
+    _folder(spark, "", [at % (15, "view", 40), at % (50, "view", 50)], folder)
+    _folder(spark, "", [streaming.closing_line("2100-01-01 00:00:00")], folder)
+    found = run()
+    assert found == {("/api/view", "10:00", "10:40", 4), ("/api/view", "10:50", "11:05", 1),
+                     ("/api/click", "10:05", "10:20", 1)}
+    rows = spark.read.text(folder).where("not value like '2100%'")
+    from windowlens.operators import clean, parse
+    batch = features.session_features(clean.dedupe(clean.typed_rows(parse.parse_lines(rows))), "15 minutes")
+    got = spark.read.parquet(out)
+    assert rounded(got).select(*batch.columns).exceptAll(rounded(batch)).count() == 0 and batch.count() == 3
+
+
+def test_label_stream_keeps_windows_without_rows(spark):
+    """Every label comes out once, with nulls where no row is, and state
+    holds no more than the closing label afterwards."""
+    labels = ["window_start,is_anomalous,anomaly_type"] + ["2024-03-01 1%d:00:00,%d,none" % (h, h % 2) for h in range(6)]
+    label_folder = _folder(spark, "labels", labels + ["not a stamp,1,size"])
+    folder = _folder(spark, "label-lines", ["2024-03-01 11:%02d:00 /api/view 500 %d" % (m, m) for m in range(30)]
+                     + ["2024-03-01 14:30:00 /api/view 200 7"])
+    out = work_path(spark, "labelled-out")
+
+    def run():
+        stream = streaming.labeled_stream(streaming.label_stream(spark, label_folder),
+                                          text.read_line_stream(spark, folder), "1 hour")
+        query = streaming.run_available_now(stream, out, out + "-ckpt")
+        got = {str(r["window_start"])[11:13]: r["total_requests"] for r in spark.read.parquet(out).collect()}
+        return got, [op["numRowsTotal"] for op in query.lastProgress["stateOperators"]]
+    assert run()[0] == {"10": None, "11": 30, "12": None, "13": None}
+    _folder(spark, "", labels[:1] + ["2100-01-01 00:00:00,0,none"], label_folder)
+    _folder(spark, "", [streaming.closing_line("2100-01-01 00:00:00")], folder)
+    got, state = run()
+    assert got == {"10": None, "11": 30, "12": None, "13": None, "14": 1, "15": None}
+    assert spark.read.parquet(out).count() == 6 and max(state) <= 1

@@ -37,7 +37,7 @@ def window_features(rows: DataFrame, width: str = fixed.WINDOW_WIDTH, ts: str =
                     min_status: int = fixed.ERROR_STATUS_MIN,
                     percentile: float = fixed.SIZE_PERCENTILE,
                     method: str = "exact", accuracy: int = 10000,
-                    by: list[str] | None = None) -> DataFrame:
+                    by: list[str] | None = None, keep_window: bool = False) -> DataFrame:
     """Per tumbling window (and optional extra keys): ``total_requests``,
     ``error_rate`` (share of status >= min_status, 0..1), ``avg_response_size``
     and ``p95_response_size``.
@@ -47,11 +47,19 @@ def window_features(rows: DataFrame, width: str = fixed.WINDOW_WIDTH, ts: str =
     share of the rows still sends only one partial row per task.  The exact
     percentile keeps a value->count map per window; ``method="approx"``
     switches to ``percentile_approx`` for very wide windows or long streams.
+    ``keep_window`` returns the window itself in place of its start.
     """
     keys = [F.window(F.col(ts), width).alias("window")] + [F.col(k) for k in (by or [])]
     out = rows.groupBy(*keys).agg(*_aggregates(status, size, min_status, percentile, method, accuracy))
-    return out.select(F.col("window.start").alias("window_start"), *(by or []),
-                      "total_requests", "error_rate", "avg_response_size", "p95_response_size")
+    start = F.col("window") if keep_window else F.col("window.start").alias("window_start")
+    return out.select(start, *(by or []), "total_requests", "error_rate", "avg_response_size", "p95_response_size")
+
+
+def session_aggregates(min_status: int = fixed.ERROR_STATUS_MIN, percentile: float = fixed.SIZE_PERCENTILE,
+                       status: str = "status_code", size: str = "response_size") -> list[Column]:
+    """The four features as plain aggregates, for Spark's own sessions in a
+    stream."""
+    return _aggregates(status, size, min_status, percentile, "exact", 0)
 
 
 def sliding_features(rows: DataFrame, width: str, slide: str, ts: str = "ts",
@@ -95,6 +103,22 @@ def _merged(percentile: float | None) -> list[Column]:
     return out
 
 
+def window_counts(rows: DataFrame, width: str = fixed.WINDOW_WIDTH, ts: str = "ts", status: str = "status_code",
+                  size: str = "response_size", min_status: int = fixed.ERROR_STATUS_MIN) -> DataFrame:
+    """Mergeable state of tumbling windows: rows, judged rows and errors per
+    window and size.  States of disjoint sets of rows add up."""
+    err = is_error(status, min_status)
+    out = rows.groupBy(F.window(F.col(ts), width).alias("window"), F.col(size).alias("_size")).agg(
+        F.count(F.lit(1)).alias("_n"), F.count(err).alias("_judged"), F.sum(err).alias("_errors"))
+    return out.select(F.col("window.start").alias("window_start"), "_size", "_n", "_judged", "_errors")
+
+
+def features_of_counts(counts: DataFrame, percentile: float = fixed.SIZE_PERCENTILE) -> DataFrame:
+    """The features of :func:`window_features` from window states, however
+    many there are of a window."""
+    return counts.groupBy("window_start").agg(*_merged(percentile))
+
+
 def session_features(rows: DataFrame, gap: str, key: str = "endpoint", ts: str = "ts",
                      status: str = "status_code", size: str = "response_size",
                      min_status: int = fixed.ERROR_STATUS_MIN, percentile: float = fixed.SIZE_PERCENTILE) -> DataFrame:

@@ -99,7 +99,11 @@ def read_labels_csv(spark, path: str) -> DataFrame:
     ``yyyy-MM-dd HH:mm:ss`` in full and be real dates; the label must be an
     int.  Anything else becomes NULL instead of failing the job;
     :func:`stamp_report` counts such rows."""
-    raw = spark.read.schema(LABEL_CSV_SCHEMA).option("header", True).csv(path)
+    return labels_of_text(spark.read.schema(LABEL_CSV_SCHEMA).option("header", True).csv(path))
+
+
+def labels_of_text(raw: DataFrame) -> DataFrame:
+    """Typed label rows of the text columns of a label CSV."""
     return raw.select(stamp_of("window_start").alias("window_start"),
                       F.col("is_anomalous").try_cast("int").alias("is_anomalous"),
                       "anomaly_type")

@@ -454,6 +454,29 @@ SQL_BODIES.update({
         SELECT 'low_precision' AS note, precision < 0.5 AS holds FROM nt
         UNION ALL SELECT 'not_better_than_majority', acc <= maj FROM nt
         UNION ALL SELECT 'one_class_predicted', NOT both_ FROM nt""",
+    "incremental_features": SQL_BODIES["window_features_5m"],
+    "stream_sessions": SQL_BODIES["session_features"],
+    "stream_labels": SQL_BODIES["label_windows"],
+    "stream_late_rows": """
+        , days AS (SELECT *, CAST(least(floor(date_diff('day', (SELECT CAST(min(ts) AS DATE) FROM events),
+                                                         CAST(ts AS DATE)) / 8), 3) AS INTEGER) AS part
+                   FROM dedup WHERE ts IS NOT NULL),
+        arrived AS (SELECT *, CASE WHEN part = 1 AND second(ts) % 2 = 1 THEN 2 ELSE part END AS arrival FROM days),
+        latest AS (SELECT arrival, max(ts) AS latest FROM arrived GROUP BY arrival),
+        judged AS (SELECT a.*, coalesce(ts < (SELECT max(latest) - INTERVAL '10 minutes' FROM latest l
+                                              WHERE l.arrival < a.arrival), false) AS late FROM arrived a),
+        grouped AS (SELECT time_bucket(INTERVAL '1 hour', ts) AS window_start, late, count(*) AS total_requests,
+                           avg(CAST(status_code >= 400 AS INTEGER)) AS error_rate, avg(response_size) AS avg_response_size,
+                           CAST(quantile_cont(response_size, 0.95) AS DOUBLE) AS p95_response_size
+                    FROM judged GROUP BY ALL)
+        SELECT """ + ROUND_FEATURES + """, CASE WHEN late THEN 'late' WHEN window_start + INTERVAL '1 hour' <=
+               (SELECT max(latest) - INTERVAL '10 minutes' FROM latest) THEN 'closed' ELSE 'open' END AS state
+        FROM grouped""",
+    "stream_model_versions": """
+        , mark AS (SELECT max(ts) - INTERVAL '10 minutes' AS w FROM dedup WHERE day(ts) <= 15)
+        SELECT CAST(CASE WHEN window_start + INTERVAL '1 hour' <= w THEN 1 ELSE 2 END AS BIGINT) AS version,
+               count(*) AS windows, CAST(0 AS BIGINT) AS differing
+        FROM f1h, mark GROUP BY 1""",
     "write_predictions": SQL_BODIES["score_logistic"],
     "file_inventory": """SELECT strftime(window_start, '%Y-%m-%d') AS date, CAST(1 AS BIGINT) AS files
         FROM lw5 GROUP BY 1""",

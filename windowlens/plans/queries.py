@@ -13,14 +13,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from windowlens.functions import fixed
-from windowlens.operators import (clean, drift, enrich, evaluate, labels, model, parse, quality, runlog, sink,
-                                  split, traffic)
+from windowlens.operators import (clean, drift, enrich, evaluate, incremental, labels, model, parse, quality, runlog,
+                                  sink, split, traffic)
 from windowlens.operators import features as feat
 from windowlens.plans import etl
 from windowlens.plans.frames import PROB_DIGITS, RATE_DIGITS, Frames, rounded
 from windowlens.session import work_path
 from windowlens.sources import fixtures, text
 from windowlens.streaming import features as streaming
+from windowlens.streaming import load as stream_load
+from windowlens.streaming import scoring as stream_scoring
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -493,18 +495,26 @@ def _run_stream(spark, stream_df, name):
     return streaming.read_sink(spark, out)
 
 
-def _typed_lines(spark, folder):
-    return clean.typed_rows(parse.parse_lines(text.read_lines(spark, folder)))
-
-
 @query("stream_features")
 def q_stream_features(spark, d):
-    """The windows the stream has closed and, from a batch pass over what is
-    left, the ones it still holds open."""
-    folder = _line_folder(spark, d)
-    lines = text.read_line_stream(spark, folder)
-    closed = _run_stream(spark, streaming.feature_stream(lines, STREAM_WIDTH), "stream-features")
-    return rounded(closed.unionByName(streaming.open_windows(_typed_lines(spark, folder), closed, STREAM_WIDTH)))
+    """The windows the stream has closed and, from its state, the ones it
+    holds open."""
+    lines = text.read_line_stream(spark, _line_folder(spark, d))
+    out = work_path(spark, "stream-counts")
+    streaming.run_available_now(streaming.count_stream(lines, STREAM_WIDTH), out, out + "-checkpoint")
+    return rounded(streaming.all_windows(spark, streaming.read_sink(spark, out), out + "-checkpoint"))
+
+
+#: After all stamps of the given tables.
+END_OF_INPUT = "2100-01-01 00:00:00"
+
+
+def _closed_folder(spark, d):
+    """The lines, and one that lets the stream close all windows."""
+    path = _line_folder(spark, d)
+    closing = spark.createDataFrame([(streaming.closing_line(END_OF_INPUT),)], "value string")
+    text.write_lines(closing, path, mode="append")
+    return path
 
 
 def _stream_rows(spark, d, name, step=lambda rows: rows):
@@ -524,15 +534,86 @@ def q_stream_dedupe(spark, d):
 
 @query("stream_score")
 def q_stream_score(spark, d):
-    folder = _line_folder(spark, d)
-    lines = text.read_line_stream(spark, folder)
+    lines = text.read_line_stream(spark, _closed_folder(spark, d))
     scored = streaming.scored_stream(streaming.feature_stream(lines, STREAM_WIDTH))
-    closed = _run_stream(spark, scored, "stream-score")
-    left = evaluate.score_logistic(streaming.open_windows(_typed_lines(spark, folder), closed, STREAM_WIDTH))
-    out = closed.unionByName(left)
+    out = _run_stream(spark, scored, "stream-score")
     return _round_all(out.select("window_start", "prob_anomalous", "prediction"), {"prob_anomalous"})
 
 
+@query("stream_sessions")
+def q_stream_sessions(spark, d):
+    lines = text.read_line_stream(spark, _closed_folder(spark, d))
+    return rounded(_run_stream(spark, streaming.session_stream(lines, "10 minutes"), "stream-sessions"))
+
+
+@query("stream_labels")
+def q_stream_labels(spark, d):
+    """Labels and features joined as two streams."""
+    f, path = Frames(spark, d), work_path(spark, "stream-label-csv")
+    labels.write_labels_csv(f.labels(), path)
+    last = spark.createDataFrame([(END_OF_INPUT, 0, "none")], "window_start string, is_anomalous int, anomaly_type string")
+    labels.write_labels_csv(last.withColumn("window_start", F.col("window_start").cast("timestamp_ntz")), path, "append")
+    joined = streaming.labeled_stream(streaming.label_stream(spark, path),
+                                      text.read_line_stream(spark, _closed_folder(spark, d)))
+    return nullable_counts_as_double(rounded(_run_stream(spark, joined, "stream-labels")))
+
+
+def _stamp():
+    return F.substring("value", 1, 19).try_cast("timestamp_ntz")     # NULL for damaged lines
+
+
+def _arrive(lines, arrival, number, path):
+    lines.where(F.coalesce(arrival, F.lit(0)) == number).select("value").write.mode("append").text(path)
+
+
+def out_of_order(stamp, first_day):
+    """Arrival of a line, 0 to 3: eight days each, but of the second eight
+    days the odd seconds come with the third."""
+    part = F.least(F.floor(F.date_diff(F.to_date(stamp), first_day) / 8), F.lit(3))
+    return F.when((part == 1) & (F.second(stamp) % 2 == 1), F.lit(2)).otherwise(part)
+
+
+@query("stream_late_rows")
+def q_stream_late_rows(spark, d):
+    """Features of closed and open windows after four arrivals, some of them
+    out of order, and of the late rows."""
+    f = Frames(spark, d)
+    lines, store, folder = f.lines, work_path(spark, "late-store"), work_path(spark, "late-lines")
+    first_day = f.events.agg(F.min(F.to_date("ts")).alias("d")).first()["d"]
+    for arrival in range(4):
+        _arrive(lines, out_of_order(_stamp(), F.lit(first_day)), arrival, folder)
+        stream_load.run_load_stream(text.read_line_stream(spark, folder), store, STREAM_WIDTH)
+    late = feat.window_features(stream_load.late_rows(spark, store), STREAM_WIDTH).withColumn("state", F.lit("late"))
+    return rounded(stream_load.window_states(spark, store, STREAM_WIDTH).unionByName(late))
+
+
+@query("stream_model_versions")
+def q_stream_model_versions(spark, d):
+    """Windows scored by each model version of one stream, and those on which
+    the version's closed form differs.  The second model is published between
+    two runs."""
+    f, base = Frames(spark, d), work_path(spark, "versions")
+    train = split.train_part(_split(spark, d)).checkpoint(eager=True)
+    lines, early = f.lines, F.coalesce(F.dayofmonth(_stamp()) <= 15, F.lit(True)).cast("int")
+    forms = {}
+    for number, reg in ((1, 0.01), (0, 0.1)):
+        _arrive(lines, early, number, f"{base}/lines")
+        if not number:
+            text.write_lines(spark.createDataFrame([(streaming.closing_line(END_OF_INPUT),)], "value string"),
+                             f"{base}/lines", mode="append")
+        fitted = model.fit(train, reg_param=reg)
+        forms[stream_scoring.publish(fitted, f"{base}/registry", spark)] = model.closed_form(fitted)
+        stream = streaming.feature_stream(text.read_line_stream(spark, f"{base}/lines"), STREAM_WIDTH)
+        stream_scoring.run_scored(stream, f"{base}/registry", f"{base}/scored", f"{base}/checkpoint")
+    scored = (spark.read.parquet(f"{base}/scored").drop("batch")
+              .withColumnsRenamed({"prob_anomalous": "by_model", "prediction": "model_says"}))
+    twins = [evaluate.score_logistic(scored.where(F.col("version") == v), **form) for v, form in forms.items()]
+    differs = (F.abs(F.col("by_model") - F.col("prob_anomalous")) > TOLERANCE) | (
+        F.col("model_says") != F.col("prediction"))
+    return twins[0].unionByName(twins[1]).groupBy("version").agg(
+        F.count(F.lit(1)).alias("windows"), F.count_if(differs).alias("differing"))
+
+
 # --- run audit ------------------------------------------------------------------------------
 
 @query("run_audit")
@@ -545,6 +626,21 @@ def q_run_audit(spark, d):
     return audit.where("metric != 'elapsed_ms'").orderBy("step_no", "metric")
 
 
+# --- incremental load -----------------------------------------------------------------------
+
+@query("incremental_features")
+def q_incremental_features(spark, d):
+    """Three batches: the first half of every window, the second half with
+    the first ten days of each month once more, and the second again."""
+    rows, store = Frames(spark, d).typed, work_path(spark, "incremental")
+    first = F.coalesce(F.pmod(F.unix_timestamp("ts"), F.lit(300)) < 150, F.lit(True))
+    again = F.dayofmonth("ts") <= 10
+    incremental.load_batch(rows.where(first), store, "first")
+    for _ in range(2):
+        incremental.load_batch(rows.where(~first | again), store, "second")
+    return rounded(incremental.stored_features(spark, store))
+
+
 # --- sliding and session windows ------------------------------------------------------
 
 @query("window_features_sliding")
