@@ -60,10 +60,33 @@ def test_time_folds_move_forward(spark, small_dir):
         assert last_train < first_valid
 
 
-def test_forward_chaining_cv_runs(spark, small_dir):
-    data = Frames(spark, small_dir).hourly_training
-    table = model.cross_validate_time(spark, data, folds=2, reg_params=[0.01], elastic_nets=[0.0]).collect()
-    assert len(table) == 1 and table[0]["folds_used"] >= 1
+def test_fold_areas_equal_one_by_one(spark, small_dir):
+    """All areas of one job against the rank area and MLlib's of each model."""
+    table = model.time_blocks(Frames(spark, small_dir).hourly_training, 2).checkpoint()
+    fitted = model.fit_folds(table, (1, 2), [(0.01, 0.0), (1.0, 1.0)], forward=True)
+    areas = {(r["fold"], r["reg_param"]): r for r in model.fold_areas(table, fitted, forward=True).collect()}
+    assert len(areas) == 4
+    for (fold, (reg, enet)), m in fitted.items():
+        valid, found = table.where(F.col("_fold") == fold), areas[fold, reg]
+        one = evaluate.auc(model.score(m, valid, [model.LABEL])).first()
+        assert (found["positives"], found["valid_rows"]) == (one["positives"], one["positives"] + one["negatives"])
+        assert found["train_rows"] == table.where(F.col("_fold") < fold).count()
+        assert abs(found["auc"] - one["auc"]) < 1e-9
+        assert abs(found["auc"] - model.auc_evaluator().evaluate(m.transform(valid))) < 1e-9
+    assert areas[1, 1.0]["auc"] == 0.5          # a strong lasso leaves the intercept alone
+    means = {r["reg_param"]: r for r in model.mean_areas(model.fold_areas(table, fitted, forward=True)).collect()}
+    assert abs(means[0.01]["avg_auc"] - (areas[1, 0.01]["auc"] + areas[2, 0.01]["auc"]) / 2) < 1e-12
+
+
+def test_grouped_auc_with_ties_and_one_class(spark):
+    rows = [("a", float(i % 5), i % 3 == 0) for i in range(60)] + [("b", 1.0, True)] * 3 + [("c", 2.0, i < 2) for i in range(5)]
+    pred = spark.createDataFrame([(g, s, int(y)) for g, s, y in rows], "g string, s double, y int").repartition(4)
+    got = {r["g"]: r["auc"] for r in evaluate.grouped_auc(pred, ["g"], "s", F.floor(F.col("s") / 2), "y").collect()}
+    for g in "ac":
+        pos, neg = ([s for x, s, y in rows if x == g and y is want] for want in (True, False))
+        wins = sum((p > n) + 0.5 * (p == n) for p in pos for n in neg)
+        assert abs(got[g] - wins / (len(pos) * len(neg))) < 1e-12
+    assert got["b"] is None
 
 
 def test_train_then_predict_end_to_end(spark, small_dir):

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
@@ -124,3 +124,26 @@ def auc(pred: DataFrame, score: str = "prob_anomalous", label: str = LABEL,
         F.try_divide(F.sum(wins), F.first("total_pos").cast("double") * F.first("total_neg")).alias("auc"),
         F.first("total_pos").alias("positives"),
         F.first("total_neg").alias("negatives"))
+
+
+def grouped_auc(pred: DataFrame, by: list[str], score: str, bucket: Column, label: str = LABEL) -> DataFrame:
+    """:func:`auc` of every group in one job: (by..., positives, negatives,
+    auc); the area is null where a class is missing.
+
+    ``bucket`` must not decrease with ``score``.  Rows are grouped by distinct
+    score first; the running count inside a bucket starts from the totals of
+    the buckets below, so no task sorts a whole group.
+    """
+    per_score = (pred.groupBy(*by, score).agg(F.count_if(F.col(label) == 1).alias("n_pos"),
+                                              F.count_if(F.col(label) == 0).alias("n_neg"))
+                 .withColumn("_bucket", bucket))
+    below = Window.partitionBy(*by).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    starts = (per_score.groupBy(*by, "_bucket").agg(F.sum("n_neg").alias("_n"))
+              .select(*by, "_bucket", F.coalesce(F.sum("_n").over(below), F.lit(0)).alias("_before")))
+    inside = Window.partitionBy(*by, "_bucket").orderBy(score).rowsBetween(Window.unboundedPreceding, -1)
+    run = per_score.withColumn("_within", F.coalesce(F.sum("n_neg").over(inside), F.lit(0))).join(starts, [*by, "_bucket"])
+    wins = F.col("n_pos").cast("double") * ((F.col("_before") + F.col("_within")).cast("double") + 0.5 * F.col("n_neg"))
+    out = run.groupBy(*by).agg(F.sum("n_pos").alias("positives"), F.sum("n_neg").alias("negatives"),
+                               F.sum(wins).alias("_wins"))
+    return out.select(*by, "positives", "negatives", F.try_divide(
+        F.col("_wins"), F.col("positives").cast("double") * F.col("negatives")).alias("auc"))

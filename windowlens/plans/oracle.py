@@ -429,6 +429,22 @@ def _grid(regs, nets) -> str:
     return f"(VALUES {points}) g(reg_param, elastic_net)"
 
 
+def _hash_folds(seeds) -> str:
+    """Fold sizes and classes of the training windows, from the first digits of a
+    seeded hash."""
+    return f"""
+        , folds AS (SELECT seed, is_anomalous, CAST(CAST('0x' || substr(md5(CAST(seed AS VARCHAR) || ':' ||
+                           strftime(window_start, '%Y-%m-%d %H:%M:%S')), 1, 8) AS BIGINT) % 3 AS INTEGER) AS fold
+                    FROM split, (SELECT unnest({list(seeds)}) AS seed) WHERE part = 'train'),
+        sizes AS (SELECT seed, fold, count(*) AS valid_rows, count(*) FILTER (WHERE is_anomalous = 1) AS positives,
+                         CAST(sum(count(*)) OVER (PARTITION BY seed) - count(*) AS BIGINT) AS train_rows
+                  FROM folds GROUP BY seed, fold)"""
+
+
+_FOLD_ROWS = """
+        SELECT fold, reg_param, elastic_net, train_rows, valid_rows, positives"""
+
+
 def _count_windows(width: str, seconds: int) -> str:
     return (f"SELECT '{width}' AS width, count(DISTINCT floor(epoch(ts) / {seconds})) AS windows, "
             "CAST(0 AS BIGINT) AS off_calendar FROM dedup WHERE ts IS NOT NULL")
@@ -482,11 +498,17 @@ SQL_BODIES.update({
         FROM lw5 GROUP BY 1""",
     "lr_batch_score": SPLIT.format(fraction=0.8) + """
         SELECT count(*) FILTER (WHERE part = 'test') AS windows, CAST(0 AS BIGINT) AS differing FROM split""",
-    "cv_grid": "SELECT reg_param, elastic_net, true AS auc_valid, true AS winner_is_best FROM "
-               + _grid(fixed.GRID_REG_PARAM, fixed.GRID_ELASTIC_NET),
-    "cv_time_folds": "SELECT reg_param, elastic_net, true AS auc_valid FROM " + _grid([0.01, 1.0], [0.0]),
-    "cv_repeated": "SELECT reg_param, elastic_net, CAST(2 AS BIGINT) AS seeds, true AS auc_valid FROM "
-                   + _grid([0.01, 1.0], [0.0]),
+    "cv_grid": SPLIT.format(fraction=0.8) + _hash_folds([42]) + _FOLD_ROWS + """, true AS area_equal,
+        true AS winner_is_best FROM sizes, """ + _grid([0.01, 0.1, 1.0], [0.0, 0.5, 1.0]),
+    "cv_time_folds": SPLIT.format(fraction=0.8) + """
+        , folds AS (SELECT 0 AS seed, is_anomalous, CAST(floor((row_number() OVER (ORDER BY window_start) - 1) * 4
+                           / (count(*) OVER ())) AS INTEGER) AS fold FROM split WHERE part = 'train'),
+        sizes AS (SELECT fold, count(*) AS valid_rows, count(*) FILTER (WHERE is_anomalous = 1) AS positives,
+                         CAST((SELECT count(*) FROM folds x WHERE x.fold < folds.fold) AS BIGINT) AS train_rows
+                  FROM folds WHERE fold > 0 GROUP BY fold)""" + _FOLD_ROWS + """, true AS area_equal
+        FROM sizes, """ + _grid([0.01, 0.1, 1.0], [0.0, 0.5, 1.0]),
+    "cv_repeated": SPLIT.format(fraction=0.8) + _hash_folds([42, 7, 123]) + _FOLD_ROWS + """, seed, true AS auc_valid,
+        true AS means_agree FROM sizes, """ + _grid([0.01, 0.1, 1.0], [0.0, 0.5, 1.0]),
     "coefficient_table": "SELECT unnest([" + ", ".join(f"'{c}'" for c in [*fixed.FEATURE_COLUMNS, "intercept"])
                          + "]) AS term, true AS at_optimum",
     "run_audit": """

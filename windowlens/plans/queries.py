@@ -443,30 +443,58 @@ def q_lr_batch_score(spark, d):
     return twin.agg(F.count(F.lit(1)).alias("windows"), F.count_if(differs).alias("differing"))
 
 
-def _grid_properties(table):
-    top = table.agg(F.max("avg_auc")).scalar()
-    return table.select("reg_param", "elastic_net", F.col("avg_auc").between(0.0, 1.0).alias("auc_valid"),
-                        (~F.col("best") | (F.col("avg_auc") == top)).alias("winner_is_best"))
+AREAS = ["fold", "reg_param", "elastic_net", "train_rows", "valid_rows", "positives"]
+
+
+def _evaluated(spark, table, fitted):
+    """MLlib's own area of every model on its fold."""
+    found = [(fold, *point, float(model.auc_evaluator().evaluate(m.transform(table.where(F.col("_fold") == fold)))))
+             for (fold, point), m in fitted.items()]
+    return spark.createDataFrame(found, "fold int, reg_param double, elastic_net double, by_mllib double")
+
+
+def _area_equal():
+    return F.coalesce(F.abs(F.col("auc") - F.col("by_mllib")) <= TOLERANCE,
+                      F.col("positives").isin(0, F.col("valid_rows"))).alias("area_equal")
 
 
 @query("cv_grid")
 def q_cv_grid(spark, d):
-    fitted = model.cross_validate(split.train_part(_split(spark, d)))
-    return _grid_properties(model.grid_table(spark, fitted))
+    """Folds, their sizes and classes; whether each area equals MLlib's; and
+    whether the winner of the search is the first point with the top mean."""
+    train = split.train_part(_split(spark, d)).checkpoint(eager=True)
+    table = train.withColumn("_fold", model.hash_fold("window_start", fixed.CV_FOLDS, fixed.CV_SEED))
+    fitted = model.fit_folds(table, range(fixed.CV_FOLDS), model.grid_points())
+    areas = model.fold_areas(table, fitted).join(_evaluated(spark, table, fitted), ["fold", "reg_param", "elastic_net"])
+    searched = model.grid_table(spark, model.cross_validate(train)).collect()     # one row a grid point
+    top = max(range(len(searched)), key=lambda i: searched[i]["avg_auc"])
+    won = [r["best"] for r in searched] == [i == top for i in range(len(searched))]
+    return areas.select(*AREAS, _area_equal(), F.lit(won).alias("winner_is_best"))
 
 
 @query("cv_time_folds")
 def q_cv_time_folds(spark, d):
-    table = model.cross_validate_time(spark, split.train_part(_split(spark, d)), reg_params=[0.01, 1.0],
-                                      elastic_nets=[0.0])
-    return table.select("reg_param", "elastic_net", F.col("avg_auc").between(0.0, 1.0).alias("auc_valid"))
+    table = model.time_blocks(split.train_part(_split(spark, d))).checkpoint(eager=True)
+    fitted = model.fit_folds(table, range(1, fixed.CV_FOLDS + 1), model.grid_points(), True)
+    areas = model.fold_areas(table, fitted, True)
+    return areas.join(_evaluated(spark, table, fitted), ["fold", "reg_param", "elastic_net"]).select(
+        *AREAS, _area_equal())
 
 
 @query("cv_repeated")
 def q_cv_repeated(spark, d):
-    table = model.repeated_cv(spark, split.train_part(_split(spark, d)), seeds=(42, 7), reg_params=[0.01, 1.0],
-                              elastic_nets=[0.0])
-    return table.select("reg_param", "elastic_net", "seeds", F.col("mean_auc").between(0.0, 1.0).alias("auc_valid"))
+    """The full grid under three seeds: folds and classes of every area, and
+    whether the spread over the seeds is that of the areas."""
+    areas = model.repeated_cv(spark, split.train_part(_split(spark, d))).checkpoint(eager=True)
+    means = {}
+    for r in areas.collect():                    # seeds x folds x grid points
+        means.setdefault((r["reg_param"], r["elastic_net"]), {}).setdefault(r["seed"], []).append(r["auc"])
+    table = model.over_seeds(areas).collect()
+    ok = len(table) == len(means) and all(
+        abs(r["mean_auc"] - sum(sum(x) / len(x) for x in seeds.values()) / len(seeds)) < TOLERANCE
+        and r["seeds"] == len(seeds) for r in table for seeds in [means[r["reg_param"], r["elastic_net"]]])
+    return areas.select("seed", *AREAS, F.coalesce(F.col("auc").between(0.0, 1.0), F.lit(False)).alias("auc_valid"),
+                        F.lit(ok).alias("means_agree"))
 
 
 @query("coefficient_table")
