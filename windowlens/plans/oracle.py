@@ -470,6 +470,30 @@ SQL_BODIES.update({
         SELECT 'low_precision' AS note, precision < 0.5 AS holds FROM nt
         UNION ALL SELECT 'not_better_than_majority', acc <= maj FROM nt
         UNION ALL SELECT 'one_class_predicted', NOT both_ FROM nt""",
+    "window_sketches": """
+        SELECT date_trunc('day', ts) AS window_start, count(*) AS total_requests,
+               round(avg(CAST(status_code >= 400 AS INTEGER)), 6) AS error_rate,
+               round(avg(response_size), 4) AS avg_response_size, true AS within
+        FROM dedup WHERE ts IS NOT NULL GROUP BY 1""",
+    "window_features_approx": """SELECT window_start, total_requests, round(error_rate, 6) AS error_rate,
+               round(avg_response_size, 4) AS avg_response_size, true AS within FROM f1h""",
+    "distinct_sketches": """
+        SELECT strftime(date_trunc('week', ts), '%Y-%m-%d') AS week, count(DISTINCT response_size) AS distinct_sizes,
+               true AS within FROM dedup WHERE ts IS NOT NULL GROUP BY 1""",
+    "reconcile_dates": """
+        , harm AS (SELECT strftime(window_start, '%Y-%m-%d') AS date, day(window_start) % 10 AS kind FROM lw5
+                   WHERE (day(window_start) % 10, hour(window_start)) IN ((1, 3), (2, 5), (3, 7)))
+        SELECT date, count(*) FILTER (WHERE kind <> 2) AS missing, count(*) FILTER (WHERE kind <> 1) AS extra
+        FROM harm GROUP BY date""",
+    "first_lines": """SELECT line_no, value FROM (SELECT row_number() OVER (ORDER BY value) AS line_no, value FROM raw)
+        WHERE line_no <= 2000""",
+    "lineage_runs": """
+        , early AS (SELECT coalesce(day(CASE WHEN regexp_matches(substr(value, 1, 19),
+                             '^\\d{4}-\\d{2}-\\d{2} \\d{2}:\\d{2}:\\d{2}$')
+                           THEN TRY_CAST(substr(value, 1, 19) AS TIMESTAMP) END) <= 10, true) AS e FROM raw)
+        SELECT CAST(run AS BIGINT) AS run, CASE run WHEN 1 THEN (SELECT count(*) FROM early WHERE e)
+               WHEN 3 THEN (SELECT count(*) FROM early WHERE NOT e) ELSE 0 END AS lines
+        FROM range(1, 5) r(run)""",
     "incremental_features": SQL_BODIES["window_features_5m"],
     "stream_sessions": SQL_BODIES["session_features"],
     "stream_labels": SQL_BODIES["label_windows"],

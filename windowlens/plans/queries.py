@@ -13,8 +13,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from windowlens.functions import fixed
-from windowlens.operators import (clean, drift, enrich, evaluate, incremental, labels, model, parse, quality, runlog,
-                                  sink, split, traffic)
+from windowlens.functions.expressions import stamp_of
+from windowlens.operators import (clean, drift, enrich, evaluate, incremental, labels, lineage, model, parse, quality,
+                                  runlog, sink, sketches, split, traffic)
 from windowlens.operators import features as feat
 from windowlens.plans import etl
 from windowlens.plans.frames import PROB_DIGITS, RATE_DIGITS, Frames, rounded
@@ -587,7 +588,7 @@ def q_stream_labels(spark, d):
 
 
 def _stamp():
-    return F.substring("value", 1, 19).try_cast("timestamp_ntz")     # NULL for damaged lines
+    return stamp_of(F.substring("value", 1, 19))     # NULL for damaged lines
 
 
 def _arrive(lines, arrival, number, path):
@@ -669,6 +670,91 @@ def q_incremental_features(spark, d):
     return rounded(incremental.stored_features(spark, store))
 
 
+# --- mergeable sketches ---------------------------------------------------------------------
+
+@query("window_sketches")
+def q_window_sketches(spark, d):
+    """Days rolled up from 5-minute sketches by way of hours; the percentile
+    as whether its rank is within the sketch's bound."""
+    rows = Frames(spark, d).deduped.checkpoint(eager=True)
+    path = work_path(spark, "sketches")
+    sketches.window_sketches(rows).write.parquet(path)
+    days = sketches.roll_up(sketches.roll_up(spark.read.parquet(path), "1 hour"), "1 day")
+    found = sketches.sketch_features(days).checkpoint(eager=True)
+    within = sketches.rank_check(found, rows, "1 day", sketches.kll_rank_error())
+    return rounded(found.join(within, "window_start").drop("p95_response_size"))
+
+
+@query("window_features_approx")
+def q_window_features_approx(spark, d):
+    """Hourly features with Spark's approximate percentile, as whether its
+    rank is within the accuracy asked for."""
+    rows = Frames(spark, d).deduped.checkpoint(eager=True)
+    found = feat.window_features(rows, "1 hour", method="approx", accuracy=1000).checkpoint(eager=True)
+    within = sketches.rank_check(found, rows, "1 hour", 1 / 1000)
+    return rounded(found.join(within, "window_start").drop("p95_response_size"))
+
+
+@query("distinct_sketches")
+def q_distinct_sketches(spark, d):
+    """Distinct sizes of every ISO week, united from the sketches of its
+    days, as whether they are within the error of the exact count."""
+    rows = Frames(spark, d).deduped.where("ts is not null").checkpoint(eager=True)
+    path = work_path(spark, "distinct")
+    sketches.distinct_sketches(rows, "response_size", F.to_date("ts")).write.parquet(path)
+    week = F.date_format(F.date_trunc("week", F.col("part")), fixed.DATE_TEXT_FORMAT)
+    about = sketches.distinct_over(spark.read.parquet(path), week)
+    exact = rows.groupBy(F.date_format(F.date_trunc("week", "ts"), fixed.DATE_TEXT_FORMAT).alias("span")).agg(
+        F.count_distinct("response_size").alias("exact"))
+    off = F.abs(F.col("distinct_values") - F.col("exact")) <= F.ceil(F.col("exact") * sketches.hll_error())
+    return about.join(exact, "span").select(F.col("span").alias("week"), F.col("exact").alias("distinct_sizes"),
+                                            off.alias("within"))
+
+
+# --- parts that differ, first lines, lineage ------------------------------------------------
+
+def damaged_copy(table):
+    """On days 1, 11, 21 the windows of 3 o'clock are lost, on days 2, 12, 22
+    those of 5 o'clock doubled, on days 3, 13, 23 those of 7 o'clock changed."""
+    day, hour = F.dayofmonth("window_start") % 10, F.hour("window_start")
+    lost, doubled, changed = (day == 1) & (hour == 3), (day == 2) & (hour == 5), (day == 3) & (hour == 7)
+    copies = F.when(lost, F.array().cast("array<int>")).when(doubled, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))
+    return (table.withColumn("_copy", F.explode(copies)).drop("_copy")
+            .withColumn("is_anomalous", F.col("is_anomalous") + F.when(changed, 1).otherwise(0)))
+
+
+@query("reconcile_dates")
+def q_reconcile_dates(spark, d):
+    table, path = _written_features(spark, d, "features-whole")
+    copy = work_path(spark, "features-damaged")
+    sink.write_partitioned(damaged_copy(spark.read.parquet(path)), copy)
+    out = quality.reconcile_parts(spark.read.parquet(path), spark.read.parquet(copy), sink.FEATURE_TABLE_COLUMNS, "date")
+    return out.select(F.date_format("date", fixed.DATE_TEXT_FORMAT).alias("date"), "missing", "extra")
+
+
+@query("first_lines")
+def q_first_lines(spark, d):
+    """The first 2,000 lines of files that follow each other in text order."""
+    path = work_path(spark, "sorted-lines")
+    Frames(spark, d).lines.orderBy("value").write.text(path)
+    return text.numbered_lines(spark, path, 2000).select("line_no", "value")
+
+
+@query("lineage_runs")
+def q_lineage_runs(spark, d):
+    """Lines each of four runs read: ten days, nothing new, the other days,
+    nothing new."""
+    lines, base = Frames(spark, d).lines, work_path(spark, "lineage")
+    early = F.coalesce(F.dayofmonth(_stamp()) <= 10, F.lit(True)).cast("int")
+    for run in range(1, 5):
+        if run % 2:
+            _arrive(lines, early, int(run == 1), f"{base}/lines")
+        lineage.run_once(spark, f"{base}/lines", f"{base}/ledger", str(run), lambda rows: rows.select(
+            "value", F.lit(run).alias("run")).write.mode("append").parquet(f"{base}/read"))
+    runs = spark.range(1, 5).select(F.col("id").alias("run"))
+    return runs.join(spark.read.parquet(f"{base}/read"), "run", "left").groupBy("run").agg(F.count("value").alias("lines"))
+
+
 # --- sliding and session windows ------------------------------------------------------
 
 @query("window_features_sliding")
