@@ -18,27 +18,39 @@ id once, before they are multiplied by the filters still to come.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from hashlib import sha256
 from itertools import permutations
 from math import factorial
 
-from pyspark.sql import Column, DataFrame
+import pyarrow as pa
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from windowlens.llm.common import shuffle_partitions, staged, take
+from windowlens.llm.common import byte_values, shuffle_partitions, ship, staged, take
 from windowlens.session import work_path
 
-_WORD_BREAK = r"[\x20\x09-\x0D]+"
+_CAPITALS = bytes(range(ord("A"), ord("Z") + 1))
+_MARKS = b"#$%&*|"
+_INSIDE = bytes(range(0x80, 0xC0))      # UTF-8 bytes that don't begin a character
+_BASE = pa.schema([("doc_id", pa.int64()), ("part", pa.string()), ("digest", pa.binary()),
+                   ("fails", pa.list_(pa.string()))])
 
 
-def text_filters(text: Column) -> dict[str, Column]:
-    """Failure conditions that a text decides by itself."""
-    words = F.array_remove(F.split(text, _WORD_BREAK), "")
-    return {
-        "A": F.size(words) < 200,
-        "B": 100 * F.size(F.array_distinct(words)) < 50 * F.size(words),
-        "C": 100 * F.regexp_count(text, F.lit("[A-Z]")) > 2 * F.length(text),
-        "D": text.rlike("[#$%&*|]"),
+def _without(text: bytes, dropped: bytes) -> int:
+    return len(text.translate(None, dropped))
+
+
+def text_filters(text: bytes) -> list[str]:
+    """Names of the filters that a text (UTF-8) fails by itself."""
+    words = text.split()                # ASCII white space
+    fails = {
+        "A": len(words) < 200,
+        "B": 100 * len(set(words)) < 50 * len(words),
+        "C": 100 * (len(text) - _without(text, _CAPITALS)) > 2 * _without(text, _INSIDE),
+        "D": _without(text, _MARKS) < len(text),
     }
+    return [name for name, failed in fails.items() if failed]
 
 
 # --- failing-id tables -------------------------------------------------------
@@ -48,18 +60,25 @@ def failing_ids(docs: DataFrame, filters=text_filters, repeated: str | None = "E
     """The documents (row, doc_id, part) and the id tables (row, part,
     filter), stored as one folder a filter.
 
-    ``repeated`` names the filter that fails a text identical to that of any
+    ``filters`` names the filters a text fails; ``repeated`` names the filter that fails a text identical to that of any
     smaller doc_id.  ``row`` numbers the rows, so that ids that repeat or are
     null stay apart; a null id is neither smaller nor larger than others.
     """
     spark = docs.sparkSession
+    ship(spark)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            texts = byte_values(b["text"])
+            yield pa.RecordBatch.from_arrays(
+                [b["doc_id"], b["part"], pa.array([sha256(t).digest() for t in texts], pa.binary()),
+                 pa.array([filters(t) for t in texts], pa.list_(pa.string()))], schema=_BASE)
+
     plain = take(docs, doc_id=id_col, text=text_col, part=part_col).select(
-        F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"),
+        F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"),
         F.coalesce(F.col("part").cast("string"), F.lit("")).alias("part"))
-    failed = F.filter(F.array(*[F.when(c, F.lit(name)) for name, c in filters(F.col("text")).items()]),
-                      lambda x: x.isNotNull())
-    base = staged(plain.select("doc_id", "part", F.unhex(F.sha2(F.col("text").cast("binary"), 256)).alias("digest"),
-                               failed.alias("fails"), F.monotonically_increasing_id().alias("row")), "audit-documents")
+    base = staged(plain.mapInArrow(run, "doc_id long, part string, digest binary, fails array<string>")
+                  .withColumn("row", F.monotonically_increasing_id()), "audit-documents")
     tables = base.select("row", "part", F.explode("fails").alias("filter"))
     if repeated:
         first = (base.groupBy("digest").agg(F.min("doc_id").alias("first"), F.count("*").alias("n"))
