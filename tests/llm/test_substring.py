@@ -108,6 +108,22 @@ def test_a_passage_in_very_many_documents(spark):
     assert {r["doc_id"] for r in rows} == set(range(1, 400)) and {r["first_doc_id"] for r in rows} == {0}
 
 
+def test_the_filter_stops_no_repeated_chunk(spark, prose):
+    """Small filters let more single chunks pass; spans stay the same."""
+    table = spark.createDataFrame(prose, "doc_id long, text string").repartition(5)
+    rows = [tuple(r) for r in substring.chunks(table).collect()]
+    times = {}
+    for r in rows:
+        times[r[-2:]] = times.get(r[-2:], 0) + 1
+    passed = {}
+    for bits in (27, 12):
+        passed[bits] = {tuple(r) for r in substring.chunks(table, filter_bits=bits).collect()}
+        assert {r for r in rows if times[r[-2:]] > 1} <= passed[bits] <= set(rows)
+    assert len(passed[27]) < len(passed[12])
+    spans = [sorted(tuple(r) for r in substring.repeated_spans(table, filter_bits=b).collect()) for b in (None, 27, 12)]
+    assert spans[0] == spans[1] == spans[2] != []
+
+
 def test_odd_rows(odd, nothing):
     rows = substring.repeated_spans(odd).collect()
     assert {r["doc_id"] for r in rows} <= {7}          # the long text repeats itself

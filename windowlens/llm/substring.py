@@ -8,12 +8,16 @@ insertion moves no border beyond its own chunk.  Chunks are at least
 hold the first and last words of a passage differ from copy to copy, so the
 chunks must be small against the 51 words of a passage that has to be found.
 
-1. *Digests.*  XXH3-128 of every chunk, counted by digest with partial
+1. *Filter.*  Most chunks occur once and need not be moved.  Every task sends
+   the distinct digests of its texts, cut to five bytes and packed, to one
+   task a digest range; digests that arrive twice set a bit of a bitmap of
+   ``2**filter_bits`` bits, which goes to all tasks.  It lets a few single
+   chunks pass and never stops a repeated one.
+2. *Places.*  XXH3-128 of the chunks that pass, counted by digest with partial
    aggregation, so a passage in a third of all documents costs one row a
    task.  Digests seen more than once are staged with their first place (the
-   smallest document id, then the smallest start).
-2. *Places.*  Chunks are joined with the repeated digests; AQE splits the
-   rows of a hot digest.
+   smallest document id, then the smallest start) and joined with the chunks
+   that passed; AQE splits the rows of a hot digest.
 3. *Spans.*  Neighbouring repeated chunks of a document form a span.  A span
    of at least ``min_words`` words is a repeat; the chunks at their first
    place are never part of one.
@@ -30,12 +34,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-from windowlens.llm.common import byte_values, documents_of, same, staged
+from windowlens.llm.common import byte_values, documents_of, same, shuffle_partitions, staged
 
 MIN_CHUNK = 12
 MAX_CHUNK = 1024
 CUT_BITS = 3
 MIN_WORDS = 20
+FILTER_BITS = 27    # 16 MB; enough for some 10**8 repeated chunks, more let more single chunks pass
+HELD = 4_000_000    # digests a task holds before it sends them
+_CUT = 24           # bits of a 64-bit digest that the filter's five bytes leave out
 
 _GEAR = np.random.default_rng(2016).integers(0, 1 << 32, 256, dtype=np.uint32)
 _SPACE = np.zeros(256, bool)
@@ -91,60 +98,144 @@ _CHUNKS = pa.schema([("doc_id", pa.int64()), ("text_hash", pa.int64()), ("i", pa
 _CHUNKS_DDL = "doc_id long, text_hash long, i int, start int, size int, n_words int, hi long, lo long"
 
 
+def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, int, int, list[bytes]]]:
+    """A few megabytes of texts at a time, with their places in the batch."""
+    for b in batches:
+        texts = byte_values(b["text"])
+        at, size = 0, 0
+        for k, t in enumerate(texts):
+            size += len(t)
+            if size > 4_000_000 or k == len(texts) - 1:
+                yield b, at, k + 1, texts[at:k + 1]
+                at, size = k + 1, 0
+
+
+class _Cut:
+    """The chunks of some texts laid end to end."""
+
+    def __init__(self, texts: list[bytes], min_chunk: int, max_chunk: int, cut_bits: int):
+        self.buffer = b"".join(texts)
+        self.data = np.frombuffer(self.buffer, np.uint8)
+        self.sizes = np.fromiter(map(len, texts), np.int64, len(texts))
+        self.first = np.cumsum(self.sizes) - self.sizes
+        found = borders(self.data, self.first.tolist(), (self.first + self.sizes).tolist(), min_chunk, max_chunk, cut_bits)
+        self.per = np.fromiter(map(len, found), np.int64, len(found))
+        self.end = np.array([x for f in found for x in f], dtype=np.int64)
+        self.head = np.cumsum(self.per) - self.per
+        self.start = np.empty_like(self.end)
+        self.start[1:] = self.end[:-1]
+        self.start[self.head[self.per > 0]] = self.first[self.per > 0]
+        digest = xxhash.xxh3_128_digest
+        raw = b"".join([digest(self.buffer[a:b]) for a, b in zip(self.start.tolist(), self.end.tolist())])
+        self.digests = np.frombuffer(raw, ">u8").astype(np.uint64).reshape(-1, 2)
+
+
+_PACKED = pa.schema([("part", pa.int32()), ("digests", pa.binary())])
+
+
+def repeated_filter(d: DataFrame, min_chunk: int, max_chunk: int, cut_bits: int,
+                    filter_bits: int = FILTER_BITS) -> np.ndarray:
+    """Bitmap over the first ``filter_bits`` bits of the digests: set where a
+    digest's first 40 bits occur more than once in the texts."""
+    n = shuffle_partitions(d)
+    part_bits = min(max(0, n - 1).bit_length(), filter_bits - 3)
+
+    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[np.ndarray] = []
+        size = 0
+        for _, _, _, texts in _pieces(batches):
+            held.append(_Cut(texts, min_chunk, max_chunk, cut_bits).digests[:, 0] >> np.uint64(_CUT))
+            size += len(held[-1])
+            if size > HELD:
+                yield from packed(held)
+                held, size = [], 0
+        yield from packed(held)
+
+    def packed(held: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+        found, times = np.unique(np.concatenate(held or [np.empty(0, np.uint64)]), return_counts=True)
+        found = np.repeat(found, np.minimum(times, 2))
+        bounds = np.searchsorted(found >> np.uint64(40 - part_bits), np.arange((1 << part_bits) + 1))
+        short = found.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :5]
+        some = [(p, short[a:b].tobytes()) for p, (a, b) in enumerate(zip(bounds[:-1], bounds[1:])) if b > a]
+        yield pa.RecordBatch.from_arrays([pa.array([p for p, _ in some], pa.int32()),
+                                          pa.array([x for _, x in some], pa.binary())], schema=_PACKED)
+
+    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part, held = None, []
+        for b in batches:
+            for p, blob in zip(b["part"].to_pylist(), b["digests"].to_pylist()):
+                if p != part:
+                    yield marked(part, held)
+                    part, held = p, []
+                held.append(blob)
+        yield marked(part, held)
+
+    def marked(part: int | None, held: list[bytes]) -> pa.RecordBatch:
+        if part is None:
+            return pa.RecordBatch.from_arrays([pa.array([], pa.int32()), pa.array([], pa.binary())], schema=_PACKED)
+        short = np.frombuffer(b"".join(held), np.uint8).reshape(-1, 5)
+        full = np.zeros((len(short), 8), np.uint8)
+        full[:, :5] = short
+        found = np.sort(full.view("<u8").ravel())
+        twice = found[1:][found[1:] == found[:-1]] >> np.uint64(40 - filter_bits)
+        bits = np.zeros(1 << (filter_bits - part_bits), np.uint8)
+        bits[twice.astype(np.int64) & (len(bits) - 1)] = 1
+        return pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([np.packbits(bits).tobytes()], pa.binary())],
+                                          schema=_PACKED)
+
+    ddl = "part int, digests binary"
+    slices = (d.select("text").mapInArrow(send, ddl).repartition(n, "part").sortWithinPartitions("part")
+              .mapInArrow(meet, ddl))
+    bitmap = np.zeros((1 << part_bits, 1 << (filter_bits - part_bits - 3)), np.uint8)
+    for r in slices.toLocalIterator():            # 2**filter_bits bits in all
+        bitmap[r["part"]] = np.frombuffer(r["digests"], np.uint8)
+    return bitmap.ravel()
+
+
 def chunks(docs: DataFrame, min_chunk: int = MIN_CHUNK, max_chunk: int = MAX_CHUNK, cut_bits: int = CUT_BITS,
-           id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+           id_col: str = "doc_id", text_col: str = "text", filter_bits: int | None = None) -> DataFrame:
     """(doc_id, text_hash, i, start, size, n_words, hi, lo): the chunks of
-    every text, places in UTF-8 bytes, digest in two longs."""
+    every text, places in UTF-8 bytes, digest in two longs.  With
+    ``filter_bits`` most chunks that occur once are left out."""
+    d = documents_of(docs, id_col, text_col).select("doc_id", F.xxhash64("text").alias("text_hash"), "text")
+    sent = None
+    if filter_bits:
+        sent = d.sparkSession.sparkContext.broadcast(
+            repeated_filter(d, min_chunk, max_chunk, cut_bits, filter_bits))
+
     def some(ids: np.ndarray, hashes: np.ndarray, texts: list[bytes]) -> pa.RecordBatch:
-        buffer = b"".join(texts)
-        data = np.frombuffer(buffer, np.uint8)
-        sizes = np.fromiter(map(len, texts), np.int64, len(texts))
-        last = np.cumsum(sizes)
-        first = last - sizes
-        found = borders(data, first.tolist(), last.tolist(), min_chunk, max_chunk, cut_bits)
-        per = np.fromiter(map(len, found), np.int64, len(found))
-        end = np.array([x for f in found for x in f], dtype=np.int64)
-        head = np.cumsum(per) - per
-        i = np.arange(len(end)) - np.repeat(head, per)
-        start = np.empty_like(end)
-        start[1:] = end[:-1]
-        start[head[per > 0]] = first[per > 0]
-        space = _SPACE[data]
+        c = _Cut(texts, min_chunk, max_chunk, cut_bits)
+        space = _SPACE[c.data]
         opens = ~space
         opens[1:] &= space[:-1]
-        opens[first[sizes > 0]] = ~space[first[sizes > 0]]
+        opens[c.first[c.sizes > 0]] = ~space[c.first[c.sizes > 0]]
         counted = np.concatenate(([0], np.cumsum(opens)))
-        digest = xxhash.xxh3_128_digest
-        raw = b"".join([digest(buffer[a:b]) for a, b in zip(start.tolist(), end.tolist())])
-        halves = np.frombuffer(raw, ">i8").astype(np.int64).reshape(-1, 2)
+        of = np.repeat(np.arange(len(texts)), c.per)
+        keep = np.arange(len(c.end))
+        if sent is not None:
+            bit = (c.digests[:, 0] >> np.uint64(64 - filter_bits)).astype(np.int64)
+            keep = np.flatnonzero((sent.value[bit >> 3] >> (7 - (bit & 7))) & 1)
+        of, start, end = of[keep], c.start[keep], c.end[keep]
+        halves = c.digests[keep].view(np.int64)
         return pa.RecordBatch.from_arrays([
-            pa.array(np.repeat(ids, per), from_pandas=True).cast(pa.int64()) if ids.dtype == object
-            else pa.array(np.repeat(ids, per)),
-            pa.array(np.repeat(hashes, per)), pa.array(i.astype(np.int32)),
-            pa.array((start - np.repeat(first, per)).astype(np.int32)), pa.array((end - start).astype(np.int32)),
-            pa.array((counted[end] - counted[start]).astype(np.int32)),
+            pa.array(ids[of], from_pandas=True).cast(pa.int64()), pa.array(hashes[of]),
+            pa.array((keep - c.head[of]).astype(np.int32)), pa.array((start - c.first[of]).astype(np.int32)),
+            pa.array((end - start).astype(np.int32)), pa.array((counted[end] - counted[start]).astype(np.int32)),
             pa.array(halves[:, 0]), pa.array(halves[:, 1])], schema=_CHUNKS)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            ids = (np.array(b["doc_id"].to_pylist(), dtype=object) if b["doc_id"].null_count
-                   else b["doc_id"].to_numpy(zero_copy_only=False))
-            hashes = b["text_hash"].to_numpy(zero_copy_only=False)
-            texts = byte_values(b["text"])
-            at, size = 0, 0
-            for k, t in enumerate(texts):          # a few megabytes at a time
-                size += len(t)
-                if size > 4_000_000 or k == len(texts) - 1:
-                    yield some(ids[at:k + 1], hashes[at:k + 1], texts[at:k + 1])
-                    at, size = k + 1, 0
+        for b, at, to, texts in _pieces(batches):
+            part = b.slice(at, to - at)
+            ids = (np.array(part["doc_id"].to_pylist(), dtype=object) if b["doc_id"].null_count
+                   else part["doc_id"].to_numpy(zero_copy_only=False))
+            yield some(ids, part["text_hash"].to_numpy(zero_copy_only=False), texts)
 
-    d = documents_of(docs, id_col, text_col).select("doc_id", F.xxhash64("text").alias("text_hash"), "text")
     return d.mapInArrow(run, _CHUNKS_DDL)
 
 
 def repeated_spans(docs: DataFrame, min_words: int = MIN_WORDS, min_chunk: int = MIN_CHUNK,
                    max_chunk: int = MAX_CHUNK, cut_bits: int = CUT_BITS, id_col: str = "doc_id",
-                   text_col: str = "text") -> DataFrame:
+                   text_col: str = "text", filter_bits: int | None = FILTER_BITS) -> DataFrame:
     """One row per repeat: (doc_id, text_hash, start, size, n_words,
     n_chunks, first_doc_id, copies).
 
@@ -159,7 +250,7 @@ def repeated_spans(docs: DataFrame, min_words: int = MIN_WORDS, min_chunk: int =
     never keep before others; an empty table gives an empty result; other
     columns are ignored whatever their names.
     """
-    rows = chunks(docs, min_chunk, max_chunk, cut_bits, id_col, text_col)
+    rows = chunks(docs, min_chunk, max_chunk, cut_bits, id_col, text_col, filter_bits)
     order = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash", "start")
     known = (rows.groupBy("hi", "lo").agg(F.count("*").alias("copies"), F.min(order).alias("first"))
              .where("copies > 1").select(F.col("hi").alias("k_hi"), F.col("lo").alias("k_lo"), "copies", "first"))
