@@ -19,7 +19,10 @@ sys.path.insert(0, ROOT)
 SIDE_EFFECTS = {"labels_csv", "partition_counts", "file_inventory", "reconcile", "lr_batch_score", "cv_grid",
                 "coefficient_table", "stream_features", "stream_dedupe", "stream_score", "run_audit",
                 "stream_enrich", "cv_time_folds", "cv_repeated", "write_predictions", "unlabeled_windows",
-                "labels_csv_damaged", "label_stamp_report"}
+                "labels_csv_damaged", "label_stamp_report",
+                "incremental_features", "stream_sessions", "stream_labels",
+                "stream_late_rows", "stream_model_versions", "window_sketches", "window_features_approx", "distinct_sketches",
+                "reconcile_dates", "first_lines", "lineage_runs"}
 
 
 def summary(plan: str) -> dict:

@@ -13,7 +13,10 @@ from windowlens.session import work_path
 SIDE_EFFECT_KEYS = {"labels_csv", "partition_counts", "file_inventory", "reconcile", "lr_batch_score",
                     "cv_grid", "coefficient_table", "stream_features", "stream_dedupe", "stream_score",
                     "run_audit", "stream_enrich", "cv_time_folds", "cv_repeated", "write_predictions",
-                    "unlabeled_windows", "labels_csv_damaged", "label_stamp_report"}
+                    "unlabeled_windows", "labels_csv_damaged", "label_stamp_report",
+                    "incremental_features", "stream_sessions", "stream_labels",
+                    "stream_late_rows", "stream_model_versions", "window_sketches", "window_features_approx", "distinct_sketches",
+                    "reconcile_dates", "first_lines", "lineage_runs"}
 
 
 def _plan(df) -> str:
