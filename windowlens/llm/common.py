@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import sys
 import tempfile
 import zipfile
 from collections.abc import Iterator
@@ -105,6 +106,27 @@ def same(a: Column, b: Column) -> Column:
     return a.eqNullSafe(b)
 
 
+class ByteCache(dict):
+    """A dict that starts anew once its keys and values hold ``limit`` bytes;
+    keys of over ``longest`` characters (text without blanks) are not kept."""
+
+    ENTRY = 100    # bytes of a slot in the table, about
+
+    def __init__(self, limit: int, longest: int = 256):
+        super().__init__()
+        self.limit, self.longest, self.held = limit, longest, 0
+
+    def put(self, key, value) -> None:
+        if len(key) > self.longest or key in self:
+            return
+        size = sys.getsizeof(key) + sys.getsizeof(value) + self.ENTRY
+        if self.held + size > self.limit:
+            self.clear()
+            self.held = 0
+        self[key] = value
+        self.held += size
+
+
 def batches_of(schema: pa.Schema, rows: Iterator[tuple], size: int = 10_000) -> Iterator[pa.RecordBatch]:
     """Row tuples as record batches of at most ``size`` rows."""
     held: list[tuple] = []

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from windowlens.llm.common import documents_of, staged
+from windowlens.llm.common import ByteCache, documents_of, staged
 
 CAPACITY = 4096
 END_ID = 1
@@ -36,14 +36,15 @@ SLACK = 8
 
 # --- tokens ------------------------------------------------------------------
 
-#: Chunks kept per Python worker; at this size the cache starts anew.
-CACHE = 1 << 19
+#: Bytes of remembered chunks a Python worker holds, and of pieces of words.
+CHUNK_BYTES = 96 << 20
+WORD_BYTES = 32 << 20
 
 _PIECE = r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+"
 _PLAIN = re.compile(r"[\x21-\x7eÀ-ÿ]+\Z")
 
 
-def _byte_letters() -> dict[int, str]:
+def byte_letters() -> dict[int, str]:
     """The printable letter that stands for a byte in byte-level vocabularies."""
     printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
     rest = [b for b in range(256) if b not in printable]
@@ -53,7 +54,8 @@ def _byte_letters() -> dict[int, str]:
 class WordTokenizer:
     """Ids of a ``tokenizers`` file whose pieces never cross white space and
     that lower-cases its input: texts are cut at ASCII white space and the
-    ids of a chunk are remembered.  Chunks of Latin letters and ASCII take
+    ids of a chunk are remembered, up to a number of bytes; chunks of over
+    256 bytes (text without blanks) are not.  Chunks of Latin letters and ASCII take
     the vocabulary's own pattern and merges directly; every other chunk goes
     through the whole tokenizer.  Ids equal those of the whole text."""
 
@@ -65,16 +67,16 @@ class WordTokenizer:
         self.tokenizer = Tokenizer.from_file(path)
         self.merge = self.tokenizer.model.tokenize
         self.pieces = regex.compile(_PIECE)
-        self.letters = _byte_letters()
-        self.chunks: dict[bytes, bytes] = {}
-        self.words: dict[str, bytes] = {}
+        self.letters = byte_letters()
+        self.chunks = ByteCache(CHUNK_BYTES)
+        self.words = ByteCache(WORD_BYTES)
 
     def _word(self, word: str) -> bytes:
         ids = self.words.get(word)
         if ids is None:
             mapped = word if word.isascii() else "".join([self.letters[b] for b in word.encode()])
             ids = array("I", [t.id for t in self.merge(mapped)]).tobytes()
-            self.words[word] = ids
+            self.words.put(word, ids)
         return ids
 
     def _chunk(self, chunk: bytes) -> bytes:
@@ -83,10 +85,7 @@ class WordTokenizer:
             ids = b"".join([self._word(w) for w in self.pieces.findall(text.lower())])
         else:
             ids = array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
-        if len(self.chunks) >= CACHE:
-            self.chunks.clear()
-            self.words.clear()
-        self.chunks[chunk] = ids
+        self.chunks.put(chunk, ids)
         return ids
 
     def __call__(self, text: bytes) -> bytes:
