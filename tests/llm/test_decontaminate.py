@@ -69,6 +69,33 @@ def test_blocks_of_items_give_the_same(spark):
         assert plain_words(r["clean_text"]) == [x for i, x in enumerate(w) if i not in hit]
 
 
+def test_blocks_keep_the_same_rows(spark, odd):
+    docs, items = made(7)
+    d = spark.createDataFrame(docs + [(None, docs[0][1]), (3, None), (3, None)], "doc_id long, text string")
+    b = spark.createDataFrame(items, "item_id string, text string")
+    one = sorted(map(str, dc.keep_clean(d, b, window=6).collect()))
+    assert one == sorted(map(str, dc.keep_clean(d, b, window=6, block_words=25).collect()))
+    dirty = {i for i, t in docs if plain(t, items, 6)[1]}
+    assert 0 < len(dirty) and not {f"Row(doc_id={i}, text={t!r})" for i, t in docs if i in dirty} & set(one)
+    kept = dc.keep_clean(odd, b, window=6, block_words=25)
+    assert kept.columns == odd.columns and kept.count() == odd.count()
+
+
+def test_long_items_are_cut_into_parts(spark):
+    """One item longer than a block, given twice."""
+    rng = random.Random(1)
+    item = [f"w{rng.randrange(400)}" for _ in range(700)]
+    docs = [(k, " ".join(["zz"] + item[k * 13:k * 13 + rng.randint(2, 40)] + ["zz"])) for k in range(50)]
+    d = spark.createDataFrame(docs, "doc_id long, text string")
+    b = spark.createDataFrame([("long", " ".join(item))] * 2 + [("none", None), ("blank", " ")],
+                              "item_id string, text string")
+    one = dc.decontaminate(d, b).orderBy("doc_id").collect()
+    assert one == dc.decontaminate(d, b, block_words=60).orderBy("doc_id").collect()
+    for (_, text), r in zip(docs, one):
+        w, hit, found = plain(text, [("long", " ".join(item))], 10)
+        assert (r["n_hit"], r["n_items"]) == (len(hit), len(found))
+
+
 def test_removal_limits(spark):
     d = spark.createDataFrame([(1, "x y one two three four five z"), (2, "one two three four five"), (3, "q")],
                               "doc_id long, text string")

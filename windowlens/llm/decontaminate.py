@@ -12,15 +12,18 @@ Words that occur in no item reset the automaton, so only stretches of known
 words at least as long as the shortest window are streamed at all; the
 result is the same.
 
-Only the automaton is sent to the tasks.  Its size is bounded: items are
-taken in blocks of at most ``block_words`` words (an item larger than that
-is a block of its own), each block has its own automaton, and every text
-passes all of them in the same stage, without a shuffle.
+The items are read and normalised in tasks, dealt to blocks of about
+``block_words`` words (longer items are cut into parts that overlap by a
+window less one word), and every block's automaton is built in a task and
+written to the shared folder.  One block is sent to the workers at a time: a
+pass of its own finds its hits, and only hits are kept between passes, so
+neither the driver nor a worker ever holds more than one block.
 """
 
 from __future__ import annotations
 
 import hashlib
+import pickle
 import re
 from collections.abc import Iterator
 
@@ -29,10 +32,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from windowlens.llm.common import byte_values, documents_of, keep_rows, take
+from windowlens.llm.common import (batches_of, byte_values, documents_of, keep_rows, place, positional, same, ship,
+                                   staged, take)
 
 WINDOW = 10
-BLOCK_WORDS = 1_000_000
+BLOCK_WORDS = 250_000
 
 #: Bytes of words: digits, a-z and everything outside ASCII; A-Z become a-z.
 _WORD_BYTES = bytes(c if 48 <= c <= 57 or 97 <= c <= 122 or c >= 128 else c + 32 if 65 <= c <= 90 else 32
@@ -186,56 +190,103 @@ def without(text: bytes, spans: list[tuple[int, int]]) -> bytes:
     return b"".join(out + [text[end:]])
 
 
-def _automata(items: DataFrame, id_col: str, text_col: str, window: int, block_words: int) -> list[SuffixAutomaton]:
-    """One automaton per block; the driver streams the items."""
-    rows = (take(items, item_id=id_col, text=text_col)
-            .select(F.coalesce(F.col("item_id").cast("string"), F.lit("null")).alias("item_id"),
-                    F.col("text").cast("string").alias("text")).orderBy("item_id", "text"))
-    out, now, size = [], SuffixAutomaton(window), 0
-    for row in rows.toLocalIterator():
-        item = words((row["text"] or "").encode())
-        if size and size + len(item) > block_words:
-            out.append(now.finish())
-            now, size = SuffixAutomaton(window), 0
-        now.add(row["item_id"], item)
-        size += len(item)
-    return out + [now.finish()]
-
-
-_PASS = pa.schema([("doc_id", pa.int64()), ("text_hash", pa.int64()), ("text", pa.string()),
-                   ("flat", pa.list_(pa.int32())), ("items", pa.list_(pa.string()))])
+def _item_parts(items: DataFrame, id_col: str, text_col: str, window: int, part_words: int) -> DataFrame:
+    """(item_id, words, n): the normalised words of every item, joined by
+    blanks, in parts of at most ``part_words``; repeated parts count once."""
+    rows = take(items, item_id=id_col, text=text_col).select(
+        F.coalesce(F.col("item_id").cast("string"), F.lit("null")).alias("item_id"),
+        F.col("text").cast("string").alias("text")).where("text is not null")
+    schema = pa.schema([("item_id", pa.string()), ("words", pa.binary()), ("n", pa.int64())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            def parts():
+                for item_id, text in zip(b["item_id"].to_pylist(), byte_values(b["text"])):
+                    item = words(text)
+                    for at in range(0, max(1, len(item) - window + 1) if item else 0, part_words - window + 1):
+                        part = item[at:at + part_words]
+                        yield item_id, b" ".join(part), len(part)
+            yield from batches_of(schema, parts(), 1_000)
+
+    return rows.mapInArrow(run, "item_id string, words binary, n long").distinct()
+
+
+def _blocks(items: DataFrame, id_col: str, text_col: str, window: int, block_words: int) -> tuple[DataFrame, list[int]]:
+    """The automata, pickled, as a table (block, automaton) in the shared
+    folder, and the numbers of its blocks."""
+    ship(items.sparkSession)
+    # parts well below a block, so that blocks dealt by a hash are about equal
+    parts = staged(_item_parts(items, id_col, text_col, window, max(2 * window, block_words // 16)), "item-parts")
+    blocks = max(1, -(-(parts.agg(F.sum("n")).first()[0] or 0) // block_words))
+
+    def build(key: tuple, table: pa.Table) -> pa.Table:
+        automaton = SuffixAutomaton(window)
+        for row in table.sort_by([("item_id", "ascending"), ("words", "ascending")]).to_pylist():
+            automaton.add(row["item_id"], row["words"].split())
+        return pa.table({"block": pa.array([key[0].as_py()], pa.int64()),
+                         "automaton": pa.array([pickle.dumps(automaton.finish())], pa.binary())})
+
+    built = staged(parts.withColumn("block", F.pmod(F.xxhash64("item_id", "words"), F.lit(blocks)))
+                   .groupBy("block").applyInArrow(build, "block long, automaton binary"), "automata")
+    return built, sorted(r["block"] for r in built.select("block").collect())
+
+
+def _sent(built: DataFrame, block: int | None, window: int) -> tuple:
+    """The broadcast automaton of one block (None: of no items), its name."""
+    raw = (pickle.dumps(SuffixAutomaton(window).finish()) if block is None else
+           bytes(built.where(F.col("block") == block).first()["automaton"]))
+    return built.sparkSession.sparkContext.broadcast(raw), hashlib.sha256(raw).hexdigest()
+
+
+_LOADED: dict[str, SuffixAutomaton] = {}
+
+
+def _load(raw: bytes, name: str) -> SuffixAutomaton:
+    """The automaton of a block; a worker holds one at a time."""
+    if name not in _LOADED:
+        _LOADED.clear()
+        _LOADED[name] = pickle.loads(raw)
+    return _LOADED[name]
+
+
 _SPAN = pa.struct([("first_word", pa.int32()), ("words", pa.int32())])
 _OUT = pa.schema([("doc_id", pa.int64()), ("text_hash", pa.int64()), ("n_words", pa.int64()), ("n_hit", pa.int64()),
                   ("n_items", pa.int64()), ("items_sha256", pa.string()), ("contaminated", pa.bool_()),
                   ("items", pa.list_(pa.string())), ("spans", pa.list_(_SPAN)), ("removed", pa.bool_()),
                   ("clean_text", pa.string())])
-_PASS_DDL = "doc_id long, text_hash long, text string, flat array<int>, items array<string>"
 _OUT_DDL = ("doc_id long, text_hash long, n_words long, n_hit long, n_items long, items_sha256 string, "
             "contaminated boolean, items array<string>, spans array<struct<first_word:int,words:int>>, "
             "removed boolean, clean_text string")
+_HITS = pa.schema([("doc_id", pa.int64()), ("text_hash", pa.int64()), ("flat", pa.list_(pa.int32())),
+                   ("items", pa.list_(pa.string()))])
+_HITS_DDL = "doc_id long, text_hash long, flat array<int>, items array<string>"
 
 
-def _pass(automaton, last: bool, max_span: int, max_coverage: float, texts: bool):
-    """One automaton over the texts; the last pass gives the result."""
+def _hits(automaton, name: str):
+    """The documents with hits in one block: spans (flat) and items."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        scan = _load(automaton.value, name)
+
+        def rows():
+            for b in batches:
+                for doc_id, h, text in zip(b["doc_id"].to_pylist(), b["text_hash"].to_pylist(), byte_values(b["text"])):
+                    spans, items = scan.hits(words(text))
+                    if spans:
+                        yield doc_id, h, [x for s in spans for x in s], sorted(items)
+
+        return batches_of(_HITS, rows(), 1_000)
+
+    return run
+
+
+def _result(found_in, max_span: int, max_coverage: float, texts: bool):
+    """The result rows; ``found_in(batch, words of its texts)`` gives the
+    merged spans and the items of every text."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scan = automaton.value
         for b in batches:
             raw = byte_values(b["text"])
             null = b["text"].is_null().to_pylist()
-            before = zip(b["flat"].to_pylist(), b["items"].to_pylist())
-            found = []
-            for text, (flat, items) in zip(raw, before):
-                w = words(text)
-                spans, more = scan.hits(w)
-                if flat:
-                    spans = merge(spans + list(zip(flat[::2], flat[1::2])))
-                found.append((len(w), spans, sorted(more | set(items or ()))))
-            if not last:
-                yield pa.RecordBatch.from_arrays([
-                    b["doc_id"], b["text_hash"], b["text"].cast(pa.string()),
-                    pa.array([[x for s in spans for x in s] for _, spans, _ in found], _PASS.field("flat").type),
-                    pa.array([items for *_, items in found], _PASS.field("items").type)], schema=_PASS)
-                continue
+            found = found_in(b, raw)
             n_hit = [sum(y - x for x, y in spans) for _, spans, _ in found]
             gone = [h > 0 and h > max_coverage * n for h, (n, *_) in zip(n_hit, found)]
             yield pa.RecordBatch.from_arrays([
@@ -253,6 +304,37 @@ def _pass(automaton, last: bool, max_span: int, max_coverage: float, texts: bool
     return run
 
 
+def _scanned(automaton, name: str):
+    def found_in(batch: pa.RecordBatch, raw: list[bytes]) -> list[tuple]:
+        scan, out = _load(automaton.value, name), []
+        for text in raw:
+            w = words(text)
+            spans, items = scan.hits(w)
+            out.append((len(w), spans, sorted(items)))
+        return out
+
+    return found_in
+
+
+def _joined(batch: pa.RecordBatch, raw: list[bytes]) -> list[tuple]:
+    """Spans and items of all blocks, as the join brought them."""
+    return [(len(words(text)), merge(list(zip(flat[::2], flat[1::2]))) if flat else [], sorted(set(items or ())))
+            for text, flat, items in zip(raw, batch["flat"].to_pylist(), batch["items"].to_pylist())]
+
+
+def _found(d: DataFrame, built: DataFrame, blocks: list[int], window: int) -> DataFrame:
+    """(doc_id, text_hash, flat, items) of the documents with hits in any
+    block: a pass a block, whose hits are written before the next."""
+    found = None
+    for block in blocks:
+        automaton, name = _sent(built, block, window)
+        now = staged(d.mapInArrow(_hits(automaton, name), _HITS_DDL).distinct(), "hits")
+        automaton.unpersist()
+        found = now if found is None else found.unionByName(now)
+    return found.groupBy("doc_id", "text_hash").agg(F.flatten(F.collect_list("flat")).alias("flat"),
+                                                    F.flatten(F.collect_list("items")).alias("items"))
+
+
 def decontaminate(docs: DataFrame, items: DataFrame, window: int = WINDOW, max_span: int = 0,
                   max_coverage: float = 1.0, texts: bool = True, block_words: int = BLOCK_WORDS,
                   id_col: str = "doc_id", text_col: str = "text",
@@ -271,28 +353,33 @@ def decontaminate(docs: DataFrame, items: DataFrame, window: int = WINDOW, max_s
     returned; an empty document or item table gives no rows or no hits; other
     columns are ignored whatever their names.
     """
-    sc = docs.sparkSession.sparkContext
-    automata = _automata(items, item_id_col, item_text_col, window, block_words)
-    d = (documents_of(docs, id_col, text_col)
-         .select("doc_id", F.xxhash64("text").alias("text_hash"), "text",
-                 F.lit(None).cast("array<int>").alias("flat"), F.lit(None).cast("array<string>").alias("items")))
-    for i, automaton in enumerate(automata):
-        last = i == len(automata) - 1
-        d = d.mapInArrow(_pass(sc.broadcast(automaton), last, max_span, max_coverage, texts),
-                         _OUT_DDL if last else _PASS_DDL)
-    return d
+    d = documents_of(docs, id_col, text_col).select("doc_id", F.xxhash64("text").alias("text_hash"), "text")
+    built, blocks = _blocks(items, item_id_col, item_text_col, window, block_words)
+    if len(blocks) < 2:
+        found_in = _scanned(*_sent(built, blocks[0] if blocks else None, window))
+    else:
+        f = _found(d, built, blocks, window).withColumnsRenamed({"doc_id": "f_id", "text_hash": "f_hash"})
+        d = d.join(f, same(F.col("doc_id"), F.col("f_id")) & same(F.col("text_hash"), F.col("f_hash")), "left").select(
+            "doc_id", "text_hash", "text", "flat", "items")
+        found_in = _joined
+    return d.mapInArrow(_result(found_in, max_span, max_coverage, texts), _OUT_DDL)
 
 
 def keep_clean(docs: DataFrame, items: DataFrame, window: int = WINDOW, block_words: int = BLOCK_WORDS,
-               text_col: str = "text", item_id_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
+               id_col: str = "doc_id", text_col: str = "text", item_id_col: str = "item_id",
+               item_text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` (all columns) that :func:`decontaminate` keeps
-    with a coverage limit of 0: those without any hit word.  One pass for
-    each block of items, no shuffle."""
-    sc = docs.sparkSession.sparkContext
-    for automaton in _automata(items, item_id_col, item_text_col, window, block_words):
-        docs = keep_rows(docs, text_col, _clean(sc.broadcast(automaton)))
-    return docs
-
-
-def _clean(automaton):
-    return lambda texts: [not automaton.value.hits(words((t or "").encode()))[0] for t in texts]
+    with a coverage limit of 0: those without any hit word.  Items of one
+    block take one pass without a shuffle; more blocks take a pass each and
+    one anti join on (id, text hash)."""
+    built, blocks = _blocks(items, item_id_col, item_text_col, window, block_words)
+    if len(blocks) < 2:
+        automaton, name = _sent(built, blocks[0] if blocks else None, window)
+        return keep_rows(docs, text_col, lambda texts: [
+            not _load(automaton.value, name).hits(words((t or "").encode()))[0] for t in texts])
+    d = documents_of(docs, id_col, text_col).select("doc_id", F.xxhash64("text").alias("text_hash"), "text")
+    found = _found(d, built, blocks, window).select(F.col("doc_id").alias("f_id"), F.col("text_hash").alias("f_hash"))
+    plain, names = positional(docs)
+    doc_id, text = F.col(place(names, id_col)).cast("long"), F.col(place(names, text_col)).cast("string")
+    return plain.join(found, same(doc_id, F.col("f_id")) & same(F.xxhash64(text), F.col("f_hash")),
+                      "left_anti").toDF(*names)
