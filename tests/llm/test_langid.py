@@ -94,3 +94,39 @@ def test_without_labels_all_is_undetermined(spark):
 def test_words():
     assert langid.words("Él y ella-2 'x'") == ["él".encode(), b"y", b"ella", b"x"]
     assert langid.words("¿?… 12") == [] and langid.words("") == []
+
+
+def test_the_sample_is_bounded(spark):
+    """A row repeated many times, a hot id, null ids and long texts."""
+    rows = [(7, "the same row again", "en")] * 500 + [(8, f"hot id {i}", "en") for i in range(500)]
+    rows += [(None, f"no id {i}", "en") for i in range(500)] + [(9, "long " * 400, "en")]
+    rows += [(100 + i, f"un deux {i} " * 20, "fr") for i in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(5)
+    got = langid.training_sample(docs, {"en": 1501, "fr": 300}, 50, 1500).collect()
+    for lang in ("en", "fr"):
+        texts = [r["text"] for r in got if r["lang"] == lang]
+        assert 0 < len(texts) <= 50 and sum(map(len, texts)) <= 1500
+        assert texts.count("the same row again") <= 1 and max(map(len, texts)) <= 1500
+
+
+def test_text_without_blanks_does_not_fill_the_cache(small_model, monkeypatch):
+    monkeypatch.setattr(langid, "CACHE_BYTES", 5_000)
+    for i in range(50):
+        small_model.word_scores([b"the", f"{'你好' * 200}{'x' * i}".encode()])
+        assert small_model._held <= 5_000 + 1_500
+    small_model._forget()
+
+
+def test_word_counts_are_passed_on(monkeypatch):
+    import pyarrow as pa
+    texts = ["a b", "b c " * 30, "你好" * 60] * 20
+    batch = pa.record_batch({"lang": ["x"] * len(texts), "text": texts})
+    want = {}
+    for chars in (1 << 20, 100):
+        monkeypatch.setattr(langid, "COUNTED_CHARS", chars)
+        got = {}
+        for out in langid._count(iter([batch, batch])):
+            for r in out.to_pylist():
+                got[r["word"]] = got.get(r["word"], 0) + r["n"]
+        want = want or got
+        assert got == want and got[b"b"] == 2 * 20 * 31

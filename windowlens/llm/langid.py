@@ -10,12 +10,14 @@ the language of a text is the label with the largest sum of word marginals.
 * Transitions: learned, one weight for each ordered pair of labels.
 * Lexicons: the most frequent words of each language, counted over *all*
   training documents (partial counts per task, then a Spark aggregate).
-* Training: maximum likelihood by Adam on a sample of at most about
-  ``train_docs`` whole documents a language, chosen by a hash, in one task.
+* Training: maximum likelihood by Adam, in one task, on a sample of at most
+  ``train_docs`` whole documents and ``train_chars`` characters a language:
+  the first ones by a hash of id and text, rows that repeat counting once.
   Half of the sequences are single documents, half alternate stretches of
   two documents, so that transitions see switches.
 
-Prediction keeps the scores of words it has seen (``CACHE`` words a worker).
+Prediction keeps the scores of words it has seen (``CACHE`` words or
+``CACHE_BYTES`` a worker).
 Long texts are cut into segments whose transfer matrices are multiplied, so
 the recursion is exact over whole texts and vectorised over segments.
 """
@@ -30,18 +32,22 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import Window
 
 from windowlens.llm.common import batches_of, documents_of, keep_rows, place, positional, ship, staged
 
 BUCKET_BITS = 15
-TRAIN_DOCS = 300       # documents a language that the weights are fitted on, about
+TRAIN_DOCS = 300       # documents a language that the weights are fitted on at most
+TRAIN_CHARS = 4_000_000   # characters of them
 LEXICON_SIZE = 2000    # words a language
 MIN_COUNT = 5          # occurrences of a word in a lexicon at least
 ROUNDS = 40
 SEGMENT = 64
 CACHE = 200_000        # words whose scores a worker keeps
+CACHE_BYTES = 32 << 20    # bytes of those words (text without blanks is one word)
 SCAN_WORDS = 200_000   # words labelled at a time
 COUNTED = 250_000      # words a task counts before it passes the counts on
+COUNTED_CHARS = 64 << 20  # characters of the texts it has counted by then at most
 UNKNOWN = "und"
 
 #: Letters a-z and bytes outside ASCII make words.
@@ -170,6 +176,7 @@ class Model:
 
     def _forget(self) -> None:
         self._row: dict[bytes, int] = {}
+        self._held = 0
         self._scores = np.empty((1024, max(1, len(self.labels))), np.float32)
 
     def __getstate__(self):
@@ -179,7 +186,7 @@ class Model:
         self.__init__(*state)
 
     def word_scores(self, text_words: list[bytes]) -> np.ndarray:
-        if len(self._row) > CACHE:
+        if len(self._row) > CACHE or self._held > CACHE_BYTES:
             self._forget()
         row = self._row
         new = [w for w in dict.fromkeys(text_words) if w not in row]
@@ -189,6 +196,7 @@ class Model:
                 self._scores = np.concatenate((self._scores, np.empty_like(self._scores)))
             self._scores[at:at + len(new)] = emissions(new, self.lexicon, self.weights)
             row.update(zip(new, range(at, at + len(new))))
+            self._held += sum(map(len, new))
         return self._scores[np.fromiter(map(row.__getitem__, text_words), np.int64, len(text_words))]
 
     def label_words(self, texts: list[list[bytes]]) -> list[np.ndarray]:
@@ -268,12 +276,17 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Word counts per language of a task, in tables of bounded size."""
     def rows():
         table: dict[str, Counter] = {}
+        held = 0
         for b in batches:
             for lang, text in zip(b["lang"].to_pylist(), b["text"].to_pylist()):
                 table.setdefault(lang, Counter()).update(words(text))
+                held += len(text)
+                if held > COUNTED_CHARS:
+                    yield from emit(table)
+                    table, held = {}, 0
             if sum(map(len, table.values())) > COUNTED:
                 yield from emit(table)
-                table = {}
+                table, held = {}, 0
         yield from emit(table)
 
     def emit(table):
@@ -284,9 +297,31 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     return batches_of(_COUNTS, rows(), 50_000)
 
 
+def training_sample(labelled: DataFrame, sizes: dict[str, int], train_docs: int, train_chars: int) -> DataFrame:
+    """(lang, text, o): at most ``train_docs`` whole documents and
+    ``train_chars`` characters a language, the first by a hash ``o``.
+
+    A hash draws about twice the documents needed, repeated rows become one,
+    and the first of the rest stay; only drawn texts are moved.
+    """
+    share = F.create_map(*[F.lit(x) for lang, n in sizes.items() for x in (lang, min(1.0, 2 * train_docs / n))])
+    drawn = (labelled.select("lang", "text", F.xxhash64("doc_id", "text").alias("o"))
+             .where((F.length("text") <= train_chars)
+                    & (F.pmod(F.xxhash64("o", F.lit(4)), F.lit(1 << 30)) < share[F.col("lang")] * (1 << 30)))
+             .groupBy("lang", "o").agg(F.min("text").alias("text")))
+    in_order = Window.partitionBy("lang").orderBy("o", "text")
+    so_far = in_order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    chars = F.sum(F.length("text").cast("long")).over(so_far)
+    return (drawn.withColumns({"at": F.row_number().over(in_order), "chars": chars})
+            .where((F.col("at") <= train_docs) & (F.col("chars") <= train_chars)).select("lang", "text", "o"))
+
+
 def train(labelled: DataFrame, train_docs: int = TRAIN_DOCS, lexicon_size: int = LEXICON_SIZE,
-          min_count: int = MIN_COUNT, rounds: int = ROUNDS) -> Model | None:
-    """Fit on (doc_id, text, lang), nulls left out; None if nothing is left."""
+          min_count: int = MIN_COUNT, rounds: int = ROUNDS, train_chars: int = TRAIN_CHARS) -> Model | None:
+    """Fit on (doc_id, text, lang), nulls left out; None if nothing is left.
+    The lexicons count all documents; the weights are fitted on a sample in
+    which neither long texts, nor an id or a row that repeats, pass the
+    bounds.  Texts of over ``train_chars`` are not drawn."""
     ship(labelled.sparkSession)
     labelled = labelled.where(F.col("lang").isNotNull() & F.col("text").isNotNull())
     sizes = {r["lang"]: r["n"] for r in labelled.groupBy("lang").agg(F.count("*").alias("n")).collect()}
@@ -296,18 +331,15 @@ def train(labelled: DataFrame, train_docs: int = TRAIN_DOCS, lexicon_size: int =
     counts = (labelled.select("lang", "text").mapInArrow(_count, "lang string, word binary, n long")
               .groupBy("lang", "word").agg(F.sum("n").alias("n")).where(F.col("n") >= min_count))
     counts = staged(counts, "langid-words")
+    frequent = Window.partitionBy("lang").orderBy(F.desc("n"), "word")
+    top = (counts.withColumn("place", F.row_number().over(frequent)).where(F.col("place") <= lexicon_size)
+           .select("lang", "word", "place").collect())
     lexicon: dict[bytes, tuple[int, ...]] = {}
-    for k, lang in enumerate(labels):
-        top = counts.where(F.col("lang") == lang).orderBy(F.desc("n"), "word").limit(lexicon_size)
-        for r in top.collect():
-            w = bytes(r["word"])
-            lexicon[w] = lexicon.get(w, ()) + (k,)
-
-    # a hash picks about train_docs whole documents of every language
-    share = F.create_map(*[F.lit(x) for lang in labels for x in (lang, min(1.0, train_docs / sizes[lang]))])
-    draw = F.pmod(F.xxhash64(F.col("doc_id").cast("string"), F.lit(4)), F.lit(1 << 30)) / float(1 << 30)
-    sample = (labelled.where(draw < share[F.col("lang")])
-              .select("lang", "text", F.xxhash64(F.col("doc_id").cast("string"), F.lit(5)).alias("o")))
+    for r in sorted(top, key=lambda r: (r["lang"], r["place"])):
+        w = bytes(r["word"])
+        lexicon[w] = lexicon.get(w, ()) + (labels.index(r["lang"]),)
+
+    sample = training_sample(labelled, sizes, train_docs, train_chars)
     ddl = "weights binary, transitions binary"
 
     def learn(table: pa.Table) -> pa.Table:
