@@ -65,9 +65,11 @@ def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str)
 
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The pieces of every document with their places in sequences."""
+    """The pieces of every document with their places in sequences; doc_id
+    and text_hash name the document's row in the stage before, whose text
+    has the ids from ``start`` on."""
     return packing.pack_documents(docs, TOKENIZER).select(
-        "doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+        "doc_id", "text_hash", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
 STAGES = [
