@@ -1,4 +1,5 @@
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from tests.llm.conftest import odd_rows
@@ -42,6 +43,9 @@ def test_stages_by_brute_force(spark, small_dir, tmp_path):
         i for i in ids["simhash_near_dedup"] if not plain_hits(every[i]["text"], items, 10)[1]}
     pieces = docs.collect()
     assert {r["doc_id"] for r in pieces} == ids["benchmark_decontamination"]
+    clean = spark.read.parquet(str(tmp_path / "benchmark_decontamination"))
+    assert {(r["doc_id"], r["text_hash"]) for r in pieces} == {
+        tuple(r) for r in clean.select("doc_id", F.xxhash64("text")).collect()}
     assert rows_of(corpus_pipeline.run(spark, small_dir).drop("sequence_id", "offset")) == rows_of(
         docs.drop("sequence_id", "offset"))
 
