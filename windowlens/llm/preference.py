@@ -57,7 +57,8 @@ def donors(convs: DataFrame, parts: int = 256) -> DataFrame:
     whole = order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     heads = heads.select("part", F.coalesce(F.lead("head").over(order), F.first("head").over(whole)).alias("next"))
     inside = Window.partitionBy("part").orderBy("h", "conv_id")
-    return (ids.withColumn("donor", F.lead("conv_id").over(inside)).join(F.broadcast(heads), "part")
+    # a left join: Catalyst infers no filter from it, so all uses of the grouped turns share one shuffle
+    return (ids.withColumn("donor", F.lead("conv_id").over(inside)).join(F.broadcast(heads), "part", "left")
             .select("conv_id", F.coalesce("donor", "next").alias("donor")))
 
 
