@@ -36,12 +36,13 @@ SLACK = 8
 
 # --- tokens ------------------------------------------------------------------
 
-#: Bytes of remembered chunks a Python worker holds, and of pieces of words.
-CHUNK_BYTES = 96 << 20
-WORD_BYTES = 32 << 20
+#: Bytes of remembered chunks, and of pieces of chunks, a Python worker holds.
+CHUNK_BYTES = 192 << 20
 
 _PIECE = r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+"
 _PLAIN = re.compile(r"[\x21-\x7eÀ-ÿ]+\Z")
+#: ``_PIECE`` on lower-cased ASCII without white space.
+_ASCII_PIECE = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^a-z0-9]+")
 
 
 def byte_letters() -> dict[int, str]:
@@ -69,20 +70,30 @@ class WordTokenizer:
         self.pieces = regex.compile(_PIECE)
         self.letters = byte_letters()
         self.chunks = ByteCache(CHUNK_BYTES)
-        self.words = ByteCache(WORD_BYTES)
 
-    def _word(self, word: str) -> bytes:
-        ids = self.words.get(word)
+    def _merged(self, word: str) -> bytes:
+        """Ids of one piece; ASCII letters stand for themselves."""
+        mapped = word if word.isascii() else "".join([self.letters[b] for b in word.encode()])
+        return array("I", [t.id for t in self.merge(mapped)]).tobytes()
+
+    def _piece(self, word: str) -> bytes:
+        """A piece has the ids of a chunk that is this piece, so both share
+        one memory."""
+        key = word.encode()
+        ids = self.chunks.get(key)
         if ids is None:
-            mapped = word if word.isascii() else "".join([self.letters[b] for b in word.encode()])
-            ids = array("I", [t.id for t in self.merge(mapped)]).tobytes()
-            self.words.put(word, ids)
+            ids = self._merged(word)
+            self.chunks.put(key, ids)
         return ids
 
     def _chunk(self, chunk: bytes) -> bytes:
         text = chunk.decode()
-        if _PLAIN.match(text) and "<|" not in text:
-            ids = b"".join([self._word(w) for w in self.pieces.findall(text.lower())])
+        if text.isalpha() and text.isascii():
+            ids = self._merged(text.lower())
+        elif _PLAIN.match(text) and "<|" not in text:
+            text = text.lower()
+            found = _ASCII_PIECE.findall(text) if text.isascii() else self.pieces.findall(text)
+            ids = b"".join(map(self._piece, found))
         else:
             ids = array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
         self.chunks.put(chunk, ids)
@@ -91,11 +102,11 @@ class WordTokenizer:
     def __call__(self, text: bytes) -> bytes:
         """Unsigned 32-bit ids."""
         chunks = (text.lower() if text.isascii() else text).split()
-        try:
-            return b"".join(map(self.chunks.__getitem__, chunks))
-        except KeyError:
-            known, new = self.chunks.get, self._chunk
-            return b"".join([known(c) or new(c) for c in chunks])
+        ids = list(map(self.chunks.get, chunks))
+        new = [i for i, known in enumerate(ids) if known is None] if None in ids else ()
+        for i in new:
+            ids[i] = self.chunks.get(chunks[i]) or self._chunk(chunks[i])
+        return b"".join(ids)
 
 
 _TOKENIZERS: dict[str, WordTokenizer] = {}
