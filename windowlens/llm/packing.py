@@ -37,7 +37,7 @@ SLACK = 8
 # --- tokens ------------------------------------------------------------------
 
 #: Bytes of remembered chunks, and of pieces of chunks, a Python worker holds.
-CHUNK_BYTES = 192 << 20
+CHUNK_BYTES = 128 << 20
 
 _PIECE = r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+"
 _PLAIN = re.compile(r"[\x21-\x7eÀ-ÿ]+\Z")
